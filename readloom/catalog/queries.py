@@ -1,0 +1,332 @@
+"""One query per operator: ``(spark, sf_dir) -> DataFrame`` over whole derived tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from readloom.catalog import derived
+from readloom.operators import baq, coordinates, external, pairing, partitioning, pileup
+from readloom.operators import qc as stats
+from readloom.operators.trim import trim_reads
+from readloom.plans import jobs
+from readloom.sinks.text import locus_lines, mate_lines
+from readloom.sources import (
+    number_records,
+    parse_alignments,
+    parse_sam,
+    read_fastq,
+    read_fastq_ranges,
+    reference_bases,
+    sam_header,
+    valid_alignments,
+)
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+RECORD = ["header", "bases", "qual"]
+READ_ORDER = ["l_orderkey", "l_linenumber"]
+
+
+def query(run: Query) -> Query:
+    QUERIES[run.__name__] = run
+    return run
+
+
+# Quality control
+
+
+@query
+def qc_summary(spark, sf):
+    return stats.qc_summary(derived.reads(spark, sf, varied=True))
+
+
+@query
+def phred_long(spark, sf):
+    # A sum per read checks every base without returning a row for each.
+    long = stats.phred_long(derived.reads(spark, sf, varied=True).select(*RECORD))
+    return long.groupBy("header").agg(
+        F.count("*").alias("n"),
+        F.sum("q").alias("sum_q"),
+        F.sum(F.col("q") * F.col("cycle")).alias("sum_q_cycle"),
+    )
+
+
+@query
+def phred_offset(spark, sf):
+    return stats.phred_offset(derived.reads(spark, sf), *READ_ORDER)
+
+
+@query
+def phred_offset_head(spark, sf):
+    return stats.phred_offset(derived.reads(spark, sf), *READ_ORDER, sample=20)
+
+
+@query
+def cycle_quality_hist(spark, sf):
+    return stats.cycle_quality_hist(derived.reads(spark, sf, varied=True))
+
+
+@query
+def cycle_quantiles(spark, sf):
+    return stats.cycle_quantiles(cycle_quality_hist(spark, sf))
+
+
+@query
+def avg_quality(spark, sf):
+    return stats.avg_quality(cycle_quality_hist(spark, sf))
+
+
+@query
+def qc_boxplot(spark, sf):
+    return stats.qc_boxplot(cycle_quantiles(spark, sf))
+
+
+@query
+def qc_report_lines(spark, sf):
+    # Both the average and the box plot read the histogram; the exchange behind it is reused.
+    hist = cycle_quality_hist(spark, sf)
+    boxplot = stats.qc_boxplot(stats.cycle_quantiles(hist))
+    return stats.qc_report_lines("lineitem", qc_summary(spark, sf), stats.avg_quality(hist), boxplot)
+
+
+# Read names, trim and pairing
+
+
+@query
+def read_keys(spark, sf):
+    # All three header styles, by line number.
+    style = F.col("l_linenumber") % 3
+    text = F.regexp_replace("header", "/", "_")
+    spaced = F.concat(F.regexp_replace("header", "/", " "), F.lit(":N:0:X"))
+    styled = F.when(style == 0, F.col("header")).when(style == 1, text).otherwise(spaced)
+    reads = derived.reads(spark, sf).select(styled.alias("header"))
+    return pairing.with_read_keys(reads)
+
+
+@query
+def header_separator(spark, sf):
+    return pairing.header_separator(derived.reads(spark, sf), *READ_ORDER)
+
+
+@query
+def trim_reads_query(spark, sf):
+    return trim_reads(derived.reads(spark, sf, varied=True).select(*RECORD))
+
+
+@query
+def trim_reads_strict(spark, sf):
+    reads = derived.reads(spark, sf, varied=True).select(*RECORD)
+    return trim_reads(reads, min_q=26, min_len=24, strict_len=True)
+
+
+def _mates(spark, sf, mate: int | None = None) -> DataFrame:
+    where = derived.MATE_ROWS if mate is None else f"l_linenumber = {mate}"
+    return derived.reads(spark, sf, where).select(*RECORD)
+
+
+@query
+def reads_union(spark, sf):
+    return pairing.reads_union(_mates(spark, sf, 1), _mates(spark, sf, 2))
+
+
+@query
+def reads_per_name(spark, sf):
+    return pairing.reads_per_name(derived.reads(spark, sf))
+
+
+@query
+def mate_pairs_grouped(spark, sf):
+    return pairing.pair_mates(_mates(spark, sf))
+
+
+@query
+def mate_pairs_joined(spark, sf):
+    return pairing.pair_mates(_mates(spark, sf, 1), _mates(spark, sf, 2), "join")
+
+
+@query
+def interleaved_pairs(spark, sf):
+    return pairing.interleave(mate_pairs_grouped(spark, sf))
+
+
+@query
+def paired_fastq_mate1(spark, sf):
+    return mate_lines(mate_pairs_grouped(spark, sf), 1)
+
+
+@query
+def paired_fastq_mate2(spark, sf):
+    return mate_lines(mate_pairs_grouped(spark, sf), 2)
+
+
+@query
+def trimmed_pairs(spark, sf):
+    return pairing.pair_mates(trim_reads(_mates(spark, sf), min_len=10))
+
+
+# FASTQ files
+
+
+@query
+def fastq_records(spark, sf):
+    return read_fastq(spark, derived.fastq_files(spark, sf)).select(*RECORD)
+
+
+@query
+def fastq_record_numbers(spark, sf):
+    reads = number_records(read_fastq(spark, derived.fastq_files(spark, sf)))
+    per_file = reads.groupBy("file").agg(F.count("*").alias("reads"), F.max("record_no").alias("last"))
+    dense = F.count_if(F.col("last") + 1 == F.col("reads")) == F.count("*")
+    return per_file.agg(F.sum("reads").alias("reads"), dense.alias("dense"))
+
+
+@query
+def fastq_source_validated(spark, sf):
+    return read_fastq_ranges(spark, derived.fastq_files(spark, sf)).select(*RECORD)
+
+
+@query
+def fastq_compare(spark, sf):
+    first = read_fastq(spark, derived.fastq_files(spark, sf))
+    second = read_fastq(spark, derived.fastq_files(spark, sf, derived.MATE_ROWS))
+    return pairing.fastq_compare(first, second)
+
+
+# SAM
+
+
+def _sam(spark, sf) -> DataFrame:
+    return parse_sam(derived.sam_text(spark, sf))
+
+
+@query
+def sam_split_counts(spark, sf):
+    lines = derived.sam_text(spark, sf)
+    return coordinates.sam_split_counts(sam_header(lines), parse_sam(lines))
+
+
+@query
+def sam_header_sorted(spark, sf):
+    return coordinates.sam_header_sorted(sam_header(derived.sam_text(spark, sf)))
+
+
+@query
+def mapped_reads(spark, sf):
+    mapped = coordinates.mapped_reads(_sam(spark, sf))
+    return mapped.select("qname", "flag", "rname", "pos", "mapq", "cigar", "seq", "qual", F.col("tags")[0].alias("tag"))
+
+
+@query
+def coordinate_sort(spark, sf):
+    ranked = coordinates.with_coordinate_rank(coordinates.mapped_reads(_sam(spark, sf)))
+    return ranked.select("rname", "pos", "qname", "cigar", "rank")
+
+
+@query
+def partition_by_id(spark, sf):
+    keyed = derived.reads(spark, sf).withColumn("k", F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")))
+    placed = partitioning.partition_by_id(keyed, 4, "k")
+    return placed.select("k", F.spark_partition_id().alias("part")).groupBy("k", "part").agg(F.count("*").alias("n"))
+
+
+@query
+def pipe_lines(spark, sf):
+    return external.pipe_lines(interleaved_pairs(spark, sf), "cat")
+
+
+@query
+def sam_partition_blocks(spark, sf):
+    lines = derived.sam_text(spark, sf)
+    body = coordinates.mapped_reads(parse_sam(lines))
+    blocks = coordinates.sam_partition_blocks(sam_header(lines), body)
+    return blocks.where(~F.startswith(F.col("value"), F.lit("@")))
+
+
+# Pileup
+
+
+@query
+def reference_bases_query(spark, sf):
+    return reference_bases(derived.reference(spark, sf), tile=100)
+
+
+@query
+def alignments_valid(spark, sf):
+    return valid_alignments(parse_alignments(derived.alignment_lines(spark, sf)))
+
+
+ALIGNED = ["chrom", "pos", "cigar", "bases", "qual"]
+
+
+@query
+def reads_with_reference(spark, sf):
+    found = pileup.with_reference(derived.alignments(spark, sf), derived.reference(spark, sf))
+    return found.select("chrom", "pos", "cigar", "bases", "ref_seq")
+
+
+@query
+def reads_with_reference_tiled(spark, sf):
+    # Tiles of 50 bases with an overlap of 20 make most alignments cross tiles.
+    found = pileup.with_reference(derived.alignments(spark, sf), derived.reference(spark, sf), 50, 20)
+    return found.select("chrom", "pos", "cigar", "bases", "ref_seq")
+
+
+@query
+def cigar_ops(spark, sf):
+    return pileup.cigar_ops(derived.alignments(spark, sf).select("chrom", "pos", "cigar"))
+
+
+@query
+def aligned_columns(spark, sf):
+    rows = derived.alignments(spark, sf).select("header", *ALIGNED)
+    referenced = pileup.with_reference(rows, derived.reference(spark, sf))
+    columns = pileup.aligned_columns(referenced, "chrom", "pos")
+    return columns.groupBy("chrom", "op", "ref", "base").agg(
+        F.count("*").alias("n"),
+        F.sum("col").alias("sum_col"),
+        F.sum(F.col("col") * F.col("pos")).alias("sum_col_pos"),
+    )
+
+
+@query
+def pileup_counts(spark, sf):
+    return pileup.pileup_counts(derived.alignments(spark, sf), derived.reference(spark, sf), min_q=20)
+
+
+@query
+def locus_count_lines(spark, sf):
+    return locus_lines(pileup_counts(spark, sf))
+
+
+@query
+def sam_pileup(spark, sf):
+    return jobs.sam_pileup(derived.sam_text(spark, sf), derived.reference(spark, sf))
+
+
+@query
+def baq_bases(spark, sf):
+    scored = baq.baq_bases(derived.alignments(spark, sf), derived.reference(spark, sf))
+    capped = F.count_if(F.col("baq") < F.col("q")).alias("capped")
+    return scored.groupBy("chrom", "pos", "ref", "base").agg(
+        F.count("*").alias("n"), F.sum("q").alias("sum_q"), F.min("baq").alias("min_baq"), capped
+    )
+
+
+@query
+def baq_pileup(spark, sf):
+    return baq.baq_pileup(derived.alignments(spark, sf), derived.reference(spark, sf))
+
+
+@query
+def snp_counts(spark, sf):
+    lines = derived.alignment_lines(spark, sf)
+    return jobs.snp_counts(parse_alignments(lines), derived.reference(spark, sf))
+
+
+# Two operators share their name with a query.
+QUERIES["trim_reads"] = QUERIES.pop("trim_reads_query")
+QUERIES["reference_bases"] = QUERIES.pop("reference_bases_query")
