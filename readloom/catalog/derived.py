@@ -28,6 +28,12 @@ def _letters(tag: str, letters: str) -> Column:
     return F.translate(F.concat(digest(0), digest(1)), HEX, letters)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Evaluate each row once. Otherwise the optimizer copies the derivation into every expression
+    that uses it, which a read that comes from a file does not suffer."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("row")).select("row.*")
+
+
 def reads(
     spark: SparkSession, sf_dir: str, where: str = "true", varied: bool = False, qualities: str = QUALITIES
 ) -> DataFrame:
@@ -39,12 +45,13 @@ def reads(
     )
     size = (24 + F.col("l_partkey") % 41).cast("int")
     cut = (lambda c: F.substring(c, F.lit(1), size)) if varied else (lambda c: c)
-    return rows.select(
+    derived = rows.select(
         F.concat(F.lit("@R"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("header"),
         cut(_letters("b", READ_BASES)).alias("bases"),
         cut(_letters("q", qualities)).alias("qual"),
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
     )
+    return settled(derived)
 
 
 def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,10 +81,11 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(v == 2, F.concat(at(0, 30), at(33, 34)))
         .otherwise(F.concat(F.lit("NNNN"), at(0, 60)))
     )
-    return placed.join(reference(spark, sf_dir), "chrom").select(
+    aligned = placed.join(reference(spark, sf_dir), "chrom").select(
         "header", "chrom", "pos", F.lit(60).alias("mapq"), cigar.alias("cigar"), bases.alias("bases"), "qual",
         "l_orderkey", "l_linenumber",
     )
+    return settled(aligned)
 
 
 def _unplaced(chrom: str = "chrom") -> Column:
@@ -106,7 +114,8 @@ def sam_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("*"), F.lit("0"), F.lit("0"), "bases", "qual",
         F.concat(F.lit("XO:i:"), text("l_orderkey")),
     ]
-    return top.unionByName(alignments(spark, sf_dir).select(F.concat_ws("\t", *fields).alias("value")))
+    body = alignments(spark, sf_dir).select(F.concat_ws("\t", *fields).alias("value"))
+    return top.unionByName(settled(body))
 
 
 def fastq_files(spark: SparkSession, sf_dir: str, where: str = "true", name: str = "fastq") -> str:

@@ -270,8 +270,9 @@ def reads_with_reference(spark, sf):
 
 @query
 def reads_with_reference_tiled(spark, sf):
-    # Tiles of 50 bases with an overlap of 20 make most alignments cross tiles.
-    found = pileup.with_reference(derived.alignments(spark, sf), derived.reference(spark, sf), 50, 20)
+    # Small tiles spread the four kinds of alignment over all three levels.
+    levels = ((50, 61), (100, 64))
+    found = pileup.with_reference(derived.alignments(spark, sf), derived.reference(spark, sf), levels)
     return found.select("chrom", "pos", "cigar", "bases", "ref_seq")
 
 

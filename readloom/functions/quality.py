@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # A character below '5' proves Phred+33, one above 'T' proves Phred+64.
 PHRED33, PHRED64 = 33, 64
-BELOW_5, ABOVE_T = r"[\x00-\x34]", r"[\x55-\x7e]"
 DECISIVE = r"[\x00-\x34\x55-\x7e]"
 
 
@@ -19,27 +18,34 @@ def phred_array(qual: Column, offset: int) -> Column:
     return F.transform(F.split(qual, ""), lambda ch: phred(ch, offset))
 
 
+def decides_offset(qual: Column) -> Column:
+    """True when some character proves the Phred offset."""
+    return F.rlike(qual, F.lit(DECISIVE))
+
+
 def decisive_offset(qual: Column) -> Column:
-    """Phred offset proved by the first decisive character; null when no character decides."""
-    ch = F.regexp_extract(qual, DECISIVE, 0)
-    return F.when(ch == "", None).when(F.ascii(ch) < ord("5"), PHRED33).otherwise(PHRED64)
+    """Phred offset proved by the first decisive character of a string that has one."""
+    first = F.regexp_extract(qual, DECISIVE, 0)
+    return F.when(first < "5", PHRED33).otherwise(PHRED64)
 
 
-def first_low_base(qual: Column, offset: int, min_q: int) -> Column:
-    """1-based place of the first base below ``min_q``; 0 when every base reaches it."""
-    last_low = offset + min_q - 1
-    if last_low < 0:
-        return F.lit(0)
-    return F.regexp_instr(qual, F.lit(rf"[\x00-\x{last_low:02x}]"))
+def _low(offset: int, min_q: int) -> str:
+    return rf"\x00-\x{offset + min_q - 1:02x}"
 
 
-def kept_length(qual: Column, offset: int, min_q: int, min_len: int, strict_len: bool) -> Column:
-    """Length of the prefix to keep, or null when the read is dropped.
+def survives_trim(qual: Column, offset: int, min_q: int, min_len: int, strict_len: bool) -> Column:
+    """True when the prefix before the first base below ``min_q`` is long enough.
 
-    A read that is cut needs ``min_len`` bases. A read without a low base needs one more, unless
-    ``strict_len`` asks for the same bound on both.
+    A read that is cut needs ``min_len`` good bases. A read without a low base needs one more,
+    unless ``strict_len`` asks for the same of both. In other words ``min_len`` good bases have to
+    be followed by one more base of any quality, which one anchored pattern tests.
     """
-    low = first_low_base(qual, offset, min_q)
-    uncut_min = max(min_len if strict_len else min_len + 1, 1)
-    cut = F.when(low - 1 >= max(min_len, 1), low - 1)
-    return F.when(low > 0, cut).otherwise(F.when(F.length(qual) >= uncut_min, F.length(qual)))
+    pattern = f"^[^{_low(offset, min_q)}]{{{max(min_len, 1)}}}"
+    if min_len >= 1 and not strict_len:
+        pattern += "."
+    return F.rlike(qual, F.lit(pattern))
+
+
+def good_prefix(qual: Column, offset: int, min_q: int) -> Column:
+    """The qualities before the first base below ``min_q``."""
+    return F.regexp_extract(qual, f"^[^{_low(offset, min_q)}]*", 0)

@@ -3,7 +3,7 @@
 Spark joins reads to their reference, spreads them over tasks and aggregates the result. Inside a
 task, reads of equal shape in an Arrow batch go through one array computation together: the
 forward-backward recurrences of a profile HMM with match, insertion and deletion states.
-Clipped bases stay out; deletions inside a row resolve with one triangular matrix product.
+Clipped bases stay out.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ GAP_OPEN, GAP_EXTEND, INSERTED = 0.001, 0.1, 0.25
 
 CLIPPED_OR_PADDED = r"\d+[SHP]"
 
-# Matrix cells per array step; keeps the arrays of one step inside the processor cache.
-CELLS = 1 << 16
+# Cells per array step, so that its arrays stay in the processor cache; rows between rescalings.
+CELLS, RESCALE = 1 << 16, 8
 
 BAQ_SCHEMA = "chrom string, pos int, ref string, base string, q int, baq double"
 
@@ -42,59 +42,76 @@ def posteriors(
     width = refs.shape[1]
     end = 1 / (2 * l)
     stay, gap, close = (1 - 2 * GAP_OPEN) * (1 - end), GAP_OPEN * (1 - end), (1 - GAP_EXTEND) * (1 - end)
-    extend, back, delete = GAP_EXTEND * (1 - end), 1 - GAP_EXTEND, GAP_EXTEND
     start_m, start_i = (1 - GAP_OPEN) / width, GAP_OPEN / width * INSERTED
-
-    step = np.arange(width)[None, :] - np.arange(width)[:, None] - 1
-    runs = np.where(step >= 0, delete ** np.maximum(step, 0), 0.0)
-    error = 10.0 ** (-quals / 10.0)
-
-    def emit(i: int) -> np.ndarray:
-        p = error[:, i, None]
-        return np.where(reads[:, i, None] == refs, 1 - p, p / 3)
-
-    def shifted(x: np.ndarray, by: int) -> np.ndarray:
-        out = np.zeros_like(x)
-        if by > 0:
-            out[:, 1:] = x[:, :-1]
-        else:
-            out[:, :-1] = x[:, 1:]
-        return out
-
-    rows, at = np.arange(batch), np.maximum(columns, 0)
-    fwd, bwd = np.empty((batch, l)), np.empty((batch, l))
-    scale = np.empty((batch, l))
+    # Insertion and deletion states are kept as their share of the next match, in units of ``stay``.
+    # Opening and extending them then takes the same factors in both directions.
+    open_i, more_i = gap * INSERTED * close / stay, GAP_EXTEND * (1 - end) * INSERTED
+    open_d, more_d = gap * (1 - GAP_EXTEND) / stay, GAP_EXTEND
+
+    # One row per reference column, so that a step along the reference is a plain slice.
+    refs, reads = np.ascontiguousarray(refs.T), np.ascontiguousarray(reads.T)
+    miss = 10.0 ** (-quals.T / 10.0) / 3
+    hit, miss = (1 - 3 * miss) * stay, miss * stay
+    at, each = np.maximum(columns, 0).T, np.arange(batch)
+    fwd, bwd, scale = np.empty((l, batch)), np.empty((l, batch)), np.ones((l, batch))
+    spare = np.empty((width, batch))
+
+    def emission(i: int) -> np.ndarray:
+        return np.where(refs == reads[i], hit[i], miss[i])
+
+    def insertion(m: np.ndarray, ins: np.ndarray) -> np.ndarray:
+        ins *= more_i
+        ins += np.multiply(m, open_i, out=spare)
+        return ins
+
+    m = emission(0) * (start_m / stay)
+    ins = np.full((width, batch), start_i * close / stay)
+    dele = np.zeros((width, batch))
     for i in range(l):
-        if i == 0:
-            m, ins = emit(0) * start_m, np.full((batch, width), start_i)
-        else:
-            m, ins = (
-                emit(i) * shifted(m * stay + ins * close + dele * back, 1),
-                (m * gap + ins * extend) * INSERTED,
-            )
-        scale[:, i] = m.sum(1) + ins.sum(1)
-        m /= scale[:, i, None]
-        ins /= scale[:, i, None]
-        dele = (m * gap) @ runs
-        fwd[:, i] = m[rows, at[:, i]]
-    tail = (m.sum(1) + ins.sum(1)) * end
-
-    m = np.full((batch, width), end)
-    ins = m.copy()
-    for i in range(l - 1, -1, -1):
-        if i < l - 1:
-            match = shifted(emit(i + 1) * m, -1)
-            dele = back * (match + delete * (match @ runs.T))
-            m, ins = (
-                match * stay + ins * (gap * INSERTED) + shifted(dele, -1) * gap,
-                match * close + ins * (extend * INSERTED),
-            )
-            m /= scale[:, i + 1, None]
-            ins /= scale[:, i + 1, None]
-        bwd[:, i] = m[rows, at[:, i]]
-    back_tail = ((emit(0) * m * start_m).sum(1) + ins.sum(1) * start_i) / scale[:, 0]
-    logs = np.log10(scale).sum(1)
-    return fwd * bwd / tail[:, None], logs + np.log10(tail), logs + np.log10(back_tail)
+        if i:
+            into = dele
+            into += m
+            into += ins
+            ins = insertion(m, ins)
+            m = emission(i)
+            m[1:] *= into[:-1]
+            m[0] = 0
+        if i % RESCALE == 0:
+            scale[i] = m.sum(0) + ins.sum(0)
+            m /= scale[i]
+            ins /= scale[i]
+        dele[0] = 0
+        np.multiply(m[:-1], open_d, out=dele[1:])
+        _carry(dele, more_d)
+        fwd[i] = m[at[i], each]
+    total = (m.sum(0) + ins.sum(0) * (stay / close)) * end
+
+    m = np.full((width, batch), end)
+    ins = np.full((width, batch), end * gap * INSERTED)
+    match = np.zeros((width, batch))
+    bwd[l - 1] = end
+    for i in range(l - 2, -1, -1):
+        np.multiply(emission(i + 1)[1:], m[1:], out=match[:-1])
+        np.multiply(match, open_d, out=dele)
+        _carry(dele[::-1], more_d)
+        np.add(match, ins, out=m)
+        m[:-1] += dele[1:]
+        ins = insertion(match, ins)
+        if (i + 1) % RESCALE == 0:
+            m /= scale[i + 1]
+            ins /= scale[i + 1]
+        bwd[i] = m[at[i], each]
+    first = (emission(0) * m).sum(0) * (start_m / stay)
+    back_total = (first + ins.sum(0) * (start_i / gap / INSERTED)) / scale[0]
+    logs = np.log10(scale).sum(0)
+    return (fwd * bwd / total).T, logs + np.log10(total), logs + np.log10(back_total)
+
+
+def _carry(x: np.ndarray, rate: float) -> None:
+    """In place, row by row: x[k] += rate * x[k-1]."""
+    spare = np.empty(x.shape[1])
+    for k in range(1, len(x)):
+        x[k] += np.multiply(x[k - 1], rate, out=spare)
 
 
 def cap_quality(post: np.ndarray, quals: np.ndarray) -> np.ndarray:
@@ -137,6 +154,8 @@ def _score(offset: int):
         for batch in batches:
             shapes = batch.select(["shape", "l", "width"]).to_pandas()
             for (shape, l, width), members in shapes.groupby(["shape", "l", "width"]).indices.items():
+                if l == 0 or width == 0:
+                    continue
                 step = max(1, CELLS // width)
                 for first in range(0, len(members), step):
                     yield _score_alike(batch.take(pa.array(members[first : first + step])), shape, l, width, offset)
@@ -180,7 +199,7 @@ def _shaped(referenced: DataFrame) -> DataFrame:
     )
     l = F.least(F.length("bases"), F.length("qual"))
     even = {c: F.substring(c, F.lit(1), F.col("l")) for c in ("bases", "qual")}
-    return unclipped.withColumn("l", l).withColumns(even).where("l > 0 and width > 0")
+    return unclipped.withColumn("l", l).withColumns(even)
 
 
 def baq_bases(alignments: DataFrame, ref: DataFrame, offset: int = 33) -> DataFrame:

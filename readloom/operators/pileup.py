@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from readloom.functions.bases import base_counts
 from readloom.functions.cigar import ALIGNED, USES_READ, USES_REF, cigar_items, reference_span
-from readloom.sources.reference import OVERLAP, TILE, reference_tiles
+from readloom.sources.reference import LEVELS, TILE, reference_levels, reference_tiles
 
-LOCUS_BIN = 1 << 16
+LOCUS_BIN = 1 << 10
 
 
 def cigar_ops(alignments: DataFrame) -> DataFrame:
@@ -19,47 +19,26 @@ def cigar_ops(alignments: DataFrame) -> DataFrame:
 
 
 def with_reference(
-    alignments: DataFrame, ref: DataFrame, tile: int = TILE, overlap: int = OVERLAP
+    alignments: DataFrame, ref: DataFrame, levels: tuple[tuple[int, int], ...] = LEVELS
 ) -> DataFrame:
     """Add ``ref_seq``, the reference under each alignment.
 
-    The genome is cut into overlapping tiles, and an alignment needs the tile it starts in. Spark
-    broadcasts the tiles when they measure small, and shuffles by tile when they do not. An
-    alignment that runs past the overlap collects its bases from all tiles it touches.
+    The genome is cut into overlapping tiles of several sizes. An alignment looks up the smallest
+    kind whose overlap its span fits, so one equi-join on one tile always holds all its bases.
+    Spark broadcasts the tiles when they measure small and shuffles by tile when they do not.
     """
-    span = reference_span(F.col("cigar"))
-    placed = alignments.select(
-        "*",
-        span.alias("_span"),
-        F.floor((F.col("pos") - 1) / tile).cast("int").alias("tile"),
-        F.pmod(F.col("pos") - 1, F.lit(tile)).alias("_at"),
+    start = F.col("pos") - 1
+    level, tile, at = F.lit(len(levels)), F.lit(0), start
+    for n, (size, overlap) in reversed(list(enumerate(levels))):
+        fits = F.col("_span") <= overlap
+        level = F.when(fits, n).otherwise(level)
+        tile = F.when(fits, F.floor(start / size).cast("int")).otherwise(tile)
+        at = F.when(fits, F.pmod(start, F.lit(size))).otherwise(at)
+    placed = alignments.withColumn("_span", reference_span(F.col("cigar"))).select(
+        "*", level.alias("level"), tile.alias("tile"), at.alias("_at")
     )
-    fits = F.col("_at") + F.col("_span") <= tile + overlap
-    tiles = reference_tiles(ref, tile, overlap)
-    near = placed.where(fits).join(tiles, ["chrom", "tile"])
-    near = near.select(*alignments.columns, F.substring("tile_seq", F.col("_at") + 1, F.col("_span")).alias("ref_seq"))
-
-    last = F.floor((F.col("_at") + F.col("_span") - 1) / tile).cast("int")
-    far = placed.where(~fits).select(
-        F.monotonically_increasing_id().alias("_id"),
-        F.struct(*alignments.columns).alias("_row"),
-        "chrom", "_at", "_span", "tile", last.alias("_last"),
-    )
-    far = far.select("*", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("_step"))
-    own = reference_tiles(ref, tile, 0)
-    start = F.when(F.col("_step") == 0, F.col("_at")).otherwise(0)
-    stop = F.least(F.lit(tile), F.col("_at") + F.col("_span") - F.col("_step") * tile)
-    pieces = (
-        far.withColumn("tile", F.col("tile") + F.col("_step"))
-        .join(own, ["chrom", "tile"])
-        .select("_id", "_row", F.struct("_step", F.substring("tile_seq", start + 1, stop - start).alias("text")).alias("piece"))
-    )
-    # The list holds the tiles of one alignment, so its own length bounds it.
-    joined = pieces.groupBy("_id").agg(
-        F.first("_row").alias("_row"),
-        F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["text"]), "").alias("ref_seq"),
-    )
-    return near.unionByName(joined.select("_row.*", "ref_seq"))
+    found = placed.join(reference_levels(ref, levels), ["chrom", "level", "tile"])
+    return found.select(*alignments.columns, F.substring("tile_seq", F.col("_at") + 1, F.col("_span")).alias("ref_seq"))
 
 
 def gapped_alignments(referenced: DataFrame) -> DataFrame:
@@ -126,7 +105,7 @@ def with_reference_base(loci: DataFrame, ref: DataFrame, tile: int = TILE) -> Da
     """Add ``ref`` after counting: one lookup per position instead of one per base."""
     at = F.pmod(F.col("pos") - 1, F.lit(tile))
     keyed = loci.withColumn("tile", F.floor((F.col("pos") - 1) / tile).cast("int"))
-    found = keyed.join(reference_tiles(ref, tile, 0), ["chrom", "tile"])
+    found = keyed.join(reference_tiles(ref, tile), ["chrom", "tile"])
     counts = [c for c in loci.columns if c not in ("chrom", "pos")]
     return found.select("chrom", "pos", F.substring("tile_seq", at + 1, F.lit(1)).alias("ref"), *counts)
 

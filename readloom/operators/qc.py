@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom.functions.bases import gc_count
-from readloom.functions.quality import decisive_offset, phred
+from readloom.functions.quality import decides_offset, decisive_offset, phred
 from readloom.functions.text import rounded, two_decimals
 
 # Reported shares of reads, in percent; cycles shown alone; cycles per later group.
@@ -25,7 +25,8 @@ def phred_offset(reads: DataFrame, *order: str, sample: int | None = None) -> Da
     """
     if sample is not None:
         reads = reads.orderBy(*order).limit(sample)
-    found = reads.select(decisive_offset(F.col("qual")).alias("offset"), *order).where("offset is not null")
+    qual = F.col("qual")
+    found = reads.where(decides_offset(qual)).select(decisive_offset(qual).alias("offset"), *order)
     first = F.min_by("offset", F.struct(*order)) if order else F.first("offset")
     return found.agg(F.coalesce(first, F.lit(0)).alias("offset"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.functions.quality import kept_length
+from readloom.functions.quality import good_prefix, survives_trim
 
 
 def trim_reads(
@@ -16,10 +16,7 @@ def trim_reads(
     A narrow projection and filter. By default a read without any low base must be one base
     longer than ``min_len``; ``strict_len=True`` uses ``min_len`` for both.
     """
-    kept = reads.withColumn("kept_len", kept_length(F.col("qual"), offset, min_q, min_len, strict_len))
-    return kept.where(F.col("kept_len").isNotNull()).withColumns(
-        {
-            "bases": F.substring("bases", F.lit(1), F.col("kept_len")),
-            "qual": F.substring("qual", F.lit(1), F.col("kept_len")),
-        }
-    )
+    survivors = reads.where(survives_trim(F.col("qual"), offset, min_q, min_len, strict_len))
+    kept = F.length(good_prefix(F.col("qual"), offset, min_q))
+    cut = lambda text: F.substring(F.col(text), F.lit(1), kept)
+    return survivors.withColumns({"bases": cut("bases"), "qual": cut("qual"), "kept_len": kept})

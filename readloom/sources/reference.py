@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TILE, OVERLAP = 4096, 1024
+TILE = 4096
+# (tile, overlap) per level; a last level keeps each sequence in one piece.
+LEVELS = ((1 << 12, 1 << 10), (1 << 18, 1 << 16))
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -15,7 +17,7 @@ def read_reference(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(parts[0].alias("chrom"), parts[1].alias("seq"))
 
 
-def reference_tiles(ref: DataFrame, tile: int = TILE, overlap: int = OVERLAP) -> DataFrame:
+def reference_tiles(ref: DataFrame, tile: int = TILE, overlap: int = 0) -> DataFrame:
     """``chrom, tile, tile_seq``: tile t starts at base ``t * tile + 1`` and runs ``overlap``
     bases into the next one. One pass over the sequence cuts all tiles."""
     pattern = f"(?=(.{{1,{tile + overlap}}})).{{1,{tile}}}"
@@ -23,8 +25,17 @@ def reference_tiles(ref: DataFrame, tile: int = TILE, overlap: int = OVERLAP) ->
     return ref.select("chrom", F.posexplode(cut).alias("tile", "tile_seq"))
 
 
+def reference_levels(ref: DataFrame, levels: tuple[tuple[int, int], ...] = LEVELS) -> DataFrame:
+    """``chrom, level, tile, tile_seq``: the tiles of every level, coarser with each level."""
+    whole = ref.select("chrom", F.lit(len(levels)).alias("level"), F.lit(0).alias("tile"), F.col("seq").alias("tile_seq"))
+    for level, (tile, overlap) in enumerate(levels):
+        cut = reference_tiles(ref, tile, overlap)
+        whole = whole.unionByName(cut.select("chrom", F.lit(level).alias("level"), "tile", "tile_seq"))
+    return whole
+
+
 def reference_bases(ref: DataFrame, tile: int = TILE) -> DataFrame:
     """``chrom, pos, ref``, one row per base, exploded tile by tile to keep rows small."""
-    tiles = reference_tiles(ref, tile, 0)
+    tiles = reference_tiles(ref, tile)
     bases = tiles.select("chrom", "tile", F.posexplode(F.split("tile_seq", "")).alias("i", "ref"))
     return bases.select("chrom", (F.col("tile") * tile + F.col("i") + 1).alias("pos"), "ref")
