@@ -1,0 +1,108 @@
+"""End-to-end jobs over files."""
+
+import random
+
+import pytest
+
+from readloom.plans import jobs
+from readloom.sinks import write_locus_counts
+from readloom.sources import read_reference, valid_alignments
+
+# A stand-in aligner: one SAM line per read of interleaved FASTQ, placed by its name.
+ALIGNER = (
+    """awk 'BEGIN {OFS="\\t"; print "@HD","VN:1.4","SO:unsorted"; print "@SQ","SN:chr1","LN:300"} """
+    """NR % 4 == 1 {split(substr($1, 2), a, "/"); split(a[1], n, ".")} """
+    """NR % 4 == 2 {seq = $0} """
+    """NR % 4 == 0 {print a[1], 0, (n[2] % 7 == 0 ? "*" : "chr1"), n[2], 60, length(seq) "M", "*", 0, 0, seq, $0}'"""
+)
+
+
+@pytest.fixture
+def files(tmp_path):
+    rng = random.Random(1)
+    seq = "".join(rng.choices("ACGT", k=300))
+    (tmp_path / "ref.txt").write_text(f"chr1 {seq}\n")
+    for mate in (1, 2):
+        with open(tmp_path / f"r{mate}.fastq", "w") as out:
+            for i in range(120):
+                pos, size = 1 + i * 2, 40
+                qual = "I" * 35 + ("#" if i % 3 == 0 else "@") + "I" * 4
+                if i % 10 == mate:
+                    qual = "#" + qual[1:]
+                out.write(f"@read.{pos}/{mate}\n{seq[pos - 1 : pos - 1 + size]}\n+\n{qual}\n")
+    return tmp_path, seq
+
+
+def folder(path) -> list[str]:
+    return [line for p in sorted(path.glob("part-*")) for line in p.read_text().splitlines()]
+
+
+@pytest.mark.parametrize("reader", ["text", "ranges"])
+@pytest.mark.parametrize("method", ["group", "join"])
+def test_qc_and_trim(spark, files, reader, method):
+    root, _ = files
+    done = jobs.qc_and_trim(
+        spark, str(root / "r1.fastq"), str(root / "r2.fastq"), str(root / "o1"), str(root / "o2"),
+        str(root / "qc"), method=method, reader=reader,
+    )
+    assert done
+    report = folder(root / "qc")
+    assert report[:3] == ["Measure value ", "Filename:r1.fastq ", "Total reads:120 "]
+    assert report[4] == "Sequence length:40 " and len(report) == 8 + 9 + 6 + 1
+    mates = [folder(root / o) for o in ("o1", "o2")]
+    heads = [[h.split("/") for h in m[::4]] for m in mates]
+    assert [h[0] for h in heads[0]] == [h[0] for h in heads[1]]
+    # One read in ten starts low in each file; 24 of 120 pairs are gone.
+    assert len(heads[0]) == 96 and {h[1] for h in heads[0]} == {"1"} and {h[1] for h in heads[1]} == {"2"}
+    assert {len(b) for b in mates[0][1::4]} == {35, 40}
+
+
+def test_undecided_offset_stops(spark, tmp_path):
+    path = tmp_path / "a.fastq"
+    path.write_text("@a/1\nACG\n+\nAAA\n")
+    assert not jobs.qc(spark, str(path), str(tmp_path / "qc"))
+    assert not jobs.trim_pair(spark, str(path), str(path), str(tmp_path / "x"), str(tmp_path / "y"))
+    assert jobs.ngs(spark, str(path), str(path), str(tmp_path / "z"), "cat") is None
+    assert not (tmp_path / "qc").exists() and not (tmp_path / "x").exists()
+
+
+def test_full_chain(spark, files):
+    root, seq = files
+    ref = read_reference(spark, str(root / "ref.txt"))
+    loci = jobs.ngs(spark, str(root / "r1.fastq"), str(root / "r2.fastq"), str(root / "qc"), ALIGNER, ref)
+    depth: dict[int, int] = {}
+    for i in range(120):
+        pos = 1 + i * 2
+        if i % 10 in (1, 2) or pos % 7 == 0:
+            continue
+        for p in range(pos, pos + (35 if i % 3 == 0 else 40)):
+            depth[p] = depth.get(p, 0) + 2
+    rows = loci.collect()
+    assert {r.pos: r.total for r in rows} == depth
+    for r in rows:
+        assert r.ref == seq[r.pos - 1] and r[r.ref.lower()] == r.total
+
+
+def test_full_chain_with_pileup_command(spark, files):
+    root, _ = files
+    count = "awk '!/^@/ {n++} END {if (n) print n}'"
+    out = jobs.ngs(
+        spark, str(root / "r1.fastq"), str(root / "r2.fastq"), str(root / "qc"), ALIGNER,
+        pileup_command=count, trim=False,
+    )
+    kept = sum(2 for i in range(120) if (1 + i * 2) % 7)
+    assert sum(int(r.value) for r in out.collect()) == kept
+
+
+def test_snp_counts_and_sink(spark, files):
+    root, seq = files
+    ref = read_reference(spark, str(root / "ref.txt"))
+    rows = [("chr1", 1 + i, 60, "30M", seq[i : i + 30], "I" * 30) for i in range(0, 200, 5)]
+    rows += [("*", 1, 60, "*", seq[:30], "I" * 30)]
+    reads = spark.createDataFrame(rows, "chrom string, pos int, mapq int, cigar string, bases string, qual string")
+    loci = jobs.snp_counts(reads, ref, min_baq=10)
+    write_locus_counts(loci, str(root / "snp"), ordered=True)
+    lines = [line.split(" ") for line in folder(root / "snp")]
+    assert lines and [int(x[1]) for x in lines] == sorted(int(x[1]) for x in lines)
+    assert all(x[0] == "chr1" and x[2] == seq[int(x[1]) - 1] and len(x) == 9 for x in lines)
+    assert sum(int(x[3]) for x in lines) <= 30 * valid_alignments(reads).count()
