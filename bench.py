@@ -32,7 +32,8 @@ HEADLINE = [
 ]
 
 
-def timed(run) -> float:
+def timed(spark, run) -> float:
+    spark.catalog.clearCache()
     start = time.perf_counter()
     run().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
@@ -46,9 +47,8 @@ def main() -> None:
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "readloom-bench")
     seconds = {}
     for name in names:
-        taken = [timed(lambda: QUERIES[name](spark, sf_dir)) for _ in range(runs + 1)]
+        taken = [timed(spark, lambda: QUERIES[name](spark, sf_dir)) for _ in range(runs + 1)]
         seconds[name] = round(statistics.median(taken[1:]), 3)
-        spark.catalog.clearCache()
     total = round(sum(seconds.values()), 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))

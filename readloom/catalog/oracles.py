@@ -258,6 +258,9 @@ ORACLES: dict[str, str] = {
         from (select case when l_linenumber < 7 then l_linenumber end as k from lineitem) group by 1, 2""",
     "pipe_lines": f"with {PAIRS} select unnest(string_split(concat_ws(chr(10), {_fastq(1)}, {_fastq(2)}), chr(10))) as value from pairs",
     "sam_partition_blocks": f"with {ALN} select {SAM_LINE} as value from aln where shown <> '*'",
+    "pileup_by_region": f"""with {ALN}
+        select concat_ws(chr(9), shown, cast(pos as varchar), cast(count(*) as varchar)) as value
+        from aln where shown <> '*' group by shown, pos""",
     "reference_bases": f"""with {REF}
         select chrom, cast(i as integer) as pos, substr(seq, i, 1) as ref
         from (select chrom, seq, unnest(range(1, length(seq) + 1)) as i from ref)""",

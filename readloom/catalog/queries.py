@@ -246,6 +246,16 @@ def sam_partition_blocks(spark, sf):
     return blocks.where(~F.startswith(F.col("value"), F.lit("@")))
 
 
+# Prints name, position and depth like a pileup tool; counts the start of a read only.
+STARTS = "awk -F'\\t' '!/^@/ {n[$3 FS $4]++} END {for (k in n) print k FS n[k]}'"
+
+
+@query
+def pileup_by_region(spark, sf):
+    lines = derived.sam_text(spark, sf)
+    return jobs.sam_pileup(lines, command=STARTS, region=100)
+
+
 # Pileup
 
 

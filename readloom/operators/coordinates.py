@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from readloom.functions.cigar import reference_span
+from readloom.operators.external import pipe_lines
 from readloom.sources.sam import SAM_FIELDS
 
 SORT_KEYS = ["rname", "pos", "qname", "flag"]
 HEADER_LIMIT = 64 << 20
+REGION = 1 << 20
 
 
 def sam_split_counts(header: DataFrame, sam: DataFrame) -> DataFrame:
@@ -52,7 +55,8 @@ def with_coordinate_rank(sam: DataFrame) -> DataFrame:
 
     A window per reference name would put a whole chromosome into one task. Instead each sorted
     partition numbers its rows, and a table of one row per partition and name adds what earlier
-    partitions hold. The sorted rows are stored once, because both steps must see the same split.
+    partitions hold. The sorted rows are stored once, because both steps must see the same split;
+    ``spark.catalog.clearCache()`` frees them after use.
     """
     rows = coordinate_sort(sam).persist(StorageLevel.DISK_ONLY)
     placed = rows.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
@@ -63,7 +67,9 @@ def with_coordinate_rank(sam: DataFrame) -> DataFrame:
         .select("rname", "part", "first_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     )
     rank = F.col("id") - F.col("first_id") + F.col("before") + 1
-    return placed.join(starts, ["rname", "part"]).select(*sam.columns, rank.alias("rank"))
+    # In sorted order a name fills neighbouring partitions, so ``starts`` has fewer rows than there
+    # are partitions and names together, whatever the number of reads: safe to broadcast.
+    return placed.join(F.broadcast(starts), ["rname", "part"]).select(*sam.columns, rank.alias("rank"))
 
 
 def sam_lines(sam: DataFrame) -> DataFrame:
@@ -75,16 +81,21 @@ def sam_lines(sam: DataFrame) -> DataFrame:
 def sam_partition_blocks(header: DataFrame, sam: DataFrame, whole_names: bool = True) -> DataFrame:
     """Lines to feed a SAM tool: in every partition the header, then its alignments in order.
 
-    ``whole_names`` keeps each reference name in one partition, as tools that count per position
-    need; rows stream through a spilling sort and are never gathered. Otherwise partitions are
-    ranges of positions, which tools that treat reads one by one can take. Empty partitions stay
-    empty.
+    ``whole_names`` keeps each reference name in one partition; rows stream through a spilling
+    sort and are never gathered. Otherwise partitions are ranges of positions, for tools that
+    treat reads one by one. A tool that counts per position scales with ``pileup_by_region``.
+    Empty partitions stay empty.
     """
-    top = _collect_small(sam_header_sorted(header))
     if whole_names:
         ordered = sam.repartitionByRange("rname").sortWithinPartitions(*SORT_KEYS)
     else:
         ordered = coordinate_sort(sam)
+    return _headed(header, ordered)
+
+
+def _headed(header: DataFrame, ordered: DataFrame) -> DataFrame:
+    """SAM text of sorted partitions, each that has rows led by the header."""
+    top = _collect_small(sam_header_sorted(header))
 
     def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         started = False
@@ -97,6 +108,36 @@ def sam_partition_blocks(header: DataFrame, sam: DataFrame, whole_names: bool =
     return sam_lines(ordered).mapInArrow(with_header, "value string")
 
 
+def pileup_by_region(header: DataFrame, sam: DataFrame, command: str, width: int = REGION) -> DataFrame:
+    """Output of a pileup command that prints ``name<tab>position...``, run once per region.
+
+    A large chromosome is cut into regions of ``width`` bases, one partition each. A read goes to
+    every region it touches, so the command sees all reads over a position; of its output only the
+    positions inside the region count, which makes the result that of whole chromosomes.
+    """
+    first = F.floor((F.col("pos") - 1) / width)
+    last = F.floor((F.col("pos") + F.greatest(reference_span(F.col("cigar")), F.lit(1)) - 2) / width)
+    touched = sam.select("*", F.explode(F.sequence(first, last)).alias("region"))
+    # One row per region, at most genome length / width of them.
+    regions = [tuple(r) for r in touched.select("rname", "region").distinct().orderBy("rname", "region").collect()]
+    if not regions:
+        return sam.select(F.lit("").alias("value")).limit(0)
+    spark = sam.sparkSession
+    rows = [(name, at, place) for place, (name, at) in enumerate(regions)]
+    numbered = spark.createDataFrame(rows, "rname string, region long, place int")
+    placed = touched.join(F.broadcast(numbered), ["rname", "region"])
+    ordered = placed.repartitionById(len(regions), "place").sortWithinPartitions(*SORT_KEYS)
+    output = pipe_lines(_headed(header, ordered), command)
+    name, pos = F.split_part("value", F.lit("\t"), F.lit(1)), F.split_part("value", F.lit("\t"), F.lit(2))
+    found = output.select(
+        "value",
+        F.spark_partition_id().alias("place"),
+        name.alias("rname"),
+        F.floor((pos.try_cast("int") - 1) / width).alias("region"),
+    )
+    return found.join(F.broadcast(numbered), ["rname", "region", "place"], "left_semi").select("value")
+
+
 def _collect_small(header: DataFrame) -> list[str]:
     """Header lines on the driver, after a check that they are as few as headers should be."""
     size = header.agg(F.coalesce(F.sum(F.length("line")), F.lit(0))).head()[0]

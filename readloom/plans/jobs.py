@@ -100,17 +100,24 @@ def align_external(pairs: DataFrame, command: str) -> DataFrame:
 
 
 def sam_pileup(
-    lines: DataFrame, ref: DataFrame | None = None, command: str | None = None, min_q: int = 0, offset: int = 33
+    lines: DataFrame,
+    ref: DataFrame | None = None,
+    command: str | None = None,
+    min_q: int = 0,
+    offset: int = 33,
+    region: int | None = None,
 ) -> DataFrame:
     """Pileup of SAM lines: native locus counts, or the output lines of a command.
 
-    A command gets the sorted header and whole reference names in coordinate order.
+    A command gets the sorted header and whole reference names in coordinate order, or, with
+    ``region``, one stretch of that many bases at a time.
     """
     body = coordinates.mapped_reads(parse_sam(lines))
-    if command is not None:
-        blocks = coordinates.sam_partition_blocks(sam_header(lines), body)
-        return external.pipe_lines(blocks, command)
-    return pileup.pileup_counts(as_alignments(body), ref, min_q, offset)
+    if command is None:
+        return pileup.pileup_counts(as_alignments(body), ref, min_q, offset)
+    if region is not None:
+        return coordinates.pileup_by_region(sam_header(lines), body, command, region)
+    return external.pipe_lines(coordinates.sam_partition_blocks(sam_header(lines), body), command)
 
 
 def as_alignments(sam: DataFrame) -> DataFrame:

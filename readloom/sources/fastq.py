@@ -24,6 +24,12 @@ READ_COLUMNS = ["file", "block", "seq", "header", "bases", "qual"]
 
 _PLACE = ["file", "block", "seq"]
 
+# Kinds of chunk; blank lines may follow at the end of a file. Bases and qualities of a whole read
+# are both there or both empty, which tells a read without bases from a truncated one.
+WHOLE = r"\A[^\n]*\n(?:[^\n]+\n\+[^\n]*\n[^\n]+|\n\+[^\n]*\n)\n*\z"
+HEAD = r"\A[^\n]*\n[^\n]*\n\+[^\n]*\z"
+TAIL = r"\A[^\n]*\n*\z"
+
 
 def read_fastq(spark: SparkSession, paths: str | list[str], partitions: int | None = None) -> DataFrame:
     """Reads of one or more FASTQ files. ``+name`` separators and CRLF line ends are accepted.
@@ -38,43 +44,33 @@ def read_fastq(spark: SparkSession, paths: str | list[str], partitions: int | No
 
 def _chunks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     text = spark.read.option("lineSep", "\n@").text(paths)
-    # Trailing blank lines at the end of a file are no lines of a record.
-    lines = F.split(F.replace(F.col("value"), F.lit("\r")), "\n", -1)
     return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-        lines.alias("lines"),
+        F.replace(F.col("value"), F.lit("\r")).alias("chunk"),
     )
 
 
-def _blank_after(lines: Column, n: int) -> Column:
-    """True when the chunk has n lines and nothing but line ends behind them."""
-    rest = F.slice(lines, n + 1, F.greatest(F.size(lines) - n, F.lit(0)))
-    return (F.size(lines) >= n) & (F.array_join(rest, "") == "")
-
-
-def _header(lines: Column) -> Column:
+def _header(line: Column) -> Column:
     """Restore the ``@`` that the row separator took; only the first row of a file still has it."""
-    return F.when(F.startswith(lines[0], F.lit("@")), lines[0]).otherwise(F.concat(F.lit("@"), lines[0]))
+    return F.when(F.startswith(line, F.lit("@")), line).otherwise(F.concat(F.lit("@"), line))
 
 
 def _whole_reads(chunks: DataFrame) -> DataFrame:
-    lines = F.col("lines")
-    complete = F.startswith(lines[2], F.lit("+")) & ((lines[3] != "") | (lines[1] == ""))
-    return chunks.where(_blank_after(lines, 4) & complete).select(
-        *_PLACE, _header(lines).alias("header"), lines[1].alias("bases"), lines[3].alias("qual")
+    line = F.split("chunk", "\n")
+    return chunks.where(F.rlike("chunk", F.lit(WHOLE))).select(
+        *_PLACE, _header(line[0]).alias("header"), line[1].alias("bases"), line[3].alias("qual")
     )
 
 
 def _stitched_reads(chunks: DataFrame) -> DataFrame:
-    lines = F.col("lines")
-    is_head = (F.size(lines) == 3) & F.startswith(lines[2], F.lit("+"))
-    is_tail = _blank_after(lines, 1)
-    parts = chunks.where(is_head | is_tail).select(
+    line = F.split("chunk", "\n")
+    is_head = F.rlike("chunk", F.lit(HEAD))
+    parts = chunks.where(F.rlike("chunk", F.lit(f"{HEAD}|{TAIL}"))).select(
         *_PLACE,
-        F.when(is_head, F.struct(_header(lines).alias("header"), lines[1].alias("bases"))).alias("head"),
-        F.when(is_tail, F.concat(F.lit("@"), lines[0])).alias("tail"),
+        F.when(is_head, F.struct(_header(line[0]).alias("header"), line[1].alias("bases"))).alias("head"),
+        F.when(~is_head, F.concat(F.lit("@"), line[0])).alias("tail"),
     )
     in_block = W.partitionBy("file", "block").orderBy("seq")
     near = parts.select(

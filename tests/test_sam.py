@@ -83,3 +83,20 @@ def test_partition_by_id(spark):
     placed = partitioning.partition_by_id(df, 3, "k").select("k", F.spark_partition_id().alias("p"))
     assert placed.rdd.getNumPartitions() == 3
     assert {(r.k, r.p) for r in placed.collect()} == {(i, i % 3) for i in range(9)} | {(None, 0)}
+
+
+DEPTH = (
+    "awk -F'\\t' '!/^@/ {for (p = $4; p < $4 + 4; p++) n[$3 FS p]++} "
+    "END {for (k in n) print k FS n[k]}'"
+)
+
+
+def test_regions_agree_with_whole_names(spark):
+    lines = lines_of(spark, HEADER + body(300))
+    sam = coordinates.mapped_reads(parse_sam(lines))
+    whole = external.pipe_lines(coordinates.sam_partition_blocks(sam_header(lines), sam), DEPTH)
+    want = sorted(r.value for r in whole.collect())
+    for width in (3, 50, 1000):
+        got = coordinates.pileup_by_region(sam_header(lines), sam, DEPTH, width)
+        assert sorted(r.value for r in got.collect()) == want
+    assert coordinates.pileup_by_region(sam_header(lines), sam.limit(0), DEPTH).count() == 0
