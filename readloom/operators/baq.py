@@ -13,11 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from readloom.functions.bases import base_sums
 from readloom.functions.cigar import ALIGNED, CIGAR_ITEM, USES_REF, cigar_items
-from readloom.operators.pileup import gather_by_locus, locus_counts, with_reference, with_reference_base
+from readloom.operators.pileup import gather_by_locus, with_reference, with_reference_base
 
 # Gap opening, gap extension, chance of an inserted base.
 GAP_OPEN, GAP_EXTEND, INSERTED = 0.001, 0.1, 0.25
@@ -149,7 +151,16 @@ def base_columns(shape: str, l: int, width: int) -> np.ndarray:
     return np.where(found < width, found, -1)
 
 
-def _score(offset: int):
+def _tally(scored: pa.RecordBatch, min_baq: float) -> Iterator[pa.RecordBatch]:
+    """Counts per position and base of the bases that reach ``min_baq``."""
+    good = pa.Table.from_batches([scored]).filter(pc.field("baq") >= min_baq)
+    counted = good.group_by(["chrom", "pos", "base"], use_threads=False).aggregate([([], "count_all")])
+    yield from counted.rename_columns(["chrom", "pos", "base", "count"]).combine_chunks().to_batches()
+
+
+def _score(offset: int, min_baq: float | None = None):
+    """Scored bases, or their tally when a threshold is given."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shapes = batch.select(["shape", "l", "width"]).to_pandas()
@@ -158,7 +169,12 @@ def _score(offset: int):
                     continue
                 step = max(1, CELLS // width)
                 for first in range(0, len(members), step):
-                    yield _score_alike(batch.take(pa.array(members[first : first + step])), shape, l, width, offset)
+                    part = batch.take(pa.array(members[first : first + step]))
+                    scored = _score_alike(part, shape, l, width, offset)
+                    if min_baq is None:
+                        yield scored
+                    else:
+                        yield from _tally(scored, min_baq)
 
     return run
 
@@ -208,7 +224,12 @@ def baq_bases(alignments: DataFrame, ref: DataFrame, offset: int = 33) -> DataFr
 
 
 def baq_pileup(alignments: DataFrame, ref: DataFrame, min_baq: int = 20, offset: int = 33) -> DataFrame:
-    """Locus counts of bases whose ``baq`` reaches ``min_baq``."""
-    scored = baq_bases(gather_by_locus(alignments), ref, offset)
-    loci = locus_counts(scored.where(F.col("baq") >= min_baq).select("chrom", "pos", "base"))
+    """Locus counts of bases whose ``baq`` reaches ``min_baq``.
+
+    Tasks count what they score before it leaves Python, so a region's reads come back as one row
+    per position and base.
+    """
+    shaped = _shaped(with_reference(gather_by_locus(alignments), ref))
+    counted = shaped.mapInArrow(_score(offset, min_baq), "chrom string, pos int, base string, count long")
+    loci = counted.groupBy("chrom", "pos").agg(*base_sums(F.col("base"), F.col("count")))
     return with_reference_base(loci, ref)
