@@ -52,21 +52,26 @@ def posteriors(
 
     # One row per reference column, so that a step along the reference is a plain slice.
     refs, reads = np.ascontiguousarray(refs.T), np.ascontiguousarray(reads.T)
-    miss = 10.0 ** (-quals.T / 10.0) / 3
-    hit, miss = (1 - 3 * miss) * stay, miss * stay
+    miss = 10.0 ** (-np.ascontiguousarray(quals.T) / 10.0) / 3
+    gain, miss = (1 - 4 * miss) * stay, miss * stay
     at, each = np.maximum(columns, 0).T, np.arange(batch)
     fwd, bwd, scale = np.empty((l, batch)), np.empty((l, batch)), np.ones((l, batch))
-    spare = np.empty((width, batch))
+    # Every step writes into the same few arrays; fresh ones would cost more than the arithmetic.
+    spare, emitted = np.empty((width, batch)), np.empty((width, batch))
 
-    def emission(i: int) -> np.ndarray:
-        return np.where(refs == reads[i], hit[i], miss[i])
+    def emission(i: int, out: np.ndarray) -> np.ndarray:
+        """``miss`` where read and reference differ, ``miss + gain`` where they agree."""
+        out[...] = refs == reads[i]
+        out *= gain[i]
+        out += miss[i]
+        return out
 
     def insertion(m: np.ndarray, ins: np.ndarray) -> np.ndarray:
         ins *= more_i
         ins += np.multiply(m, open_i, out=spare)
         return ins
 
-    m = emission(0) * (start_m / stay)
+    m = emission(0, emitted) * (start_m / stay)
     ins = np.full((width, batch), start_i * close / stay)
     dele = np.zeros((width, batch))
     for i in range(l):
@@ -75,7 +80,7 @@ def posteriors(
             into += m
             into += ins
             ins = insertion(m, ins)
-            m = emission(i)
+            m = emission(i, m)
             m[1:] *= into[:-1]
             m[0] = 0
         if i % RESCALE == 0:
@@ -93,7 +98,7 @@ def posteriors(
     match = np.zeros((width, batch))
     bwd[l - 1] = end
     for i in range(l - 2, -1, -1):
-        np.multiply(emission(i + 1)[1:], m[1:], out=match[:-1])
+        np.multiply(emission(i + 1, emitted)[1:], m[1:], out=match[:-1])
         np.multiply(match, open_d, out=dele)
         _carry(dele[::-1], more_d)
         np.add(match, ins, out=m)
@@ -103,7 +108,7 @@ def posteriors(
             m /= scale[i + 1]
             ins /= scale[i + 1]
         bwd[i] = m[at[i], each]
-    first = (emission(0) * m).sum(0) * (start_m / stay)
+    first = (emission(0, emitted) * m).sum(0) * (start_m / stay)
     back_total = (first + ins.sum(0) * (start_i / gap / INSERTED)) / scale[0]
     logs = np.log10(scale).sum(0)
     return (fwd * bwd / total).T, logs + np.log10(total), logs + np.log10(back_total)
@@ -113,7 +118,8 @@ def _carry(x: np.ndarray, rate: float) -> None:
     """In place, row by row: x[k] += rate * x[k-1]."""
     spare = np.empty(x.shape[1])
     for k in range(1, len(x)):
-        x[k] += np.multiply(x[k - 1], rate, out=spare)
+        np.multiply(x[k - 1], rate, out=spare)
+        x[k] += spare
 
 
 def cap_quality(post: np.ndarray, quals: np.ndarray) -> np.ndarray:
