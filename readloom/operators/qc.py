@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions.bases import gc_count
 from readloom.functions.quality import decides_offset, decisive_offset, phred
-from readloom.functions.text import rounded, two_decimals
+from readloom.functions.text import basename, rounded, two_decimals
 
 # Reported shares of reads, in percent; cycles shown alone; cycles per later group.
 SHARES = (10, 25, 50, 75, 90)
@@ -58,6 +58,12 @@ def cycle_quality_hist(reads: DataFrame, offset: int = 33) -> DataFrame:
     return long.groupBy("cycle", "q").agg(F.count("*").alias("n"))
 
 
+def quality_maps(hist: DataFrame) -> DataFrame:
+    """The histogram as one ``counts`` map (quality to reads) per cycle."""
+    entries = F.collect_list(F.struct("q", "n"))  # one entry per quality value
+    return hist.groupBy("cycle").agg(F.map_from_entries(entries).alias("counts"))
+
+
 def cycle_quantiles(hist: DataFrame) -> DataFrame:
     """Per cycle: reads, the largest q reached by at least each share of reads, the mean q.
 
@@ -116,16 +122,19 @@ def qc_boxplot(quantiles: DataFrame) -> DataFrame:
 
 
 def qc_report_lines(
-    name: str, summary: DataFrame, average: DataFrame, boxplot: DataFrame
+    path: str, summary: DataFrame, average: DataFrame, boxplot: DataFrame
 ) -> DataFrame:
-    """The text report as ``line_no, line``; spaces before line ends belong to the format."""
+    """The text report as ``line_no, line``; spaces before line ends belong to the format.
+
+    ``path`` is shown by its last part.
+    """
     length = F.when(F.col("min_len") == F.col("max_len"), F.concat(F.col("max_len"), F.lit(" "))).otherwise(
         F.concat(F.col("min_len"), F.lit("-"), F.col("max_len"), F.lit("  "))
     )
     # The labels of the report, in order.
     head = [
         F.lit("Measure value "),
-        F.concat(F.lit("Filename:"), F.lit(name), F.lit(" ")),
+        F.concat(F.lit("Filename:"), basename(F.lit(path)), F.lit(" ")),
         F.concat(F.lit("Total reads:"), F.col("reads"), F.lit(" ")),
         F.concat(F.lit("Total Sequences:"), F.col("bases"), F.lit(" ")),
         F.concat(F.lit("Sequence length:"), length),

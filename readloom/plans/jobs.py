@@ -47,12 +47,12 @@ def qc(spark: SparkSession, path: str, report_path: str, reader: str = "text", f
 
 
 def _write_qc(spark: SparkSession, reads: DataFrame, path: str, report_path: str, offset: int) -> None:
-    # The histogram is a few rows per cycle; storing it keeps the reads to one pass for it.
+    # The histogram has a few rows per cycle. Stored, it costs one pass over the reads, though both
+    # the average and the box plot use it.
     hist = stats.cycle_quality_hist(reads, offset).persist()
     try:
         boxplot = stats.qc_boxplot(stats.cycle_quantiles(hist))
-        name = path.rstrip("/").rsplit("/", 1)[-1]
-        report = stats.qc_report_lines(name, stats.qc_summary(reads), stats.avg_quality(hist), boxplot)
+        report = stats.qc_report_lines(path.rstrip("/"), stats.qc_summary(reads), stats.avg_quality(hist), boxplot)
         sinks.write_report(report, report_path)
     finally:
         hist.unpersist()

@@ -11,7 +11,8 @@ block, and joined to their neighbour; a head that ends a block meets the tail th
 next one in a second step over at most two rows per block.
 
 One file cannot be told from a truncated one and loses its last read: a file without a final line
-end whose last quality line is a lone ``@``. The byte-range source reads it.
+end whose last quality line is a lone ``@``. A header that starts with ``@@`` keeps one of them. The
+byte-range source reads both as they are.
 """
 
 from __future__ import annotations

@@ -38,6 +38,11 @@ def test_boxplot_groups(hist_of, cycles, tail):
         assert values[(16, 16)] == (36.0, 36.0)
 
 
+def test_maps(hist_of):
+    rows = qc.quality_maps(hist_of([(1, 30, 5), (1, 2, 7), (2, 30, 1)])).collect()
+    assert {r.cycle: r.counts for r in rows} == {1: {30: 5, 2: 7}, 2: {30: 1}}
+
+
 def test_two_averages(hist_of):
     row = qc.avg_quality(hist_of([(1, 30, 1), (1, 31, 1), (2, 31, 1), (2, 32, 1), (3, 20, 2)])).head()
     assert row.avg_quality == pytest.approx((61 + 63 + 40) / 6)
@@ -82,7 +87,7 @@ def test_report_text(reads_of):
     reads = reads_of([("@a/1", "GATTACAGAT", "IIIIIIIII5"), ("@b/1", "GAT", "II5")])
     hist = qc.cycle_quality_hist(reads)
     boxplot = qc.qc_boxplot(qc.cycle_quantiles(hist))
-    lines = qc.qc_report_lines("x.fastq", qc.qc_summary(reads), qc.avg_quality(hist), boxplot)
+    lines = qc.qc_report_lines("/data/run/x.fastq", qc.qc_summary(reads), qc.avg_quality(hist), boxplot)
     got = [r.line for r in lines.orderBy("line_no").collect()]
     assert got[:8] == [
         "Measure value ",
