@@ -1,0 +1,60 @@
+"""WARC round trips, revisits and the loser-tree merge."""
+
+import hashlib
+import random
+
+import duckdb
+import pytest
+
+from readloom.llm import warc as W
+
+
+def test_loser_tree():
+    rng = random.Random(2)
+    for k in [0, 1, 2, 3, 5, 8, 13]:
+        runs = [sorted(rng.randrange(30) for _ in range(rng.randrange(0, 12))) for _ in range(k)]
+        got = [runs[r][i] for r, i in W.LoserTree(runs)]
+        assert got == sorted(x for run in runs for x in run)
+
+
+def test_round_trip(spark, tmp_path):
+    long = "<p>päge\r\n\r\nWARC/1.1\r\n" * 80
+    rows = [
+        (1, "http://a.example.com/x", long), (4, "http://a.example.com/y", long), (2, "HTTPS://B.org?q=1", long),
+        (3, "http://a.example.com/x", "short"), (7, None, "short"), (8, "no scheme\r\n", None), (8, "z://", ""), (4, "http://a.example.com/y", long),
+        (None, "http://n/", long), (9, "http://big/", "é" * 300_000),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    pages = pages.selectExpr("*", "'2021' as captured", "5 as run", "'q' as url_key", "1 as payload_bytes")
+    W.write_warc(pages, str(tmp_path / "w"))
+    got = W.capture_index(W.read_warc(spark, str(tmp_path / "w"))).collect()
+    size = lambda h: len((h or "").encode())
+    digest = lambda h: hashlib.sha1((h or "").encode()).hexdigest()
+    want = [(i, size(h), digest(h), "revisit" if h == long and i != 4 else "response", 4 if h == long and i != 4 else None) for i, _, h in rows]
+    assert sorted(map(repr, want)) == sorted(repr((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in got)
+    keys = [(r.url_key, r.captured, r.page_id is not None, r.page_id or 0) for r in got]
+    assert keys == sorted(keys) and ("com,example,a)/x", "2021", True, 1) in keys
+
+
+def test_empty(spark, tmp_path):
+    pages = spark.createDataFrame([], "page_id long, url string, html string, captured string")
+    W.write_warc(pages, str(tmp_path / "w"))
+    assert W.capture_index(W.read_warc(spark, str(tmp_path / "w"))).count() == 0
+
+
+def test_damage_is_an_error():
+    import gzip
+
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Target-URI: u\r\nWARC-Date: d\r\nWARC-Payload-Digest: sha1:00\r\nWARC-Payload-Length: 1\r\nContent-Length: 5\r\n\r\n\r\n\r\nx\r\n\r\n"
+    with pytest.raises(ValueError, match="digest"):
+        list(W.parse_warc(gzip.compress(record)))
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{sf}/pages.parquet'")
+    got = W.op7_warc(spark, sf)
+    want = con.execute(W.ORACLE).fetchall()
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"]
+    assert got.columns == names and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
