@@ -7,7 +7,8 @@ from readloom.llm.bpe import op2_bpe
 from readloom.llm.common import Query
 from readloom.llm.mixing import op6_mixing
 from readloom.llm.simhash import op5_simhash
+from readloom.llm.toxicity import op3_toxicity
 from readloom.llm.warc import op7_warc
 
-QUERIES: dict[str, Query] = {run.__name__: run for run in [op2_bpe, op5_simhash, op6_mixing, op7_warc]}
+QUERIES: dict[str, Query] = {run.__name__: run for run in [op2_bpe, op3_toxicity, op5_simhash, op6_mixing, op7_warc]}
 ORACLES: dict[str, str] = {"op7_warc": warc.ORACLE}
