@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a public tokenizer file (byte-level symbols, word ends, merges by rank).
 
-A word of at most ``SHORT`` symbols is one string and a list of part boundaries beside a contiguous list
-of the ranks of adjacent parts. The smallest rank is looked up by a scan, the boundary between its parts
-is deleted, and the ranks to its left and right are read anew. Longer words, such as runs of signs, would
+A word of at most ``SHORT`` symbols is a list of parts, whose boundaries lie between neighbours, beside a
+contiguous list of the ranks of adjacent parts. The smallest rank is looked up by a scan, the boundary between
+its parts is deleted, and the ranks to its left and right are read anew. Longer words, such as runs of signs, would
 make the scans quadratic; they take the same merges from a heap over linked parts.
 
 Words repeat, so each task keeps the ids of up to ``WORDS`` of them. Rows stay in their partition: there is no
@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 
 from readloom.llm.common import documents, texts
 
-SHORT, WORDS = 64, 1 << 17
+SHORT, WORDS = 64, 1 << 16
+LATIN = 0x250
 NEVER = 1 << 60
 # Printable bytes stand for themselves, the others for code points from 256 on.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -44,10 +47,11 @@ class Bpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
-        pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"])
-        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.ranks = {(self.vocab[a], self.vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [self.vocab[a + b] for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        self.tokens = token_strings(spec)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         kinds = {n["type"] for n in spec["normalizer"]["normalizers"]}
         self.nfc, self.lower = "NFC" in kinds, "Lowercase" in kinds
@@ -55,37 +59,40 @@ class Bpe:
         # White space as the tokenizer's pattern engine has it.
         blank = r"\t-\r \x85\xa0  -     　"
         self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", blank)).findall
-        self.letters = byte_letters()
+        # The same pattern for Python's faster engine, for texts with Latin letters only.
+        latin = lambda kind: "".join(map(re.escape, (c for c in map(chr, range(LATIN)) if unicodedata.category(c)[0] == kind)))
+        plain = re.sub(r"\\p\{([LN])\}", lambda m: latin(m[1]), split["pattern"]["Regex"]).replace(r"\s", blank)
+        self.latin_pieces, self.beyond_latin = re.compile(plain).findall, re.compile(f"[^\\x00-{chr(LATIN - 1)}]").search
+        letters = byte_letters()
+        self.inner = [self.vocab[letters[b]] for b in range(256)]
+        self.last = [self.vocab[letters[b] + self.end] for b in range(256)]
         self.known: dict[str, bytes] = {}
 
-    def merge_short(self, word: str, bounds: list[int]) -> list[str]:
-        """Parts of ``word`` after all merges; ``bounds`` are the part boundaries, both ends included."""
-        rank = lambda i: self.ranks.get((word[bounds[i] : bounds[i + 1]], word[bounds[i + 1] : bounds[i + 2]]), NEVER)
-        ranks = [rank(i) for i in range(len(bounds) - 2)]
-        while ranks:
-            least = min(ranks)
-            if least == NEVER:
-                break
+    def merge_short(self, parts: list[int]) -> list[int]:
+        """Ids of the parts of a word after all merges. A boundary lies between neighbours in ``parts``."""
+        rank, merged = self.ranks.get, self.merged
+        ranks = [rank(pair, NEVER) for pair in zip(parts, parts[1:])]
+        while ranks and (least := min(ranks)) != NEVER:
             at = ranks.index(least)
-            del bounds[at + 1], ranks[at]
+            parts[at] = merged[least]
+            del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = rank(at - 1)
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), NEVER)
             if at < len(ranks):
-                ranks[at] = rank(at)
-        return [word[a:b] for a, b in zip(bounds, bounds[1:])]
+                ranks[at] = rank((parts[at], parts[at + 1]), NEVER)
+        return parts
 
-    def merge_long(self, word: str, bounds: list[int]) -> list[str]:
+    def merge_long(self, parts: list[int | None]) -> list[int]:
         """The same merges, smallest rank and leftmost first, from a heap."""
-        parts: list[str | None] = [word[a:b] for a, b in zip(bounds, bounds[1:])]
         left, right = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
         heap = [(self.ranks[p], i, p) for i, p in enumerate(zip(parts, parts[1:])) if p in self.ranks]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = right[i]
             if parts[i] != pair[0] or j >= len(parts) or parts[j] != pair[1]:
                 continue
-            parts[i], parts[j] = pair[0] + pair[1], None
+            parts[i], parts[j] = self.merged[rank], None
             right[i] = right[j]
             if right[i] < len(parts):
                 left[right[i]] = i
@@ -97,11 +104,10 @@ class Bpe:
     def word_ids(self, piece: str) -> bytes:
         found = self.known.get(piece)
         if found is None:
-            symbols = [self.letters[b] for b in piece.encode("utf-8")]
-            word = "".join(symbols) + self.end
-            bounds = [*range(len(symbols)), len(word)]
-            parts = (self.merge_short if len(symbols) <= SHORT else self.merge_long)(word, bounds)
-            found = np.array([self.vocab[p] for p in parts], "<u4").tobytes()
+            *front, last = piece.encode("utf-8")
+            parts = [*map(self.inner.__getitem__, front), self.last[last]]
+            merged = (self.merge_short if len(parts) <= SHORT else self.merge_long)(parts)
+            found = array("I", merged).tobytes()
             if len(self.known) >= WORDS:
                 self.known.clear()
             self.known[piece] = found
@@ -113,7 +119,8 @@ class Bpe:
         if self.lower:
             # Letter by letter: a sigma at the end of a word is no special case.
             text = text.replace("Σ", "σ").lower()
-        return b"".join(map(self.word_ids, self.pieces(text)))
+        pieces = self.pieces if self.beyond_latin(text) else self.latin_pieces
+        return b"".join(map(self.word_ids, pieces(text)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers; strings of special tokens become these."""
@@ -123,9 +130,23 @@ class Bpe:
         )
 
     def decode(self, ids: bytes) -> str:
-        """Token strings joined by blanks, special tokens included; unknown ids have none."""
-        names = (self.tokens.get(i) for i in np.frombuffer(ids, "<u4").tolist())
-        return " ".join(n for n in names if n is not None)
+        return joined(ids, self.tokens)
+
+
+def token_strings(spec: dict) -> list[str | None]:
+    """Token strings by id, special tokens included."""
+    ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    tokens: list[str | None] = [None] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        tokens[i] = token
+    return tokens
+
+
+def joined(ids: bytes, tokens: list[str | None]) -> str:
+    """Token strings joined by blanks; ids that are no token have none."""
+    numbers = np.frombuffer(ids, "<u4")
+    known = numbers[numbers < len(tokens)].tolist()
+    return " ".join(filter(None, map(tokens.__getitem__, known)))
 
 
 def vocabulary(path: str) -> str:
@@ -155,9 +176,9 @@ def bpe_decode(encoded: DataFrame, spec: str) -> DataFrame:
     fields = [f.name for f in encoded.schema]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(spec)
+        tokens = token_strings(json.loads(spec))
         for part in parts:
-            decoded = pa.array([bpe.decode(i or b"") for i in part["ids"].to_pylist()], pa.string())
+            decoded = pa.array([joined(i or b"", tokens) for i in part["ids"].to_pylist()], pa.string())
             yield pa.record_batch([*part.columns, decoded], names=[*fields, "decoded"])
 
     return encoded.mapInArrow(run, encoded.withColumn("decoded", F.lit("")).schema)

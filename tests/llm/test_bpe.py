@@ -45,9 +45,8 @@ def test_same_ids_and_text(theirs, ours):
 def test_long_words_merge_alike(ours):
     rng = random.Random(1)
     for _ in range(200):
-        word = "".join(rng.choices("abcdetinoh", k=rng.randrange(1, 60))) + ours.end
-        bounds = [*range(len(word) - len(ours.end)), len(word)]
-        assert ours.merge_short(word, bounds[:]) == ours.merge_long(word, bounds[:])
+        parts = [ours.inner[ord(c)] for c in rng.choices("abcdetinoh", k=rng.randrange(1, 60))] + [ours.last[ord("s")]]
+        assert ours.merge_short(parts[:]) == ours.merge_long(parts[:])
 
 
 def test_table(spark, theirs):
