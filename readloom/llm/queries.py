@@ -5,11 +5,12 @@ from __future__ import annotations
 from readloom.llm import warc
 from readloom.llm.bpe import op2_bpe
 from readloom.llm.common import Query
+from readloom.llm.fingerprints import op1_fingerprints
 from readloom.llm.mixing import op6_mixing
 from readloom.llm.quality import op9_quality
 from readloom.llm.simhash import op5_simhash
 from readloom.llm.toxicity import op3_toxicity
 from readloom.llm.warc import op7_warc
 
-QUERIES: dict[str, Query] = {run.__name__: run for run in [op2_bpe, op3_toxicity, op5_simhash, op6_mixing, op7_warc, op9_quality]}
+QUERIES: dict[str, Query] = {run.__name__: run for run in [op1_fingerprints, op2_bpe, op3_toxicity, op5_simhash, op6_mixing, op7_warc, op9_quality]}
 ORACLES: dict[str, str] = {"op7_warc": warc.ORACLE}
