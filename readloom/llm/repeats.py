@@ -256,15 +256,10 @@ def cut(text: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(kept) + text[max(end, 0) :], runs
 
 
-def without_repeats(
+def cut_texts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, limit: int = LIMIT
-) -> DataFrame:
-    """``doc_id, digest, n_bytes, n_removed, n_spans, kept``: each text without bytes of repeated passages.
-
-    A byte goes if a string of ``length`` bytes that holds it starts at another place as well, in any row or the
-    same; all occurrences go. Rows of equal text, also repeated rows, repeat each other. Null texts count as
-    empty; a text shorter than ``length`` stays as it is. ``kept`` is binary, as a cut may split a character.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, digest`` of each row, and for each distinct text ``digest, n_bytes, n_removed, n_spans, kept``."""
     ids, one = distinct_texts(docs, id_col, text_col)
     counts = anchor_counts(one, length, gram)
     often = counts.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
@@ -282,12 +277,42 @@ def without_repeats(
                 whole = copies > 1 and len(data) >= length
                 kept, runs = cut(data, [(0, len(data))] if whole else [(s["start"], s["end"]) for s in repeats or []])
                 rows.append((digest, len(data), len(data) - len(kept), runs, kept))
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            if rows:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     results = one.join(found, "digest", "left").mapInArrow(run, "digest binary, n_bytes long, n_removed long, n_spans long, kept binary")
+    return ids, results
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``doc_id, digest, n_bytes, n_removed, n_spans, kept``: each text without bytes of repeated passages.
+
+    A byte goes if a string of ``length`` bytes that holds it starts at another place as well, in any row or the
+    same; all occurrences go. Rows of equal text, also repeated rows, repeat each other. Null texts count as
+    empty; a text shorter than ``length`` stays as it is. ``kept`` is binary, as a cut may split a character.
+    """
+    ids, results = cut_texts(docs, id_col, text_col, **options)
     return ids.join(results, "digest").select("doc_id", "digest", "n_bytes", "n_removed", "n_spans", "kept")
 
 
+def documents_without_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with their texts cut; half characters at a cut go, null texts stay null."""
+    _, results = cut_texts(docs, docs.columns[0], text_col, **options)
+    cut_ones = results.where("n_removed > 0").select(F.col("digest").alias("_digest"), F.col("kept").alias("_kept"))
+    digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    joined = docs.withColumn("_digest", digest).join(cut_ones, "_digest", "left")
+    fields, at = docs.columns, docs.columns.index(text_col)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            columns = part.columns
+            pairs = zip(columns[at].to_pylist(), columns[-1].to_pylist())
+            columns[at] = pa.array([t if k is None else k.decode("utf-8", "ignore") for t, k in pairs], pa.string())
+            yield pa.record_batch(columns[:-1], names=fields)
+
+    return joined.select(*(F.col(f"`{c}`") for c in fields), "_kept").mapInArrow(run, docs.schema)
+
+
 def op10_repeats(spark, sf_dir: str) -> DataFrame:
     found = without_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

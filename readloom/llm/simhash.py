@@ -54,16 +54,22 @@ def simhash(text: str, words: int = 3) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """``doc_id, fp``, one row per document. Null and empty texts have the fingerprint zero."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, name: str = "fp") -> DataFrame:
+    """``docs`` with the fingerprint of each row as its last column."""
+    made = docs.withColumn(name, F.lit(0).cast("long"))
+    fields, at = [f.name for f in made.schema], docs.columns.index(text_col)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = np.array([simhash(t, words) for t in part["text"].to_pylist()], np.uint64)
-            yield pa.record_batch([part["doc_id"], pa.array(found.view(np.int64))], schema=schema)
+            found = np.array([simhash(t or "", words) for t in part.column(at).to_pylist()], np.uint64)
+            yield pa.record_batch([*part.columns, pa.array(found.view(np.int64))], names=fields)
+
+    return docs.mapInArrow(run, made.schema)
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """``doc_id, fp``, one row per document. Null and empty texts have the fingerprint zero."""
+    return with_fingerprints(texts(docs, id_col, text_col), "text", words).select("doc_id", "fp")
 
 
 def _turned(fp: Column, start: int) -> Column:
@@ -187,6 +193,19 @@ def simhash_components(
     return each.join(whole, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """The rows of ``docs`` with one row of each component: that of its smallest id.
+
+    Of repeated rows one stays. Rows that share this id, or have none, stay once for each fingerprint.
+    """
+    groups = simhash_components(docs, id_col, text_col, words)
+    best = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = best.select(F.col("doc_id").alias("_best"), F.col("fp").alias("_of")).distinct()
+    marked = with_fingerprints(docs, text_col, words, "_fp")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_best")) & (F.col("_fp") == F.col("_of"))
+    return marked.join(first, same, "left_semi").dropDuplicates([id_col, "_fp"]).drop("_fp")
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     found = simhash_components(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
