@@ -102,12 +102,12 @@ def labelled_features(rows: DataFrame, terms: dict[str, str]) -> DataFrame:
 
 def choose(own: list[np.ndarray], toxic: np.ndarray, most: int = FEATURES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """Sorted features whose shares differ most, in standard errors, of those in ``least`` rows or more; the errors."""
-    flat = np.concatenate([*own, np.empty(0, np.int64)])
-    kinds, at = np.unique(flat, return_inverse=True)
-    label = np.repeat(toxic, [len(o) for o in own])
+    flat = lambda wanted: np.concatenate([*(o for o, y in zip(own, toxic) if y == 1 or not wanted), np.empty(0, np.int64)])
+    kinds, c = np.unique(flat(False), return_counts=True)
+    of_toxic, times = np.unique(flat(True), return_counts=True)
+    c1 = np.zeros(len(kinds))
+    c1[np.searchsorted(kinds, of_toxic)] = times
     n1, n0 = max(1, toxic.sum()), max(1, len(toxic) - toxic.sum())
-    c1 = np.bincount(at, weights=label, minlength=len(kinds))
-    c = np.bincount(at, minlength=len(kinds))
     p1, p0, p = c1 / n1, (c - c1) / n0, c / (n1 + n0)
     z = np.abs(p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
     z[c < least] = -1
