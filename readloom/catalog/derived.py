@@ -15,7 +15,7 @@ HEX = "0123456789abcdef"
 # Letters that stand for the sixteen hex digits.
 READ_BASES, REF_BASES = "ACGTACGTACGTACGN", "ACGTACGTACGTACGT"
 QUALITIES, AT_QUALITIES = "4:>?ABCDEFGHIIII", "4:>@ABCDEFGHIIII"
-MATE_ROWS = "l_linenumber <= 2"
+SECOND_FILE = "l_linenumber <= 2"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def _letters(tag: str, letters: str) -> Column:
     return F.translate(F.concat(digest(0), digest(1)), HEX, letters)
 
 
+def _name(mates: bool) -> list[Column]:
+    order, line = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
+    if not mates:
+        return [order, F.lit("/"), line.cast("string")]
+    number = F.floor(line / 2).cast("string")
+    return [order, F.lit("."), number, F.lit("/"), (1 + line % 2).cast("string")]
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Evaluate each row once. Otherwise the optimizer copies the derivation into every expression
     that uses it, which a read that comes from a file does not suffer."""
@@ -35,9 +43,17 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def reads(
-    spark: SparkSession, sf_dir: str, where: str = "true", varied: bool = False, qualities: str = QUALITIES
+    spark: SparkSession,
+    sf_dir: str,
+    where: str = "true",
+    varied: bool = False,
+    qualities: str = QUALITIES,
+    mates: bool = False,
 ) -> DataFrame:
-    """``header, bases, qual`` and the keys; ``varied`` gives lengths from 24 to 64."""
+    """``header, bases, qual`` and the keys; ``varied`` gives lengths from 24 to 64.
+
+    With ``mates`` neighbouring lines of an order are the two mates of a name.
+    """
     rows = spread(
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
@@ -46,7 +62,7 @@ def reads(
     size = (24 + F.col("l_partkey") % 41).cast("int")
     cut = (lambda c: F.substring(c, F.lit(1), size)) if varied else (lambda c: c)
     derived = rows.select(
-        F.concat(F.lit("@R"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("header"),
+        F.concat(F.lit("@R"), *_name(mates)).alias("header"),
         cut(_letters("b", READ_BASES)).alias("bases"),
         cut(_letters("q", qualities)).alias("qual"),
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",

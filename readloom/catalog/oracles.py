@@ -6,28 +6,29 @@ and reference base are too slow in SQL on whole tables; tests check them by brut
 
 from __future__ import annotations
 
-from readloom.catalog.derived import AT_QUALITIES, HEX, MATE_ROWS, QUALITIES, READ_BASES, REF_BASES
+from readloom.catalog.derived import AT_QUALITIES, HEX, QUALITIES, READ_BASES, REF_BASES, SECOND_FILE
 
 
 def _letters(tag: str, letters: str) -> str:
     return f"translate(concat(md5(concat('{tag}0', key)), md5(concat('{tag}1', key))), '{HEX}', '{letters}')"
 
 
-def _reads(varied: bool = False, qualities: str = QUALITIES, where: str = "true") -> str:
+def _reads(varied: bool = False, qualities: str = QUALITIES, mates: bool = False) -> str:
+    name = "concat(l_orderkey, '.', l_linenumber // 2, '/', 1 + l_linenumber % 2)" if mates else "key"
     size = "cast(24 + l_partkey % 41 as integer)" if varied else "64"
     return f"""
     keyed as (
       select concat(cast(l_orderkey as varchar), '/', cast(l_linenumber as varchar)) as key, *
-      from lineitem where {where}),
+      from lineitem),
     reads as (
-      select concat('@R', key) as header,
+      select concat('@R', {name}) as header,
              substr({_letters('b', READ_BASES)}, 1, {size}) as bases,
              substr({_letters('q', qualities)}, 1, {size}) as qual,
              l_orderkey, l_linenumber, l_suppkey, l_partkey
       from keyed)"""
 
 
-READS, VARIED, MATES = _reads(), _reads(varied=True), _reads(where=MATE_ROWS)
+READS, VARIED, MATES = _reads(), _reads(varied=True), _reads(mates=True)
 FILED = _reads(varied=True, qualities=AT_QUALITIES)
 
 REF = f"""
@@ -239,7 +240,7 @@ ORACLES: dict[str, str] = {
     "fastq_record_numbers": "select count(*) as reads, true as dense from lineitem",
     "fastq_source_validated": f"with {FILED} select header, bases, qual from reads",
     "fastq_compare": f"""with {FILED},
-        second as (select header, bases, qual from reads where {MATE_ROWS})
+        second as (select header, bases, qual from reads where {SECOND_FILE})
         select count(*) as reads_first, (select count(*) from second) as reads_second,
                count(*) filter (where (header, bases, qual) in (select (header, bases, qual) from second)) as reads_common
         from reads""",
@@ -257,7 +258,9 @@ ORACLES: dict[str, str] = {
     "partition_by_id": """select k, cast(coalesce(k, 0) % 4 as integer) as part, count(*) as n
         from (select case when l_linenumber < 7 then l_linenumber end as k from lineitem) group by 1, 2""",
     "pipe_lines": f"with {PAIRS} select unnest(string_split(concat_ws(chr(10), {_fastq(1)}, {_fastq(2)}), chr(10))) as value from pairs",
-    "sam_partition_blocks": f"with {ALN} select {SAM_LINE} as value from aln where shown <> '*'",
+    "sam_partition_blocks": f"""with {ALN}
+        select {SAM_LINE} as value, (select count(*) + 1 from ref) as header_lines, true as led, true as in_order
+        from aln where shown <> '*'""",
     "pileup_by_region": f"""with {ALN}
         select concat_ws(chr(9), shown, cast(pos as varchar), cast(count(*) as varchar)) as value
         from aln where shown <> '*' group by shown, pos""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom.catalog import derived
@@ -124,8 +125,8 @@ def trim_reads_strict(spark, sf):
 
 
 def _mates(spark, sf, mate: int | None = None) -> DataFrame:
-    where = derived.MATE_ROWS if mate is None else f"l_linenumber = {mate}"
-    return derived.reads(spark, sf, where).select(*RECORD)
+    where = "true" if mate is None else f"1 + l_linenumber % 2 = {mate}"
+    return derived.reads(spark, sf, where, mates=True).select(*RECORD)
 
 
 @query
@@ -192,7 +193,7 @@ def fastq_source_validated(spark, sf):
 @query
 def fastq_compare(spark, sf):
     first = read_fastq(spark, derived.fastq_files(spark, sf))
-    second = read_fastq(spark, derived.fastq_files(spark, sf, derived.MATE_ROWS))
+    second = read_fastq(spark, derived.fastq_files(spark, sf, derived.SECOND_FILE))
     return pairing.fastq_compare(first, second)
 
 
@@ -242,8 +243,21 @@ def pipe_lines(spark, sf):
 def sam_partition_blocks(spark, sf):
     lines = derived.sam_text(spark, sf)
     body = coordinates.mapped_reads(parse_sam(lines))
-    blocks = coordinates.sam_partition_blocks(sam_header(lines), body)
-    return blocks.where(~F.startswith(F.col("value"), F.lit("@")))
+    header = sam_header(lines)
+    blocks = coordinates.sam_partition_blocks(header, body, whole_names=False)
+    placed = blocks.select("value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
+    is_header = F.startswith(F.col("value"), F.lit("@"))
+    field = lambda n: F.split_part("value", F.lit("\t"), F.lit(n))
+    place = F.struct(field(3).alias("rname"), field(4).try_cast("int").alias("pos"))
+    block = W.partitionBy("part")
+    marked = placed.select(
+        "value", "part", is_header.alias("top"),
+        F.count_if(is_header).over(block).alias("header_lines"),
+        (F.max(F.when(is_header, F.col("id"))).over(block) < F.min(F.when(~is_header, F.col("id"))).over(block)).alias("led"),
+        F.coalesce(F.lag(F.when(~is_header, place)).over(block.orderBy("id")) <= place, F.lit(True)).alias("after"),
+    )
+    in_order = F.min("after").over(block)
+    return marked.withColumn("in_order", in_order).where("not top").select("value", "header_lines", "led", "in_order")
 
 
 # Prints name, position and depth like a pileup tool; counts the start of a read only.

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions.bases import base_sums
 from readloom.functions.cigar import ALIGNED, CIGAR_ITEM, USES_REF, cigar_items
-from readloom.operators.pileup import gather_by_locus, with_reference, with_reference_base
+from readloom.operators.pileup import gather_by_locus, has_bases, has_quality, with_reference, with_reference_base
 
 # Gap opening, gap extension, chance of an inserted base.
 GAP_OPEN, GAP_EXTEND, INSERTED = 0.001, 0.1, 0.25
@@ -28,6 +28,8 @@ CLIPPED_OR_PADDED = r"\d+[SHP]"
 
 # Cells per array step, so that its arrays stay in the processor cache; rows between rescalings.
 CELLS, RESCALE = 1 << 16, 8
+# Rows up to which the recurrence along the reference is a plain loop.
+LOOPED = 96
 
 BAQ_SCHEMA = "chrom string, pos int, ref string, base string, q int, baq double"
 
@@ -115,11 +117,22 @@ def posteriors(
 
 
 def _carry(x: np.ndarray, rate: float) -> None:
-    """In place, row by row: x[k] += rate * x[k-1]."""
-    spare = np.empty(x.shape[1])
-    for k in range(1, len(x)):
-        np.multiply(x[k - 1], rate, out=spare)
-        x[k] += spare
+    """In place, row by row: x[k] += rate * x[k-1].
+
+    Few rows are taken one by one. Many are done by doubling: after the step of s rows each row holds the
+    sum over the last 2 s, until the rate is too small for any number.
+    """
+    if len(x) <= LOOPED:
+        spare = np.empty(x.shape[1])
+        for k in range(1, len(x)):
+            np.multiply(x[k - 1], rate, out=spare)
+            x[k] += spare
+        return
+    spare, step = np.empty(x.shape), 1
+    while step < len(x) and rate > 0:
+        np.multiply(x[:-step], rate, out=spare[step:])
+        x[step:] += spare[step:]
+        step, rate = 2 * step, rate * rate
 
 
 def cap_quality(post: np.ndarray, quals: np.ndarray) -> np.ndarray:
@@ -169,14 +182,14 @@ def _score(offset: int, min_baq: float | None = None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shapes = batch.select(["shape", "l", "width"]).to_pandas()
-            for (shape, l, width), members in shapes.groupby(["shape", "l", "width"]).indices.items():
+            sizes = batch.select(["l", "width"]).to_pandas()
+            for (l, width), members in sizes.groupby(["l", "width"]).indices.items():
                 if l == 0 or width == 0:
                     continue
                 step = max(1, CELLS // width)
                 for first in range(0, len(members), step):
                     part = batch.take(pa.array(members[first : first + step]))
-                    scored = _score_alike(part, shape, l, width, offset)
+                    scored = _score_alike(part, l, width, offset)
                     if min_baq is None:
                         yield scored
                     else:
@@ -185,29 +198,36 @@ def _score(offset: int, min_baq: float | None = None):
     return run
 
 
-def _score_alike(part: pa.RecordBatch, shape: str, l: int, width: int, offset: int) -> pa.RecordBatch:
-    columns = base_columns(shape, l, width)
+def _score_alike(part: pa.RecordBatch, l: int, width: int, offset: int) -> pa.RecordBatch:
+    """Scored bases of reads of equal length and reference span, whatever their CIGARs."""
+    shapes = part["shape"].to_pylist()
+    known = {shape: base_columns(shape, l, width) for shape in set(shapes)}
+    columns = np.stack([known[shape] for shape in shapes])
     reads, refs = _codes(part["bases"], l), _codes(part["ref_seq"], width)
     quals = _codes(part["qual"], l).astype(np.int64) - offset
-    post = posteriors(reads, quals, refs, np.broadcast_to(columns, reads.shape))[0]
+    post = posteriors(reads, quals, refs, columns)[0]
     on = columns >= 0
-    owner = pa.array(np.repeat(np.arange(part.num_rows), int(on.sum())))
-    pos = part["pos"].to_numpy()[:, None] + columns[on]
+    owner = np.nonzero(on)[0]
+    pos = part["pos"].to_numpy()[owner] + columns[on]
     return pa.RecordBatch.from_arrays(
         [
-            part["chrom"].take(owner),
-            pa.array(pos.ravel().astype(np.int32)),
-            _chars(refs[:, columns[on]]),
-            _chars(reads[:, on]),
-            pa.array(quals[:, on].ravel().astype(np.int32)),
-            pa.array(cap_quality(post, quals)[:, on].ravel()),
+            part["chrom"].take(pa.array(owner)),
+            pa.array(pos.astype(np.int32)),
+            _chars(refs[owner, columns[on]]),
+            _chars(reads[on]),
+            pa.array(quals[on].astype(np.int32)),
+            pa.array(cap_quality(post, quals)[on]),
         ],
         names=["chrom", "pos", "ref", "base", "q", "baq"],
     )
 
 
 def _shaped(referenced: DataFrame) -> DataFrame:
-    """Unclipped bases and qualities, with the CIGAR that is left."""
+    """Unclipped bases and qualities, with the CIGAR that is left.
+
+    Reads without stored bases or qualities cannot be scored and stay out.
+    """
+    referenced = referenced.where(has_bases() & has_quality())
     used = F.filter(cigar_items(F.col("cigar")), lambda it: it["op"].isin("I", *ALIGNED))
     cut = lambda text: F.array_join(
         F.transform("_items", lambda it: F.substring(F.col(text), it["read_off"] + 1, it["len"])), ""

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from io import TextIOWrapper
+from itertools import chain, groupby
+from operator import itemgetter
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom.functions.cigar import reference_span
-from readloom.operators.external import pipe_lines
+from readloom.operators.external import command_lines, line_batches
+from readloom.session import fresh_path
 from readloom.sources.sam import SAM_FIELDS
 
 SORT_KEYS = ["rname", "pos", "qname", "flag"]
-HEADER_LIMIT = 64 << 20
 REGION = 1 << 20
 
 
@@ -68,8 +72,8 @@ def with_coordinate_rank(sam: DataFrame) -> DataFrame:
     )
     rank = F.col("id") - F.col("first_id") + F.col("before") + 1
     # In sorted order a name fills neighbouring partitions, so ``starts`` has fewer rows than there
-    # are partitions and names together, whatever the number of reads: safe to broadcast.
-    return placed.join(F.broadcast(starts), ["rname", "part"]).select(*sam.columns, rank.alias("rank"))
+    # are partitions and names together; Spark broadcasts it where it measures small.
+    return placed.join(starts, ["rname", "part"]).select(*sam.columns, rank.alias("rank"))
 
 
 def sam_lines(sam: DataFrame) -> DataFrame:
@@ -95,15 +99,15 @@ def sam_partition_blocks(header: DataFrame, sam: DataFrame, whole_names: bool =
 
 def _headed(header: DataFrame, ordered: DataFrame) -> DataFrame:
     """SAM text of sorted partitions, each that has rows led by the header."""
-    top = _collect_small(sam_header_sorted(header))
+    path = _stored_header(header)
 
     def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         started = False
         for batch in batches:
             if batch.num_rows and not started:
                 started = True
-                yield pa.RecordBatch.from_arrays([pa.array(top, batch.schema.field(0).type)], schema=batch.schema)
-            yield batch
+                yield from line_batches(_header_lines(path))
+            yield pa.record_batch([batch.column(0)], names=["value"])
 
     return sam_lines(ordered).mapInArrow(with_header, "value string")
 
@@ -111,36 +115,45 @@ def _headed(header: DataFrame, ordered: DataFrame) -> DataFrame:
 def pileup_by_region(header: DataFrame, sam: DataFrame, command: str, width: int = REGION) -> DataFrame:
     """Output of a pileup command that prints ``name<tab>position...``, run once per region.
 
-    A large chromosome is cut into regions of ``width`` bases, one partition each. A read goes to
-    every region it touches, so the command sees all reads over a position; of its output only the
-    positions inside the region count, which makes the result that of whole chromosomes.
+    A large chromosome is cut into regions of ``width`` bases. A read goes to every region it touches,
+    so the command sees all reads over a position; of its output only the positions inside the region
+    count, which makes the result that of whole chromosomes. A task takes its regions one after the other
+    from a sorted, spilling exchange, so regions may be as many as they like.
     """
     first = F.floor((F.col("pos") - 1) / width)
     last = F.floor((F.col("pos") + F.greatest(reference_span(F.col("cigar")), F.lit(1)) - 2) / width)
     touched = sam.select("*", F.explode(F.sequence(first, last)).alias("region"))
-    # One row per region, at most genome length / width of them.
-    regions = [tuple(r) for r in touched.select("rname", "region").distinct().orderBy("rname", "region").collect()]
-    if not regions:
-        return sam.select(F.lit("").alias("value")).limit(0)
-    spark = sam.sparkSession
-    rows = [(name, at, place) for place, (name, at) in enumerate(regions)]
-    numbered = spark.createDataFrame(rows, "rname string, region long, place int")
-    placed = touched.join(F.broadcast(numbered), ["rname", "region"])
-    ordered = placed.repartitionById(len(regions), "place").sortWithinPartitions(*SORT_KEYS)
-    output = pipe_lines(_headed(header, ordered), command)
-    name, pos = F.split_part("value", F.lit("\t"), F.lit(1)), F.split_part("value", F.lit("\t"), F.lit(2))
-    found = output.select(
-        "value",
-        F.spark_partition_id().alias("place"),
-        name.alias("rname"),
-        F.floor((pos.try_cast("int") - 1) / width).alias("region"),
-    )
-    return found.join(F.broadcast(numbered), ["rname", "region", "place"], "left_semi").select("value")
-
-
-def _collect_small(header: DataFrame) -> list[str]:
-    """Header lines on the driver, after a check that they are as few as headers should be."""
-    size = header.agg(F.coalesce(F.sum(F.length("line")), F.lit(0))).head()[0]
-    if size > HEADER_LIMIT:
-        raise ValueError(f"SAM header of {size} characters is above the limit of {HEADER_LIMIT}")
-    return [row.line for row in header.collect()]
+    ordered = touched.repartition("rname", "region").sortWithinPartitions("rname", "region", *SORT_KEYS)
+    fields = [F.col(c).cast("string") for c in SAM_FIELDS]
+    keyed = ordered.select("rname", "region", F.concat_ws("\t", *fields, F.col("tags")).alias("value"))
+    path = _stored_header(header)
+
+    def inside(line: str, name: str, region: int) -> bool:
+        parts = line.split("\t", 2)
+        return parts[0] == name and len(parts) > 1 and parts[1].isdigit() and (int(parts[1]) - 1) // width == region
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for (name, region), group in groupby(rows, key=itemgetter(0, 1)):
+            lines = chain(_header_lines(path), (row[2] for row in group))
+            yield from line_batches(x for x in command_lines(command, lines) if inside(x, name, region))
+
+    return keyed.mapInArrow(run, "value string")
+
+
+def _stored_header(header: DataFrame) -> str:
+    """The sorted header as text in the shared folder."""
+    path = fresh_path(header.sparkSession, "header")
+    sam_header_sorted(header).select(F.col("line").alias("value")).write.text(path)
+    return path
+
+
+def _header_lines(path: str) -> Iterator[str]:
+    """A stored header, streamed by a task from the shared folder."""
+    store, inner = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+    inner = inner.removeprefix("file:")
+    for info in sorted(store.get_file_info(fs.FileSelector(inner)), key=lambda f: f.path):
+        if info.base_name.startswith("part-"):
+            with store.open_input_stream(info.path) as stream:
+                for line in TextIOWrapper(stream, encoding="utf-8", newline="\n"):
+                    yield line.rstrip("\n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions.bases import base_counts
@@ -76,6 +76,16 @@ def aligned_columns(referenced: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def has_bases() -> Column:
+    """False for the ``*`` that stands for bases left out."""
+    return F.col("bases") != "*"
+
+
+def has_quality() -> Column:
+    """False for the ``*`` that stands for qualities left out; the quality of a single base may be ``*``."""
+    return (F.col("qual") != "*") | (F.length("bases") == 1)
+
+
 def aligned_segments(alignments: DataFrame) -> DataFrame:
     """One row per gap-free stretch: ``chrom, pos, bases, qual``, cut to the stretch."""
     stretches = F.filter(cigar_items(F.col("cigar")), lambda it: it["op"].isin(*ALIGNED))
@@ -102,12 +112,16 @@ def locus_counts(bases: DataFrame) -> DataFrame:
 
 
 def with_reference_base(loci: DataFrame, ref: DataFrame, tile: int = TILE) -> DataFrame:
-    """Add ``ref`` after counting: one lookup per position instead of one per base."""
+    """Add ``ref`` after counting: one lookup per position instead of one per base.
+
+    Positions that the reference does not have stay, with a null.
+    """
     at = F.pmod(F.col("pos") - 1, F.lit(tile))
     keyed = loci.withColumn("tile", F.floor((F.col("pos") - 1) / tile).cast("int"))
-    found = keyed.join(reference_tiles(ref, tile), ["chrom", "tile"])
+    found = keyed.join(reference_tiles(ref, tile), ["chrom", "tile"], "left")
     counts = [c for c in loci.columns if c not in ("chrom", "pos")]
-    return found.select("chrom", "pos", F.substring("tile_seq", at + 1, F.lit(1)).alias("ref"), *counts)
+    base = F.nullif(F.substring("tile_seq", at + 1, F.lit(1)), F.lit(""))
+    return found.select("chrom", "pos", base.alias("ref"), *counts)
 
 
 def pileup_counts(
@@ -115,9 +129,13 @@ def pileup_counts(
 ) -> DataFrame:
     """Counts per position of aligned bases with quality at least ``min_q``.
 
-    ``gather=False`` skips the shuffle of reads, for input already in coordinate order.
+    ``gather=False`` skips the shuffle of reads, for input already in coordinate order. A read without
+    stored qualities counts with quality 0, a read without stored bases not at all.
     """
-    segments = aligned_segments(gather_by_locus(alignments) if gather else alignments)
+    stored = alignments.where(has_bases()).withColumn(
+        "qual", F.when(has_quality(), F.col("qual")).otherwise(F.repeat(F.lit(chr(offset)), F.length("bases")))
+    )
+    segments = aligned_segments(gather_by_locus(stored) if gather else stored)
     chars = F.arrays_zip(F.split("bases", "").alias("base"), F.split("qual", "").alias("q"))
     each = segments.select("chrom", "pos", F.posexplode(chars).alias("i", "c"))
     good = each.where(F.ascii(F.col("c.q")) >= offset + min_q)

@@ -1,49 +1,50 @@
 """End-to-end jobs: quality control, trim and pair, external alignment, SNP counts, full chain.
 
-Jobs compose operators and write with sinks. The only eager step before a sink is a look at the
-first reads of a file, to learn its Phred offset and header separator.
+Jobs compose operators and write with sinks. The only eager step before a sink is the search for the
+first read that proves the Phred offset, in every input; Spark stops it at the first hit.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from readloom.functions.quality import decides_offset, decisive_offset
 from readloom.operators import baq, coordinates, external, pairing, pileup
 from readloom.operators import qc as stats
 from readloom.operators.trim import trim_reads
 from readloom.session import fresh_path
 from readloom.sinks import text as sinks
 from readloom.sources.alignments import valid_alignments
-from readloom.sources.fastq import fastq_head, read_fastq
+from readloom.sources.fastq import read_fastq
 from readloom.sources.fastq_ranges import read_fastq_ranges
 from readloom.sources.sam import parse_sam, sam_header
 
 READERS = {"text": read_fastq, "ranges": read_fastq_ranges}
 
 
-class Format(NamedTuple):
-    offset: int
-    sep: str
-
-
-def sniff(spark: SparkSession, path: str) -> Format:
-    """Phred offset and header separator from the first 20 reads; offset 0 means undecided."""
-    head = fastq_head(spark, path)
-    offset = stats.phred_offset(head, "record_no").head()
-    sep = pairing.header_separator(head, "record_no").head()
-    return Format(offset[0], sep[0])
+def learn_offset(*inputs: DataFrame) -> int:
+    """The Phred offset that the reads of all inputs prove; no prefix of a file decides.
 
-
-def qc(spark: SparkSession, path: str, report_path: str, reader: str = "text", fmt: Format | None = None) -> bool:
-    """Write the QC report of a FASTQ file; False when its Phred offset cannot be told."""
-    fmt = fmt or sniff(spark, path)
-    if fmt.offset == 0:
-        return False
+    Raises ``ValueError`` if two inputs contradict each other or no read of any input decides, in
+    which case the caller has to state the offset.
+    """
+    found = {
+        row.offset
+        for reads in inputs
+        for row in reads.where(decides_offset(F.col("qual"))).select(decisive_offset(F.col("qual")).alias("offset")).take(1)
+    }
+    if len(found) > 1:
+        raise ValueError("the inputs have different Phred offsets")
+    if not found:
+        raise ValueError("no read proves a Phred offset; state it with offset=33 or offset=64")
+    return found.pop()
+
+
+def qc(spark: SparkSession, path: str, report_path: str, reader: str = "text", offset: int | None = None) -> None:
+    """Write the QC report of a FASTQ file."""
     reads = READERS[reader](spark, path).select("bases", "qual")
-    _write_qc(spark, reads, path, report_path, fmt.offset)
-    return True
+    _write_qc(spark, reads, path, report_path, offset or learn_offset(reads))
 
 
 def _write_qc(spark: SparkSession, reads: DataFrame, path: str, report_path: str, offset: int) -> None:
@@ -69,29 +70,34 @@ def trim_pair(
     method: str = "group",
     reader: str = "text",
     strict_len: bool = False,
-    fmt: Format | None = None,
-) -> bool:
-    """Trim both files, pair the mates, write them as two matching FASTQ folders."""
-    fmt = fmt or sniff(spark, path1)
-    if fmt.offset == 0:
-        return False
-    load = lambda p: trim_reads(
-        READERS[reader](spark, p).select("header", "bases", "qual"), fmt.offset, min_q, min_len, strict_len
-    )
-    sep = fmt.sep if method == "group" else None
-    sinks.write_paired_fastq(pairing.pair_mates(load(path1), load(path2), method, sep), out1, out2)
-    return True
+    offset: int | None = None,
+    sep: str | None = None,
+) -> None:
+    """Trim both files, pair the mates, write them as two matching FASTQ folders.
+
+    Each header decides its separator unless ``sep`` states one for all.
+    """
+    first, second = (READERS[reader](spark, p).select("header", "bases", "qual") for p in (path1, path2))
+    offset = offset or learn_offset(first, second)
+    trimmed = [trim_reads(reads, offset, min_q, min_len, strict_len) for reads in (first, second)]
+    sinks.write_paired_fastq(pairing.pair_mates(*trimmed, method, sep), out1, out2)
 
 
 def qc_and_trim(
-    spark: SparkSession, path1: str, path2: str, out1: str, out2: str, report_path: str, **options
-) -> bool:
-    """QC of the first file, then ``trim_pair``; the format is looked up once."""
-    fmt = sniff(spark, path1)
-    if fmt.offset == 0:
-        return False
-    qc(spark, path1, report_path, options.get("reader", "text"), fmt)
-    return trim_pair(spark, path1, path2, out1, out2, fmt=fmt, **options)
+    spark: SparkSession,
+    path1: str,
+    path2: str,
+    out1: str,
+    out2: str,
+    report_path: str,
+    reader: str = "text",
+    offset: int | None = None,
+    **options,
+) -> None:
+    """QC of the first file, then ``trim_pair``; the offset is looked up once."""
+    offset = offset or learn_offset(*(READERS[reader](spark, p) for p in (path1, path2)))
+    qc(spark, path1, report_path, reader, offset)
+    trim_pair(spark, path1, path2, out1, out2, reader=reader, offset=offset, **options)
 
 
 def align_external(pairs: DataFrame, command: str) -> DataFrame:
@@ -105,12 +111,12 @@ def sam_pileup(
     command: str | None = None,
     min_q: int = 0,
     offset: int = 33,
-    region: int | None = None,
+    region: int | None = coordinates.REGION,
 ) -> DataFrame:
     """Pileup of SAM lines: native locus counts, or the output lines of a command.
 
-    A command gets the sorted header and whole reference names in coordinate order, or, with
-    ``region``, one stretch of that many bases at a time.
+    A command gets the sorted header and one stretch of ``region`` bases at a time, in coordinate
+    order; ``region=None`` gives it whole reference names.
     """
     body = coordinates.mapped_reads(parse_sam(lines))
     if command is None:
@@ -142,24 +148,22 @@ def ngs(
     min_q: int = 20,
     min_len: int = 30,
     reader: str = "text",
-) -> DataFrame | None:
-    """Full chain: QC report, trim, pair, align, then pileup. None when the offset is undecided.
+    offset: int | None = None,
+    sep: str | None = None,
+    region: int | None = coordinates.REGION,
+) -> DataFrame:
+    """Full chain: QC report, trim, pair, align, then pileup.
 
     The aligner's output is kept in the shared folder, so it runs once even though header and
     alignments are both read from it, and a lost executor does not run it again.
     """
-    fmt = sniff(spark, path1)
-    if fmt.offset == 0:
-        return None
-    qc(spark, path1, report_path, reader, fmt)
-
-    def load(path: str) -> DataFrame:
-        reads = READERS[reader](spark, path).select("header", "bases", "qual")
-        return trim_reads(reads, fmt.offset, min_q, min_len) if trim else reads
-
-    pairs = pairing.pair_mates(load(path1), load(path2), "group", fmt.sep)
+    first, second = (READERS[reader](spark, p).select("header", "bases", "qual") for p in (path1, path2))
+    offset = offset or learn_offset(first, second)
+    qc(spark, path1, report_path, reader, offset)
+    mates = [trim_reads(reads, offset, min_q, min_len) if trim else reads for reads in (first, second)]
+    pairs = pairing.pair_mates(*mates, "group", sep)
     stored = _store_lines(spark, align_external(pairs, aligner))
-    return sam_pileup(stored, ref, pileup_command, offset=fmt.offset)
+    return sam_pileup(stored, ref, pileup_command, offset=offset, region=region)
 
 
 def _store_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:

@@ -83,16 +83,27 @@ def _stitched_reads(chunks: DataFrame) -> DataFrame:
     )
     heads = F.col("head").isNotNull()
     inside = near.where(heads & F.col("next_tail").isNotNull() & (F.col("next_seq") == F.col("seq") + 1))
-    # What is left at the edges of a block: its last head, its first tail.
-    edges = near.where(
-        (heads & F.col("next_seq").isNull()) | (F.col("tail").isNotNull() & F.col("prev_seq").isNull())
-    ).select(*_PLACE, "head", "tail")
-    over_edge = W.partitionBy("file").orderBy("block", "seq")
-    crossing = edges.withColumn("next_tail", F.lead("tail").over(over_edge)).where(
-        heads & F.col("next_tail").isNotNull()
+    # What is left at the edges of a block: a head that is its last chunk, a tail that is its first. They
+    # belong together only in neighbouring blocks, so every block with a chunk takes part.
+    ends = chunks.groupBy("file", "block").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    edges = parts.join(ends, ["file", "block"])
+    at_edge = edges.groupBy("file", "block").agg(
+        F.max(F.when(heads & (F.col("seq") == F.col("last")), F.struct("seq", "head"))).alias("end"),
+        F.max(F.when(F.col("seq") == F.col("first"), F.col("tail"))).alias("start"),
     )
+    over_edge = W.partitionBy("file").orderBy("block")
+    crossing = (
+        ends.join(at_edge, ["file", "block"], "left")
+        .select(
+            "file", "block", F.col("end.seq").alias("seq"), F.col("end.head").alias("head"),
+            F.lead("start").over(over_edge).alias("next_tail"),
+        )
+        .where(heads & F.col("next_tail").isNotNull())
+    )
+
     out = [*_PLACE, F.col("head.header").alias("header"), F.col("head.bases").alias("bases"), F.col("next_tail").alias("qual")]
-    return inside.select(*out).unionByName(crossing.select(*out))
+    stitched = inside.select(*out).unionByName(crossing.select(*out))
+    return stitched.where(F.length("bases") == F.length("qual"))
 
 
 def number_records(reads: DataFrame) -> DataFrame:
@@ -111,10 +122,3 @@ def number_records(reads: DataFrame) -> DataFrame:
     return numbered.join(starts, ["file", "block"]).select(
         *reads.columns, (F.col("first_no") + F.col("in_block")).alias("record_no")
     )
-
-
-def fastq_head(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
-    """The first n reads of a file, to sniff its format; reads only the start of the first split."""
-    lines = [row.value for row in spark.read.text(path).take(4 * n)]
-    rows = [(i // 4, *lines[i : i + 2], lines[i + 3]) for i in range(0, len(lines) - 3, 4)]
-    return spark.createDataFrame(rows, "record_no long, header string, bases string, qual string")

@@ -19,6 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "file string, block long, seq long, header string, bases string, qual string"
 PIECE = 8 << 20
+# Extensions of codecs that are read as one stream, as they cannot be split, and of those that Arrow lacks.
+STREAMED, UNREAD = {"gz", "bz2", "zst", "lz4"}, {"deflate", "snappy", "xz", "Z", "zip", "lzo"}
 
 
 class ByteRange(InputPartition):
@@ -46,7 +48,9 @@ class FastqRangeReader(DataSourceReader):
         ranges: list[InputPartition] = []
         for path in self.paths:
             for info in _files(path):
-                if info.extension == "gz":  # not splittable
+                if info.extension in UNREAD:
+                    raise ValueError(f"{info.path}: this reader has no {info.extension} codec; use read_fastq")
+                if info.extension in STREAMED:
                     ranges.append(ByteRange(_uri(path, info.path), 0, None))
                     continue
                 for start in range(0, info.size, self.range_bytes):

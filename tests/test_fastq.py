@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from readloom.sources import fastq_head, number_records, read_fastq, read_fastq_ranges
+from readloom.sources import number_records, read_fastq, read_fastq_ranges
 
 
 def make(seed: int, n: int) -> list[tuple[str, str, str]]:
@@ -92,9 +92,26 @@ def test_unequal_lengths_are_dropped_by_ranges(spark, tmp_path):
     assert triples(read_fastq_ranges(spark, str(path))) == [("@b", "AC", "@I")]
 
 
-def test_head(spark, tmp_path):
-    rows = make(4, 30)
+def test_broken_records_do_not_depend_on_splits(spark, tmp_path):
     path = tmp_path / "a.fastq"
-    path.write_text(text(rows))
-    got = fastq_head(spark, str(path), 20).orderBy("record_no").collect()
-    assert [(r.header, r.bases, r.qual) for r in got] == rows[:20]
+    whole = "".join(f"@r{i}\nACGTACGTAC\n+\nIIIIIIIIII\n" for i in range(40))
+    path.write_text("@broken\nACGT\n+\n" + whole + "@IIIIIIIII\n" + whole)
+    want = triples(read_fastq(spark, str(path)))
+    for size in (64, 100, 333):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            assert triples(read_fastq(spark, str(path))) == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(len(b) == len(q) for _, b, q in want) and len(want) == 80
+
+
+def test_compressed_files(spark, tmp_path):
+    import bz2
+
+    rows = make(4, 30)
+    (tmp_path / "a.fastq.bz2").write_bytes(bz2.compress(text(rows).encode()))
+    (tmp_path / "b.fastq.xz").write_bytes(b"x")
+    assert triples(read_fastq_ranges(spark, str(tmp_path / "a.fastq.bz2"))) == sorted(rows)
+    with pytest.raises(Exception, match="codec"):
+        read_fastq_ranges(spark, str(tmp_path / "b.fastq.xz")).count()

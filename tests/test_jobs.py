@@ -41,11 +41,10 @@ def folder(path) -> list[str]:
 @pytest.mark.parametrize("method", ["group", "join"])
 def test_qc_and_trim(spark, files, reader, method):
     root, _ = files
-    done = jobs.qc_and_trim(
+    jobs.qc_and_trim(
         spark, str(root / "r1.fastq"), str(root / "r2.fastq"), str(root / "o1"), str(root / "o2"),
         str(root / "qc"), method=method, reader=reader,
     )
-    assert done
     report = folder(root / "qc")
     assert report[:3] == ["Measure value ", "Filename:r1.fastq ", "Total reads:120 "]
     assert report[4] == "Sequence length:40 " and len(report) == 8 + 9 + 6 + 1
@@ -60,10 +59,39 @@ def test_qc_and_trim(spark, files, reader, method):
 def test_undecided_offset_stops(spark, tmp_path):
     path = tmp_path / "a.fastq"
     path.write_text("@a/1\nACG\n+\nAAA\n")
-    assert not jobs.qc(spark, str(path), str(tmp_path / "qc"))
-    assert not jobs.trim_pair(spark, str(path), str(path), str(tmp_path / "x"), str(tmp_path / "y"))
-    assert jobs.ngs(spark, str(path), str(path), str(tmp_path / "z"), "cat") is None
+    for run in (
+        lambda: jobs.qc(spark, str(path), str(tmp_path / "qc")),
+        lambda: jobs.trim_pair(spark, str(path), str(path), str(tmp_path / "x"), str(tmp_path / "y")),
+        lambda: jobs.ngs(spark, str(path), str(path), str(tmp_path / "z"), "cat"),
+    ):
+        with pytest.raises(ValueError, match="offset"):
+            run()
     assert not (tmp_path / "qc").exists() and not (tmp_path / "x").exists()
+    jobs.qc(spark, str(path), str(tmp_path / "qc"), offset=33)
+    assert folder(tmp_path / "qc")
+
+
+def test_a_late_read_decides_the_offset(spark, tmp_path):
+    def made(mate, late):
+        return "".join(f"@r{i}/{mate}\nACGT\n+\n{late if i == 30 else '????'}\n" for i in range(1000))
+
+    for name, mate, late in (("a", 1, "??#?"), ("b", 2, "????"), ("c", 2, "hhhh")):
+        (tmp_path / name).write_text(made(mate, late))
+    a, b, c = (str(tmp_path / n) for n in "abc")
+    jobs.qc(spark, a, str(tmp_path / "qc"))
+    jobs.trim_pair(spark, b, a, str(tmp_path / "x"), str(tmp_path / "y"), min_len=2)
+    assert len(folder(tmp_path / "qc")) > 8
+    with pytest.raises(ValueError, match="different"):
+        jobs.trim_pair(spark, a, c, str(tmp_path / "v"), str(tmp_path / "w"))
+
+
+@pytest.mark.parametrize("method", ["group", "join"])
+def test_each_file_has_its_separator(spark, tmp_path, method):
+    for name, header in (("a", "@r{}/1"), ("b", "@r{} 2:N:0:X")):
+        (tmp_path / name).write_text("".join(f"{header.format(i)}\nACGT\n+\nII#I\n" for i in range(50)))
+    a, b, x, y = (str(tmp_path / n) for n in "abxy")
+    jobs.trim_pair(spark, a, b, x, y, min_q=2, min_len=1, method=method)
+    assert len(folder(tmp_path / "x")) == len(folder(tmp_path / "y")) == 200
 
 
 def test_full_chain(spark, files):
@@ -88,7 +116,7 @@ def test_full_chain_with_pileup_command(spark, files):
     count = "awk '!/^@/ {n++} END {if (n) print n}'"
     out = jobs.ngs(
         spark, str(root / "r1.fastq"), str(root / "r2.fastq"), str(root / "qc"), ALIGNER,
-        pileup_command=count, trim=False,
+        pileup_command=count, trim=False, region=None,
     )
     kept = sum(2 for i in range(120) if (1 + i * 2) % 7)
     assert sum(int(r.value) for r in out.collect()) == kept

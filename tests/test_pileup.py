@@ -101,3 +101,17 @@ def test_valid_alignments_keep_star_qualities(spark):
     lines = ["chr1 5 60 2M AC I*", "* 5 60 2M AC II", "chr1 5 60 * AC II", 'chr2 7 1 3M ACG "I"', "scaffold 1 1 1M A I"]
     rows = valid_alignments(parse_alignments(spark.createDataFrame([(x,) for x in lines], "value string"))).collect()
     assert [(r.chrom, r.pos, r.qual) for r in rows] == [("chr1", 5, "I*"), ("chr2", 7, '"I"')]
+
+
+def test_missing_qualities_bases_and_reference(spark):
+    rows = [
+        ("c", 3, "4M", "ACGT", "IIII"), ("c", 3, "4M", "ACGT", "*"), ("c", 3, "4M", "*", "*"), ("c", 3, "1M", "A", "*"),
+        ("d", 1, "2M", "AC", "II"), ("c", 9, "4M", "ACGT", "IIII"),
+    ]
+    reads = spark.createDataFrame(rows, "chrom string, pos int, cigar string, bases string, qual string")
+    ref = spark.createDataFrame([("c", "TTACGTTTAC")], "chrom string, seq string")
+    got = {(r.chrom, r.pos): (r.ref, r.total) for r in pileup.pileup_counts(reads, ref).collect()}
+    want = {("c", 3): ("A", 3), ("c", 4): ("C", 2), ("c", 5): ("G", 2), ("c", 6): ("T", 2), ("d", 1): (None, 1), ("d", 2): (None, 1)}
+    assert got == want | {("c", 9): ("A", 1), ("c", 10): ("C", 1), ("c", 11): (None, 1), ("c", 12): (None, 1)}
+    high = {(r.chrom, r.pos): r.total for r in pileup.pileup_counts(reads, ref, min_q=20).collect()}
+    assert high["c", 3] == high["c", 4] == 1
