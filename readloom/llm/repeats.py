@@ -153,7 +153,8 @@ def anchor_counts(one: DataFrame, length: int, gram: int) -> DataFrame:
             columns = [np.concatenate([*x, np.empty(0, np.int64)]) for x in (hashes, counts)]
             yield pa.record_batch([pa.array(names, pa.binary()), *map(pa.array, columns)], schema=schema)
 
-    return one.select("digest", "text").mapInArrow(run, "digest binary, h long, n long")
+    # All columns, so that every use of the texts is the same plan and shares one exchange.
+    return one.select("digest", "text", "copies").mapInArrow(run, "digest binary, h long, n long")
 
 
 def occurrences(one: DataFrame, repeated: DataFrame, length: int, gram: int) -> DataFrame:
@@ -187,7 +188,7 @@ def occurrences(one: DataFrame, repeated: DataFrame, length: int, gram: int) ->
         if held:
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
-    rows = one.join(repeated, "digest").select("digest", "text", "hs", "hot")
+    rows = one.join(repeated, "digest").select("digest", "text", "copies", "hs", "hot")
     return rows.mapInArrow(run, "h long, right binary, left binary, digest binary, places array<int>")
 
 
@@ -314,5 +315,6 @@ def documents_without_repeats(docs: DataFrame, text_col: str = "text", **options
 
 
 def op10_repeats(spark, sf_dir: str) -> DataFrame:
-    found = without_repeats(documents(spark, sf_dir))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    ids, results = cut_texts(documents(spark, sf_dir))
+    digests = results.select("digest", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return ids.join(digests, "digest").drop("digest")
