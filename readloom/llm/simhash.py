@@ -34,6 +34,8 @@ BUDGETS = [DISTANCE * length // BYTES for length in range(1, BYTES + 1)]
 # Equal bytes of a chain, as masks over the rotated fingerprint.
 KINDS = [0x00FFFFFFFF, 0xFF00FFFFFF, 0xFFFF00FFFF]
 LIMIT = 1024
+# Views of the looser groups, and the room for the tags of each.
+VIEWS, TAGS = 6, 4096
 BLOCK = 1 << 16
 
 
@@ -49,11 +51,36 @@ def simhash(text: str, words: int = 3) -> int:
     hashes = map(xxhash.xxh64_intdigest, shingles, repeat(SEED))
     counts = np.zeros(64, np.int64)
     for at in range(0, n, BLOCK):
-        block = np.fromiter(hashes, "<u8", min(BLOCK, n - at))
-        counts += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        counts += set_bits(np.fromiter(hashes, "<u8", min(BLOCK, n - at)))
+    return majority(counts, n)
+
+
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def word_views(text: str, views: int = VIEWS) -> list[int]:
+    """Fingerprints over the distinct words of a text, one for each way of mixing their hashes.
+
+    An edit changes few distinct words, so near copies differ in fewer bits than over shingles.
+    """
+    words = list(set(text.encode("utf-8", "surrogatepass").lower().split()))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), "<u8", len(words))
+    out = []
+    for view in range(views):
+        mixed = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (view + 1) % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        out.append(majority(set_bits(mixed), len(words)) if words else 0)
+    return out
+
+
 def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, name: str = "fp") -> DataFrame:
     """``docs`` with the fingerprint of each row as its last column."""
     made = docs.withColumn(name, F.lit(0).cast("long"))
@@ -84,9 +111,10 @@ def _signed(mask: int) -> Column:
 
 
 def ring_keys(nodes: DataFrame) -> DataFrame:
-    """The 24 keys of each fingerprint: ``tag, part, fp``."""
+    """The 24 keys of each fingerprint: ``tag, part, fp``. Fingerprints of different ``view`` share no key."""
+    view = F.col("view") if "view" in nodes.columns else F.lit(0)
     keys = [
-        F.struct(F.lit(start * len(KINDS) + kind).alias("tag"), _turned(F.col("fp"), start).bitwiseAND(_signed(mask)).alias("part"))
+        F.struct((F.lit(start * len(KINDS) + kind) + TAGS * view).alias("tag"), _turned(F.col("fp"), start).bitwiseAND(_signed(mask)).alias("part"))
         for start in range(BYTES)
         for kind, mask in enumerate(KINDS)
     ]
@@ -105,13 +133,14 @@ def _buckets(keyed: DataFrame, limit: int) -> DataFrame:
     sizes = keyed.groupBy("tag", "part").agg(F.count("*").alias("n"))
     marked = keyed.join(sizes.where(F.col("n") > 1), ["tag", "part"])
     masks = F.array(*(F.array(*(_signed(m) for m in _finer_masks(tag))) for tag in range(24)))
-    start = "8 * cast(tag DIV 3 AS int)"
+    start = f"8 * cast((tag % {TAGS}) DIV 3 AS int)"
+    own = F.col("tag") % TAGS
     turned = F.expr(f"shiftrightunsigned(fp, {start}) | shiftleft(fp, 64 - {start})")
     large = F.col("n") > limit
     small = marked.where(~large).select("tag", "part", "fp")
-    cut = marked.where(large).select("tag", "fp", F.posexplode(F.element_at(masks, F.col("tag") + 1)).alias("i", "mask"))
+    cut = marked.where(large).select("tag", "fp", F.posexplode(F.element_at(masks, own + 1)).alias("i", "mask"))
     cut = cut.select(
-        (24 + F.col("tag") * 56 + F.col("i")).alias("tag"),
+        (F.col("tag") - own + 24 + own * 56 + F.col("i")).alias("tag"),
         turned.bitwiseAND(F.col("mask")).alias("part"),
         "fp",
     )
@@ -131,6 +160,7 @@ def near(fp: int, others: np.ndarray, start: int) -> np.ndarray:
 
 def _forest(tag: int, fps: np.ndarray) -> Iterator[tuple[int, int]]:
     """Edges that join the linked fingerprints of a bucket, one for each but the first of a cluster."""
+    tag %= TAGS
     start = (tag if tag < 24 else (tag - 24) // 56) // len(KINDS)
     rest = fps
     while len(rest) > 1:
@@ -145,8 +175,8 @@ def _forest(tag: int, fps: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def links(nodes: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Edges ``a, b`` between distinct fingerprints ``fp``; their components are those of all links."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Edges ``view, a, b`` between distinct fingerprints ``fp``; their components are those of all links."""
+    schema = pa.schema([("view", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -164,14 +194,18 @@ def links(nodes: DataFrame, limit: int = LIMIT) -> DataFrame:
 
     def _edges(tag, fp, bounds, schema):
         wide = np.flatnonzero(np.diff(bounds) > 1)
-        found = [e for i in wide for e in _forest(int(tag[bounds[i]]), fp[bounds[i] : bounds[i + 1]])]
+        found, views = [], []
+        for i in wide:
+            edges = list(_forest(int(tag[bounds[i]]), fp[bounds[i] : bounds[i + 1]]))
+            found += edges
+            views += [int(tag[bounds[i]]) // TAGS] * len(edges)
         if found:
             pairs = np.array(found, np.uint64).view(np.int64)
-            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+            yield pa.record_batch([pa.array(views, pa.int32()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     buckets = _buckets(ring_keys(nodes), limit)
     placed = buckets.repartition("tag", "part").sortWithinPartitions("tag", "part", "fp")
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    return placed.mapInArrow(run, "view int, a long, b long").distinct()
 
 
 def simhash_components(
@@ -185,7 +219,7 @@ def simhash_components(
     """
     each = stored(fingerprints(docs, id_col, text_col, words), "simhash")
     nodes = each.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = stored(connected_components(links(nodes.select("fp"), limit)), "components")
+    found = stored(connected_components(links(nodes.select("fp"), limit).select("a", "b")), "components")
     ids = found.join(nodes, found.node == nodes.fp).select("node", "root", "least")
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = found.join(least, "root").select(F.col("node").alias("fp"), "component_id")
@@ -193,14 +227,53 @@ def simhash_components(
     return each.join(whole, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """The rows of ``docs`` with one row of each component: that of its smallest id.
+def with_views(docs: DataFrame, text_col: str = "text", words: int = 3, views: int = VIEWS, name: str = "fps") -> DataFrame:
+    """``docs`` with an array of fingerprints as its last column: that over shingles, then the word views."""
+    made = docs.withColumn(name, F.array(F.lit(0).cast("long")))
+    fields, at = [f.name for f in made.schema], docs.columns.index(text_col)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = [np.array([simhash(t or "", words), *word_views(t or "", views)], np.uint64).view(np.int64) for t in part.column(at).to_pylist()]
+            yield pa.record_batch([*part.columns, pa.array(found, pa.list_(pa.int64()))], names=fields)
+
+    return docs.mapInArrow(run, made.schema)
+
+
+def near_copies(each: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """``fp, component_id`` of rows ``doc_id, fps``: components of links of three bits or fewer in any view.
+
+    A row is the node of its first fingerprint. Its other fingerprints are nodes beside it, but only those that
+    another row has as well or that have a link.
+    """
+    rows = each.select("fps").distinct()
+    nodes = rows.select(F.col("fps")[0].alias("first"), F.posexplode("fps").alias("view", "fp"))
+    kinds = stored(nodes.groupBy("view", "fp").agg((F.min("first") != F.max("first")).alias("shared")), "views")
+    edges = stored(links(kinds.select("view", "fp"), limit), "links")
+    ends = edges.select("view", F.col("a").alias("fp")).union(edges.select("view", F.col("b").alias("fp")))
+    active = kinds.where("shared").select("view", "fp").union(ends).where("view > 0").distinct()
+    name = lambda view, fp: F.concat_ws(":", view, F.hex(fp))
+    members = nodes.join(active, ["view", "fp"]).select(
+        name(F.lit(0), F.col("first")).alias("a"), name(F.col("view"), F.col("fp")).alias("b")
+    )
+    linked = edges.select(name(F.col("view"), F.col("a")).alias("a"), name(F.col("view"), F.col("b")).alias("b"))
+    found = stored(connected_components(members.union(linked)), "components")
+    least = each.groupBy(F.col("fps")[0].alias("fp")).agg(F.min("doc_id").alias("least"))
+    keyed = least.withColumn("node", name(F.lit(0), F.col("fp"))).join(found, "node", "left")
+    keyed = keyed.select("fp", "least", F.coalesce("root", "node").alias("root"))
+    best = keyed.groupBy("root").agg(F.min("least").alias("component_id"))
+    return keyed.join(best, "root").select("fp", "component_id")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, views: int = VIEWS) -> DataFrame:
+    """The rows of ``docs`` with one row of each group of near copies: that of its smallest id.
 
     Of repeated rows one stays. Rows that share this id, or have none, stay once for each fingerprint.
     """
-    groups = simhash_components(docs, id_col, text_col, words)
-    best = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = best.select(F.col("doc_id").alias("_best"), F.col("fp").alias("_of")).distinct()
+    each = stored(with_views(texts(docs, id_col, text_col), "text", words, views).select("doc_id", "fps"), "fingerprints")
+    groups = near_copies(each)
+    rows = each.select("doc_id", F.col("fps")[0].alias("fp")).distinct().join(groups, "fp")
+    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_best"), F.col("fp").alias("_of"))
     marked = with_fingerprints(docs, text_col, words, "_fp")
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_best")) & (F.col("_fp") == F.col("_of"))
     return marked.join(first, same, "left_semi").dropDuplicates([id_col, "_fp"]).drop("_fp")

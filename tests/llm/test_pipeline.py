@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as C
 from tests.llm.test_repeats import plain as cut_plain
-from tests.llm.test_simhash import components
+from readloom.llm.simhash import word_views
 from tests.llm.test_simhash import plain as simhash_plain
 
 SF = "/root/testdata/sf0.001"
@@ -23,10 +23,24 @@ def texts(df):
     return {r.doc_id: r.text for r in df.collect()}
 
 
+def near_groups(found):
+    """Smallest id reachable over links of three bits in any view."""
+    fps = {i: [simhash_plain(t), *word_views(t)] for i, t in found.items()}
+    out = {}
+    for k in sorted(fps):
+        todo = [k] if k not in out else []
+        while todo:
+            a = todo.pop()
+            if a not in out:
+                out[a] = k
+                todo += [b for b in fps if b not in out and any((x ^ y).bit_count() <= 3 for x, y in zip(fps[a], fps[b]))]
+    return out
+
+
 def test_near_duplicates(spark, docs):
     got = C.drop_near_duplicates(spark, docs, SF)
     assert got.columns == docs.columns
-    groups = components({i: simhash_plain(t) for i, t in texts(docs).items()})
+    groups = near_groups(texts(docs))
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(groups.values()))
     twice = C.drop_near_duplicates(spark, docs.union(docs), SF)
     assert sorted(r.doc_id for r in twice.collect()) == sorted(set(groups.values()))

@@ -54,7 +54,7 @@ def test_components(spark, limit):
     assert edges.count() < 24 * 56 * len(values)
     from readloom.llm.common import connected_components
 
-    got = {r.node: r.root for r in connected_components(edges).collect()}
+    got = {r.node: r.root for r in connected_components(edges.select("a", "b")).collect()}
     want = components({signed(v): v for v in values})
     assert {k: got.get(k, k) for k in want} == want
 
@@ -74,3 +74,38 @@ def test_query(spark):
     want = components({i: plain(t) for i, t in texts.items()})
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in S.op5_simhash(spark, sf).collect()}
     assert got == {i: (f"{plain(t):016x}", want[i]) for i, t in texts.items()}
+
+
+def test_near_copies(spark):
+    """Groups of the pipeline's stage: links in any view, by brute force, and copies of a similarity of 0.8."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(4000)]
+    texts = {}
+    for g in range(30):
+        base = list(rng.choice(words, 250))
+        texts[g * 100] = " ".join(base)
+        for c in range(1, 4):
+            copy = base[:]
+            for at in rng.choice(250, 4, replace=False):
+                copy[at] = str(rng.choice(words))
+            texts[g * 100 + c] = " ".join(copy)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    fps = {i: [S.simhash(t), *S.word_views(t)] for i, t in texts.items()}
+    want, seen = {}, set()
+    for i in sorted(texts):
+        todo = [i] if i not in seen else []
+        while todo:
+            a = todo.pop()
+            if a not in seen:
+                seen.add(a)
+                want[a] = i
+                todo += [b for b in texts if b not in seen and any((x ^ y).bit_count() <= 3 for x, y in zip(fps[a], fps[b]))]
+    kept = sorted(r.doc_id for r in S.one_per_group(docs).collect())
+    assert kept == sorted(set(want.values()))
+    assert all(g * 100 in kept for g in range(30)) and len(kept) <= 33
+
+
+def test_word_views():
+    text = "One two THREE two"
+    assert S.word_views(text) == S.word_views("three one two") and S.word_views("") == [0] * S.VIEWS
+    assert len(set(S.word_views(text))) > 1
