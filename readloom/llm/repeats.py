@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from readloom.llm.common import documents, texts
 
-LENGTH, GRAM, LIMIT = 200, 80, 1 << 16
+LENGTH, GRAM, LIMIT = 200, 40, 1 << 16
 BLOCK = 1 << 18
 _rng = np.random.default_rng(10)
 LETTERS = _rng.integers(1, 1 << 63, 256).astype(np.uint64)
