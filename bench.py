@@ -29,6 +29,10 @@ HEADLINE = [
     "reads_with_reference",
     "pileup_counts",
     "baq_pileup",
+    "baq_bases",
+    "snp_counts",
+    "pileup_by_region",
+    "sam_partition_blocks",
 ]
 
 
