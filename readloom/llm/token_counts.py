@@ -12,6 +12,7 @@ same order as in the tokenizer. Neighbouring unknown tokens count as one where t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import ahocorasick
@@ -36,11 +37,50 @@ class Counter:
             if i != unk and piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        texts = [piece for i, (piece, _) in enumerate(vocab) if i != unk]
+        self.letters, self.singles = set("".join(texts)), {p for p in texts if len(p) == 1}
+        self.pairs = {p[i : i + 2] for p in texts for i in range(len(p) - 1)}
+        # Sums of whole numbers do not depend on where they start, so a text may be counted in parts.
+        self.parts = all(float(score).is_integer() for _, score in vocab)
+        self.known: dict[str, int] = {}
+
+    def cut(self, text: str) -> list[str]:
+        """Parts of a text that no piece and no run of unknown characters joins."""
+        at = [0]
+        for i in range(1, len(text)):
+            a, b = text[i - 1], text[i]
+            if a in self.singles and (b not in self.letters or b in self.singles and a + b not in self.pairs):
+                at.append(i)
+            elif a not in self.letters and b in self.singles:
+                at.append(i)
+        return [text[i:j] for i, j in zip(at, [*at[1:], len(text)])]
 
     def __call__(self, text: str) -> int:
+        """Tokens of a text, from the counts of its parts where these repeat."""
+        if not self.parts:
+            return self.count(text)
+        total = 0
+        for part in self.cut(text) if text else []:
+            n = self.known.get(part)
+            if n is None:
+                if len(self.known) >= 1 << 17:
+                    self.known.clear()
+                n = self.known[part] = self.count(part)
+            total += n
+        return total
+
+    def count(self, text: str) -> int:
         n = len(text)
         if not n:
             return 0
+        if self.singles.issuperset(text):
+            # No character is unknown: matches come by their ends, the longest first.
+            best, count = [0.0] + [-math.inf] * n, [0] * (n + 1)
+            for last, (size, score) in self.automaton.iter(text):
+                total = best[last + 1 - size] + score
+                if total > best[last + 1]:
+                    best[last + 1], count[last + 1] = total, count[last + 1 - size] + 1
+            return count[n]
         # Of the best path to each end: score, tokens, and whether the last one is unknown.
         best, count, odd = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
         matches: Iterator = iter(self.automaton.iter(text)) if len(self.automaton) else iter(())
@@ -77,7 +117,7 @@ def token_counts(
 ) -> DataFrame:
     """``doc_id, n_tokens`` of every row; null and empty texts have none. Whole texts of any length are counted.
 
-    Words repeat, so a task keeps the counts of up to 65,536 of them. There is no shuffle.
+    Words repeat, so a task keeps the counts of up to 131,072 of them and of their parts. There is no shuffle.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -87,7 +127,7 @@ def token_counts(
         def count(word: str) -> int:
             n = known.get(word)
             if n is None:
-                if len(known) >= 1 << 16:
+                if len(known) >= 1 << 17:
                     known.clear()
                 n = known[word] = counter(word)
             return n

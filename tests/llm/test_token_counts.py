@@ -15,12 +15,12 @@ def theirs(vocab, unk):
 
 def test_ties_and_unknowns():
     rng = random.Random(4)
-    for _ in range(60):
+    for _ in range(120):
         pieces = sorted({"".join(rng.choices("ab▁c", k=rng.randrange(1, 5))) for _ in range(14)})
         vocab = [("<unk>", 0.0)] + [(p, -float(rng.randrange(1, 4))) for p in pieces]
         ours, other = T.Counter(vocab, 0), theirs(vocab, 0)
         for _ in range(40):
-            text = "".join(rng.choices("abcx ", k=rng.randrange(1, 14)))
+            text = "".join(rng.choices("abcxy\n ", k=rng.randrange(1, 14)))
             assert sum(map(ours, T.words(text))) == other(text), (vocab, text)
 
 
