@@ -13,7 +13,7 @@ documents are scored in their partitions without a shuffle; a text's length has
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +90,7 @@ def labelled_features(rows: DataFrame, terms: dict[str, str]) -> DataFrame:
         known: dict[str, list[int]] = {}
         for part in parts:
             own, other = [], []
-            for text in part["text"].to_pylist():
+            for text in map(pa.StringScalar.as_py, part["text"]):
                 words = set(TOKEN.findall(text.lower()))
                 own.append(features(words, known))
                 other.append(features({terms.get(w, w) for w in words}, known) if words & terms.keys() else None)
@@ -118,11 +118,10 @@ def choose(own: list[np.ndarray], toxic: np.ndarray, most: int = FEATURES, least
 
 def sparse(lists: list[np.ndarray], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and column numbers of the chosen features."""
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    flat = np.concatenate([*lists, np.empty(0, np.int64)])
-    at = np.searchsorted(kinds, flat)
-    hit = (at < len(kinds)) & (kinds[np.minimum(at, len(kinds) - 1)] == flat) if len(kinds) else np.zeros(len(flat), bool)
-    return rows[hit], at[hit]
+    # List by list: few features are chosen, and the others never stand in one array.
+    columns = [np.flatnonzero(np.isin(kinds, x, assume_unique=True)) for x in lists]
+    rows = np.repeat(np.arange(len(lists)), [len(c) for c in columns])
+    return rows, np.concatenate([*columns, np.empty(0, np.int64)])
 
 
 def fit(own: list, swapped: list, toxic: np.ndarray, ridge: float = RIDGE, fair: float = FAIR, steps: int = STEPS):
@@ -228,7 +227,7 @@ class Scorer:
             found = self.known[word] = tuple(f for f in word_features(word) if f in self.weight)
         return found
 
-    def __call__(self, texts: list[str]) -> np.ndarray:
+    def __call__(self, texts: Iterable[str]) -> np.ndarray:
         raw = []
         for text in texts:
             found = set().union(*map(self.hits, set(TOKEN.findall(text.lower()))))
@@ -243,7 +242,8 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for part in parts:
-            yield pa.record_batch([part["doc_id"], pa.array(scorer(part["text"].to_pylist()))], schema=schema)
+            found = scorer(t.as_py() for t in part["text"])
+            yield pa.record_batch([part["doc_id"], pa.array(found)], schema=schema)
 
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
@@ -270,7 +270,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_c
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for part in parts:
-            found = scorer([t or "" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()])
+            found = scorer(t.as_py() or "" for t in part.column(part.schema.get_field_index(text_col)))
             yield part.filter(pa.array(found < THRESHOLD))
 
     return docs.mapInArrow(run, schema)
