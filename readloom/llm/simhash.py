@@ -35,7 +35,7 @@ BUDGETS = [DISTANCE * length // BYTES for length in range(1, BYTES + 1)]
 KINDS = [0x00FFFFFFFF, 0xFF00FFFFFF, 0xFFFF00FFFF]
 LIMIT = 1024
 # Views of the looser groups, and the room for the tags of each.
-VIEWS, TAGS = 6, 4096
+VIEWS, TAGS = 4, 4096
 BLOCK = 1 << 16
 
 
@@ -88,7 +88,7 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, n
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = np.array([simhash(t or "", words) for t in part.column(at).to_pylist()], np.uint64)
+            found = np.array([simhash(t.as_py() or "", words) for t in part.column(at)], np.uint64)
             yield pa.record_batch([*part.columns, pa.array(found.view(np.int64))], names=fields)
 
     return docs.mapInArrow(run, made.schema)
@@ -234,7 +234,8 @@ def with_views(docs: DataFrame, text_col: str = "text", words: int = 3, views: i
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [np.array([simhash(t or "", words), *word_views(t or "", views)], np.uint64).view(np.int64) for t in part.column(at).to_pylist()]
+            read = (t.as_py() or "" for t in part.column(at))
+            found = [np.array([simhash(t, words), *word_views(t, views)], np.uint64).view(np.int64) for t in read]
             yield pa.record_batch([*part.columns, pa.array(found, pa.list_(pa.int64()))], names=fields)
 
     return docs.mapInArrow(run, made.schema)
@@ -268,15 +269,17 @@ def near_copies(each: DataFrame, limit: int = LIMIT) -> DataFrame:
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, views: int = VIEWS) -> DataFrame:
     """The rows of ``docs`` with one row of each group of near copies: that of its smallest id.
 
-    Of repeated rows one stays. Rows that share this id, or have none, stay once for each fingerprint.
+    Of repeated rows one stays. Rows that share this id, or have none, stay once for each text.
     """
-    each = stored(with_views(texts(docs, id_col, text_col), "text", words, views).select("doc_id", "fps"), "fingerprints")
+    tagged = texts(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
+    each = stored(with_views(tagged, "text", words, views).select("doc_id", "tag", "fps"), "fingerprints")
     groups = near_copies(each)
-    rows = each.select("doc_id", F.col("fps")[0].alias("fp")).distinct().join(groups, "fp")
-    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_best"), F.col("fp").alias("_of"))
-    marked = with_fingerprints(docs, text_col, words, "_fp")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_best")) & (F.col("_fp") == F.col("_of"))
-    return marked.join(first, same, "left_semi").dropDuplicates([id_col, "_fp"]).drop("_fp")
+    rows = each.select("doc_id", "tag", F.col("fps")[0].alias("fp")).distinct().join(groups, "fp")
+    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.select(F.col("doc_id").alias("_best"), F.col("tag").alias("_of"))
+    marked = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_best")) & (F.col("_tag") == F.col("_of"))
+    return marked.join(first, same, "left_semi").dropDuplicates([id_col, "_tag"]).drop("_tag")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
