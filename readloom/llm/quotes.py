@@ -91,18 +91,21 @@ def links(found: DataFrame) -> DataFrame:
 
 def roots(parents: DataFrame) -> DataFrame:
     """``message_id, conversation_id, depth`` of every message that is linked."""
-    now = stored(parents.select("message_id", F.col("parent_id").alias("top"), F.lit(1).cast("long").alias("depth")), "jumps")
-    while True:
-        up = now.select(F.col("message_id").alias("top"), F.col("top").alias("further"), F.col("depth").alias("more"))
-        joined = now.join(up, "top", "left").select(
+    now = parents.select("message_id", F.col("parent_id").alias("top"), F.lit(1).cast("long").alias("depth"), F.lit(True).alias("open"))
+    now = stored(now, "jumps")
+    while now.where("open").limit(1).count():
+        up = now.select(
+            F.col("message_id").alias("top"), F.col("top").alias("further"), F.col("depth").alias("more"), F.col("open").alias("goes_on")
+        )
+        # Only rows whose top may have a parent jump again.
+        joined = now.where("open").join(up, "top", "left").select(
             "message_id",
             F.coalesce("further", "top").alias("top"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            F.col("further").isNotNull().alias("moved"),
+            F.coalesce("goes_on", F.lit(False)).alias("open"),
         )
-        now = stored(joined, "jumps")
-        if not now.where("moved").limit(1).count():
-            return now.select("message_id", F.col("top").alias("conversation_id"), "depth")
+        now = stored(joined.unionByName(now.where("not open")), "jumps")
+    return now.select("message_id", F.col("top").alias("conversation_id"), "depth")
 
 
 def conversations(messages: DataFrame, id_col: str = "message_id", text_col: str = "text") -> DataFrame:
