@@ -36,19 +36,38 @@ KINDS = [0x00FFFFFFFF, 0xFF00FFFFFF, 0xFFFF00FFFF]
 LIMIT = 1024
 # Views of the looser groups, and the room for the tags of each.
 VIEWS, TAGS = 4, 4096
+# Near copies of the looser groups: words of a shingle, and the least Jaccard similarity as a fraction.
+SHINGLE, SIMILAR = 5, (4, 5)
+# Groups of so many units are compared pair by pair; in larger ones each unit meets so many others.
+SMALL, LEADERS = 32, 16
 BLOCK = 1 << 16
 
 
-def simhash(text: str, words: int = 3) -> int:
-    """The fingerprint of one text; zero without a word."""
+def shingle_hashes(text: str, words: int) -> tuple[Iterator[int], int]:
+    """The hash of each word shingle, and how many there are; the whole text where it has fewer words."""
     parts = text.encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return 0
     if len(parts) < words:
-        shingles, n = iter([b" ".join(parts)]), 1
+        shingles, n = iter([b" ".join(parts)] if parts else []), min(1, len(parts))
     else:
         shingles, n = map(b" ".join, zip(*(parts[i:] for i in range(words)))), len(parts) - words + 1
-    hashes = map(xxhash.xxh64_intdigest, shingles, repeat(SEED))
+    return map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), n
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    hashes, n = shingle_hashes(text, words)
+    return np.unique(np.fromiter(hashes, "<u8", n))
+
+
+def word_hash(text: str) -> str:
+    """128 bits over the words in order."""
+    return xxhash.xxh3_128_hexdigest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()), SEED)
+
+
+def simhash(text: str, words: int = 3) -> int:
+    """The fingerprint of one text; zero without a word."""
+    hashes, n = shingle_hashes(text, words)
+    if not n:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, n, BLOCK):
         counts += set_bits(np.fromiter(hashes, "<u8", min(BLOCK, n - at)))
@@ -228,42 +247,86 @@ def simhash_components(
 
 
 def with_views(docs: DataFrame, text_col: str = "text", words: int = 3, views: int = VIEWS, name: str = "fps") -> DataFrame:
-    """``docs`` with an array of fingerprints as its last column: that over shingles, then the word views."""
-    made = docs.withColumn(name, F.array(F.lit(0).cast("long")))
+    """``docs`` with ``unit``, a hash of the words in order, and an array of fingerprints: over shingles, then the word views."""
+    made = docs.withColumn("unit", F.lit("")).withColumn(name, F.array(F.lit(0).cast("long")))
     fields, at = [f.name for f in made.schema], docs.columns.index(text_col)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            read = (t.as_py() or "" for t in part.column(at))
-            found = [np.array([simhash(t, words), *word_views(t, views)], np.uint64).view(np.int64) for t in read]
-            yield pa.record_batch([*part.columns, pa.array(found, pa.list_(pa.int64()))], names=fields)
+            units, found = [], []
+            for t in part.column(at):
+                text = t.as_py() or ""
+                units.append(word_hash(text))
+                found.append(np.array([simhash(text, words), *word_views(text, views)], np.uint64).view(np.int64))
+            yield pa.record_batch([*part.columns, pa.array(units, pa.string()), pa.array(found, pa.list_(pa.int64()))], names=fields)
 
     return docs.mapInArrow(run, made.schema)
 
 
-def near_copies(each: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """``fp, component_id`` of rows ``doc_id, fps``: components of links of three bits or fewer in any view.
+def candidates(each: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Pairs ``a, b`` of units to be compared, from rows ``unit, fps``.
 
-    A row is the node of its first fingerprint. Its other fingerprints are nodes beside it, but only those that
-    another row has as well or that have a link.
+    Links of three bits or fewer in any view group the units. A group of at most ``SMALL`` units yields all its
+    pairs, a larger one its spanning edges and the pairs of each unit with ``LEADERS`` others of the group.
     """
-    rows = each.select("fps").distinct()
-    nodes = rows.select(F.col("fps")[0].alias("first"), F.posexplode("fps").alias("view", "fp"))
-    kinds = stored(nodes.groupBy("view", "fp").agg((F.min("first") != F.max("first")).alias("shared")), "views")
+    nodes = each.select("unit", F.posexplode("fps").alias("view", "fp"))
+    low, high = F.min("unit"), F.max("unit")
+    kinds = stored(nodes.groupBy("view", "fp").agg(low.alias("rep"), (low != high).alias("shared")), "views")
     edges = stored(links(kinds.select("view", "fp"), limit), "links")
-    ends = edges.select("view", F.col("a").alias("fp")).union(edges.select("view", F.col("b").alias("fp")))
-    active = kinds.where("shared").select("view", "fp").union(ends).where("view > 0").distinct()
-    name = lambda view, fp: F.concat_ws(":", view, F.hex(fp))
-    members = nodes.join(active, ["view", "fp"]).select(
-        name(F.lit(0), F.col("first")).alias("a"), name(F.col("view"), F.col("fp")).alias("b")
-    )
-    linked = edges.select(name(F.col("view"), F.col("a")).alias("a"), name(F.col("view"), F.col("b")).alias("b"))
-    found = stored(connected_components(members.union(linked)), "components")
-    least = each.groupBy(F.col("fps")[0].alias("fp")).agg(F.min("doc_id").alias("least"))
-    keyed = least.withColumn("node", name(F.lit(0), F.col("fp"))).join(found, "node", "left")
-    keyed = keyed.select("fp", "least", F.coalesce("root", "node").alias("root"))
+    ends = [kinds.select("view", F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep")) for c in "ab"]
+    linked = edges.join(ends[0], ["view", "a"]).join(ends[1], ["view", "b"]).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
+    same = nodes.join(kinds.where("shared").select("view", "fp", "rep"), ["view", "fp"]).select(F.col("rep").alias("a"), F.col("unit").alias("b"))
+    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
+    spanning = stored(ordered(linked.union(same)).distinct(), "spanning")
+    groups = stored(connected_components(spanning), "groups")
+    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
+    small = groups.join(sizes.where(F.col("n") <= SMALL), "root").groupBy("root").agg(F.collect_list("node").alias("all"))
+    small = small.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b"))
+    large = groups.join(sizes.where(F.col("n") > SMALL), "root").select("root", "node")
+    lead = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"] for i in range(LEADERS)]
+    led = large.join(large.groupBy("root").agg(F.array_distinct(F.array(*lead)).alias("all")), "root")
+    led = led.select(F.col("node").alias("a"), F.explode("all").alias("b"))
+    return stored(spanning.union(ordered(small.union(led))).distinct(), "candidates")
+
+
+def with_shingles(rows: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """``unit, shingles`` of rows ``unit, text``: the distinct hashes of the word shingles."""
+    schema = pa.schema([("unit", pa.string()), ("shingles", pa.list_(pa.int64()))])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, 256):
+                some = part.slice(at, 256)
+                found = [shingle_set(t.as_py() or "", words).view(np.int64) for t in some["text"]]
+                yield pa.record_batch([some["unit"], pa.array(found, pa.list_(pa.int64()))], schema=schema)
+
+    return rows.select("unit", "text").mapInArrow(run, "unit string, shingles array<long>")
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` whose shingle sets have an exact Jaccard similarity of ``SIMILAR`` or more."""
+    sides = [sets.select(F.col("unit").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab"]
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    union = F.size("a_set") + F.size("b_set") - both
+    over, under = SIMILAR
+    return pairs.join(sides[0], "a").join(sides[1], "b").where(both * under >= union * over).select("a", "b")
+
+
+def near_copies(each: DataFrame, named: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """``unit, component_id`` of rows ``doc_id, tag, unit, fps``; ``named`` has the ``text`` of each ``tag``.
+
+    The views only propose pairs. Components are those of pairs that pass the exact similarity, so that every
+    document of a group has another one in it at ``SIMILAR`` or more, or has the same words.
+    """
+    pairs = candidates(each.select("unit", "fps").distinct(), limit)
+    active = pairs.select(F.col("a").alias("unit")).union(pairs.select(F.col("b").alias("unit"))).distinct()
+    chosen = each.join(active, "unit").groupBy("unit").agg(F.min("tag").alias("tag"))
+    sets = stored(with_shingles(named.select("tag", "text").join(chosen, "tag").dropDuplicates(["unit"])), "shingles")
+    found = stored(connected_components(similar(pairs, sets)), "components")
+    least = each.groupBy("unit").agg(F.min("doc_id").alias("least"))
+    keyed = least.join(found, least.unit == found.node, "left").select("unit", "least", F.coalesce("root", "unit").alias("root"))
     best = keyed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return keyed.join(best, "root").select("fp", "component_id")
+    return keyed.join(best, "root").select("unit", "component_id")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, views: int = VIEWS) -> DataFrame:
@@ -272,9 +335,9 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Of repeated rows one stays. Rows that share this id, or have none, stay once for each text.
     """
     tagged = texts(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
-    each = stored(with_views(tagged, "text", words, views).select("doc_id", "tag", "fps"), "fingerprints")
-    groups = near_copies(each)
-    rows = each.select("doc_id", "tag", F.col("fps")[0].alias("fp")).distinct().join(groups, "fp")
+    each = stored(with_views(tagged, "text", words, views).select("doc_id", "tag", "unit", "fps"), "fingerprints")
+    groups = near_copies(each, tagged)
+    rows = each.select("doc_id", "tag", "unit").distinct().join(groups, "unit")
     first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.select(F.col("doc_id").alias("_best"), F.col("tag").alias("_of"))
     marked = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

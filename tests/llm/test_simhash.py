@@ -109,3 +109,39 @@ def test_word_views():
     text = "One two THREE two"
     assert S.word_views(text) == S.word_views("three one two") and S.word_views("") == [0] * S.VIEWS
     assert len(set(S.word_views(text))) > 1
+
+
+def test_exact_similarity(spark):
+    """Kept are the first documents of the groups of a five-word Jaccard similarity of 0.8, by brute force."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sets = {}
+    for r in rows.collect():
+        w = r.text.encode().lower().split()
+        sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    alike = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    want, seen = [], set()
+    for i in sorted(sets):
+        todo = [i]
+        want += [i] * (i not in seen)
+        while todo:
+            a = todo.pop()
+            if a not in seen:
+                seen.add(a)
+                todo += [b for b in sets if b not in seen and alike(sets[a], sets[b])]
+    assert sorted(r.doc_id for r in S.one_per_group(rows).collect()) == want
+
+
+def test_large_group(spark):
+    """A group above SMALL: no document is dropped without a partner, and exact copies share one unit."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base)), *((1000 + i, " ".join(base)) for i in range(20))]
+    for i in range(1, 61):
+        copy = base[:]
+        for at in range(2 if i <= 40 else 24):
+            copy[(i * 37 + at * 12) % 300] = f"x{i}.{at}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = {i: set(S.shingle_set(t, 5)) for i, t in rows}
+    kept = {r.doc_id for r in S.one_per_group(docs).collect()}
+    assert 0 in kept and not kept & set(range(1000, 1020)) and not kept & set(range(1, 41)) and set(range(41, 61)) <= kept
+    assert all(any(j != i and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in sets) for i in set(sets) - kept)
