@@ -18,6 +18,7 @@ its full distance is counted.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -35,7 +36,7 @@ BUDGETS = [DISTANCE * length // BYTES for length in range(1, BYTES + 1)]
 KINDS = [0x00FFFFFFFF, 0xFF00FFFFFF, 0xFFFF00FFFF]
 LIMIT = 1024
 # Views of the looser groups, and the room for the tags of each.
-VIEWS, TAGS = 4, 4096
+VIEWS, TAGS = 6, 4096
 # Near copies of the looser groups: words of a shingle, and the least Jaccard similarity as a fraction.
 SHINGLE, SIMILAR = 5, (4, 5)
 # Groups of so many units are compared pair by pair; in larger ones each unit meets so many others.
@@ -151,7 +152,8 @@ def _buckets(keyed: DataFrame, limit: int) -> DataFrame:
     """Keys whose buckets are small: those above ``limit`` are replaced by finer ones."""
     sizes = keyed.groupBy("tag", "part").agg(F.count("*").alias("n"))
     marked = keyed.join(sizes.where(F.col("n") > 1), ["tag", "part"])
-    masks = F.array(*(F.array(*(_signed(m) for m in _finer_masks(tag))) for tag in range(24)))
+    signed = lambda mask: f"{mask - (1 << 64) if mask >> 63 else mask}L"
+    masks = F.expr("array(" + ", ".join(f"array({', '.join(map(signed, _finer_masks(tag)))})" for tag in range(24)) + ")")
     start = f"8 * cast((tag % {TAGS}) DIV 3 AS int)"
     own = F.col("tag") % TAGS
     turned = F.expr(f"shiftrightunsigned(fp, {start}) | shiftleft(fp, 64 - {start})")
@@ -263,8 +265,8 @@ def with_views(docs: DataFrame, text_col: str = "text", words: int = 3, views: i
     return docs.mapInArrow(run, made.schema)
 
 
-def candidates(each: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Pairs ``a, b`` of units to be compared, from rows ``unit, fps``.
+def candidates(each: DataFrame, views: int = VIEWS, limit: int = LIMIT) -> DataFrame:
+    """Pairs ``a, b`` of units to be compared, from rows ``unit, fps`` with ``views`` word views.
 
     Links of three bits or fewer in any view group the units. A group of at most ``SMALL`` units yields all its
     pairs, a larger one its spanning edges and the pairs of each unit with ``LEADERS`` others of the group.
@@ -272,7 +274,9 @@ def candidates(each: DataFrame, limit: int = LIMIT) -> DataFrame:
     nodes = each.select("unit", F.posexplode("fps").alias("view", "fp"))
     low, high = F.min("unit"), F.max("unit")
     kinds = stored(nodes.groupBy("view", "fp").agg(low.alias("rep"), (low != high).alias("shared")), "views")
-    edges = stored(links(kinds.select("view", "fp"), limit), "links")
+    # One view after the other: a job holds the keys of one.
+    found = [stored(links(kinds.where(F.col("view") == v).select("view", "fp"), limit), "links") for v in range(views + 1)]
+    edges = reduce(DataFrame.union, found)
     ends = [kinds.select("view", F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep")) for c in "ab"]
     linked = edges.join(ends[0], ["view", "a"]).join(ends[1], ["view", "b"]).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
     same = nodes.join(kinds.where("shared").select("view", "fp", "rep"), ["view", "fp"]).select(F.col("rep").alias("a"), F.col("unit").alias("b"))
@@ -312,13 +316,13 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").where(both * under >= union * over).select("a", "b")
 
 
-def near_copies(each: DataFrame, named: DataFrame, limit: int = LIMIT) -> DataFrame:
+def near_copies(each: DataFrame, named: DataFrame, views: int = VIEWS, limit: int = LIMIT) -> DataFrame:
     """``unit, component_id`` of rows ``doc_id, tag, unit, fps``; ``named`` has the ``text`` of each ``tag``.
 
     The views only propose pairs. Components are those of pairs that pass the exact similarity, so that every
     document of a group has another one in it at ``SIMILAR`` or more, or has the same words.
     """
-    pairs = candidates(each.select("unit", "fps").distinct(), limit)
+    pairs = candidates(each.select("unit", "fps").distinct(), views, limit)
     active = pairs.select(F.col("a").alias("unit")).union(pairs.select(F.col("b").alias("unit"))).distinct()
     chosen = each.join(active, "unit").groupBy("unit").agg(F.min("tag").alias("tag"))
     sets = stored(with_shingles(named.select("tag", "text").join(chosen, "tag").dropDuplicates(["unit"])), "shingles")
@@ -336,7 +340,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     tagged = texts(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
     each = stored(with_views(tagged, "text", words, views).select("doc_id", "tag", "unit", "fps"), "fingerprints")
-    groups = near_copies(each, tagged)
+    groups = near_copies(each, tagged, views)
     rows = each.select("doc_id", "tag", "unit").distinct().join(groups, "unit")
     first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.select(F.col("doc_id").alias("_best"), F.col("tag").alias("_of"))

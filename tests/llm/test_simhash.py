@@ -145,3 +145,14 @@ def test_large_group(spark):
     kept = {r.doc_id for r in S.one_per_group(docs).collect()}
     assert 0 in kept and not kept & set(range(1000, 1020)) and not kept & set(range(1, 41)) and set(range(41, 61)) <= kept
     assert all(any(j != i and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in sets) for i in set(sets) - kept)
+
+
+def test_six_views(spark, monkeypatch):
+    """Six word views, whose links are found in a job of their own each."""
+    text = " ".join(f"w{i}" for i in range(200))
+    asked = []
+    whole = S.links
+    monkeypatch.setattr(S, "links", lambda nodes, limit: asked.append({r.view for r in nodes.select("view").distinct().collect()}) or whole(nodes, limit))
+    docs = spark.createDataFrame([(2, text), (1, text.replace("w77 ", "")), (3, "other words")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in S.one_per_group(docs).collect()) == [1, 3]
+    assert asked == [{v} for v in range(7)]
