@@ -25,6 +25,8 @@ from readloom.llm.common import stored
 
 MARKS = re.compile(r"^(?:[ \t]*>)+[ \t]?")
 FULL, OWN, PARAGRAPH = 0, 1, 2
+# Bits for the turns of a conversation in an id.
+WIDTH = 20
 
 
 def levels(text: str) -> list[tuple[int, str]]:
@@ -124,14 +126,51 @@ def conversations(messages: DataFrame, id_col: str = "message_id", text_col: str
     )
 
 
+def numbered(turns: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``message_id, text, one, two`` of rows ``conv_id, turn, text``: a number and the two texts before in the conversation.
+
+    Rows are sorted by conversation, turn and text over ranges, whatever the size of a conversation. A range counts on
+    from those before it and gets copies of the last two rows of a conversation that it goes on with. The number of
+    ranges, not of rows, comes to the driver. The id is ``conv_id * 2^width + k`` for the k-th turn if that is unique for
+    all rows and fits 64 bits, else the position in the order, from 1; both rise in the order.
+    """
+    keys = ["conv_id", "turn", "text", "salt"]
+    rows = turns.select(F.col("conv_id").cast("long"), "turn", "text", F.monotonically_increasing_id().alias("salt"))
+    rows = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("spot", F.monotonically_increasing_id()), "turns")
+    rows = rows.select("conv_id", "text", F.shiftright("spot", 33).alias("range"), F.col("spot").bitwiseAND((1 << 33) - 1).alias("place"))
+    runs = rows.groupBy("range", "conv_id").agg(F.count("*").alias("n")).groupBy("range")
+    ends = runs.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min(F.struct("conv_id", "n")).alias("lo"), F.max(F.struct("conv_id", "n")).alias("hi"))
+    ranges, guests, start, most, last, carried = [], [], 0, 0, None, 0
+    fits, before = True, []
+    for r in sorted(ends.collect(), key=lambda r: r["range"]):
+        carry = carried if r.lo.conv_id == last else 0
+        known = before[-min(2, carry):] if carry else []
+        guests += [(r["range"], k - len(known), *at) for k, at in enumerate(known)]
+        ranges.append((r["range"], start, carry, len(known), r.lo.conv_id))
+        most = max(most, r.most, carry + r.lo.n)
+        fits = fits and -(1 << 63 - width) <= r.lo.conv_id and r.hi.conv_id < 1 << 63 - width
+        start, last, carried = start + r.n, r.hi.conv_id, r.hi.n + (carry if r.lo.conv_id == r.hi.conv_id else 0)
+        before = (before + [(r["range"], k) for k in range(max(0, r.n - 2), r.n)])[-2:]
+    fits = fits and most < 1 << width
+    spark = turns.sparkSession
+    ranges = F.broadcast(spark.createDataFrame(ranges, "range long, start long, carry long, known long, lo long"))
+    guests = F.broadcast(spark.createDataFrame(guests, "to long, spot long, range long, place long"))
+    copied = rows.join(guests, ["range", "place"]).select("conv_id", "text", F.col("to").alias("range"), F.col("spot").alias("place"))
+    order = W.partitionBy("range", "conv_id").orderBy("place")
+    lagged = [F.lag("text", k).over(order) for k in (1, 2)]
+    found = rows.unionByName(copied).select("*", F.row_number().over(order).alias("k"), lagged[0].alias("one"), lagged[1].alias("two"))
+    found = found.where("place >= 0").join(ranges, "range")
+    k = F.col("k") + F.when(F.col("conv_id") == F.col("lo"), F.col("carry") - F.col("known")).otherwise(0)
+    number = F.col("conv_id") * (1 << width) + k if fits else F.col("start") + F.col("place") + 1
+    return found.select(number.alias("message_id"), "text", "one", "two")
+
+
 def quoting_messages(turns: DataFrame) -> DataFrame:
     """Conversation turns as messages that quote the two turns before them: ``message_id, text``."""
-    order = W.partitionBy("conv_id").orderBy("turn", "text")
     text = F.coalesce(F.regexp_replace("text", r"(?m)^(?:[ \t]*>)+", ""), F.lit(""))
-    rows = turns.where("conv_id is not null").select("conv_id", "turn", text.alias("text"))
-    rows = rows.select("conv_id", F.row_number().over(order).alias("k"), "text", F.lag("text").over(order).alias("one"), F.lag("text", 2).over(order).alias("two"))
+    rows = numbered(turns.where("conv_id is not null").select("conv_id", "turn", text.alias("text")))
     quoted = lambda c, mark: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit(mark), F.replace(F.col(c), F.lit("\n"), F.lit("\n" + mark)), F.lit("\n")))
-    return rows.select((F.col("conv_id") * (1 << 20) + F.col("k")).alias("message_id"), F.concat(quoted("two", ">> "), quoted("one", "> "), "text").alias("text"))
+    return rows.select("message_id", F.concat(quoted("two", ">> "), quoted("one", "> "), "text").alias("text"))
 
 
 def op8_quotes(spark, sf_dir: str) -> DataFrame:

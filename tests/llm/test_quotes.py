@@ -49,3 +49,21 @@ def test_query(spark):
     got = Q.op8_quotes(spark, sf).collect()
     assert len(got) == sum(map(len, turns.values()))
     assert {r.message_id: r.parent_id for r in got if r.parent_id is not None} == want
+
+
+def test_long_conversation(spark):
+    """A conversation of more turns than the width of an id has, over several ranges, and ids at the border of 64 bits."""
+    rows = [(5, k, f"t{k}") for k in range(1, 41)] + [(6, k, f"u{k}") for k in range(1, 4)] + [(6, 3, "u3")] * 3 + [(1 << 50, 1, "v")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(5)
+    texts = defaultdict(list)
+    for c, _, t in rows:
+        texts[c].append(t)
+    want = [(t, ts[k - 1] if k else None, ts[k - 2] if k > 1 else None) for ts in texts.values() for k, t in enumerate(ts)]
+    for width in (3, 20):
+        got = sorted(Q.numbered(turns, width).collect())
+        assert [r.message_id for r in got] == list(range(1, 48)) and [tuple(r)[1:] for r in got] == want
+    low = turns.where("conv_id < 7")
+    got = sorted(Q.numbered(low, 6).collect())
+    assert [r.message_id for r in got] == [5 * 64 + k for k in range(1, 41)] + [6 * 64 + k for k in range(1, 7)]
+    assert [tuple(r)[1:] for r in got] == want[:46]
+    assert Q.numbered(low.limit(0)).count() == 0
