@@ -3,10 +3,12 @@
 A line's quote level is the number of ``>`` before it. The lines of level 0 are a message's own text, those of
 level 1 what it replies to, those of level 2 what that replied to. Passages are normalised (blanks, case) and
 hashed. A message is found by its own text together with what it quotes, else by its own text, else by one of
-its paragraphs; a reply looks for the same one level down, in this order.
+its paragraphs; a reply looks for the same one level down, in this order. Where that finds nothing, as the message
+it replies to is missing, edited or blank, it looks for what is quoted at level 2, then 3 and so on: the shallowest
+level that hits counts.
 
 Originals are summed up by hash first: the smallest id stands for all messages of equal passage, so a phrase that
-a third of all messages share is one row of the join. Links lead to smaller ids only, so they form trees. Roots
+a third of all messages share is one row of the join. Links lead to earlier messages only, so they form trees. Roots
 and depths come from doubling the jumps, in as many joins as the depth has binary digits.
 """
 
@@ -64,7 +66,7 @@ def passages(lines: list[tuple[int, str]], level: int) -> list[tuple[int, bytes]
 
 
 def parsed(messages: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``message_id, own, side, kind, hash``: own text with no quotes, and a row for each passage; side 1 is quoted."""
+    """``message_id, own, side, kind, hash``: own text with no quotes, and a row for each passage; side is its quote level."""
     schema = pa.schema([("message_id", pa.int64()), ("own", pa.string()), ("side", pa.int32()), ("kind", pa.int32()), ("hash", pa.binary())])
     rows = messages.select(F.col(id_col).cast("long").alias("message_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
@@ -74,21 +76,32 @@ def parsed(messages: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for i, text in zip(part["message_id"].to_pylist(), part["text"].to_pylist()):
                 lines = levels(text)
                 out.append((i, "\n".join(t for n, t in lines if n == 0).strip(), -1, 0, None))
-                out += [(i, None, side, *p) for side in (0, 1) for p in passages(lines, side)]
+                out += [(i, None, side, *p) for side in sorted({n for n, _ in lines}) for p in passages(lines, side)]
             if out:
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return rows.mapInArrow(run, "message_id long, own string, side int, kind int, hash binary")
 
 
-def links(found: DataFrame) -> DataFrame:
-    """``message_id, parent_id`` of the messages whose quote is found in one of smaller id."""
-    originals = found.where("side = 0").groupBy("kind", "hash").agg(F.min("message_id").alias("parent_id"))
-    quotes = found.where("side = 1").select("message_id", "kind", "hash").distinct()
-    hits = quotes.join(originals, ["kind", "hash"]).where("parent_id < message_id")
-    votes = hits.groupBy("message_id", "kind", "parent_id").agg(F.count("*").alias("n"))
-    best = F.min(F.struct("kind", (-F.col("n")).alias("n"), "parent_id")).alias("best")
-    return votes.groupBy("message_id").agg(best).select("message_id", "best.parent_id")
+def links(found: DataFrame, times: DataFrame | None = None) -> DataFrame:
+    """``message_id, parent_id, level`` of the messages whose quote, at ``level``, is found in an earlier one.
+
+    Earlier is what has the smaller ``at`` in ``times``, rows ``message_id, at``, then the smaller id; by id alone
+    without ``times``. A message without a time is later than those that have one.
+    """
+    if times is None:
+        timed = found.withColumn("at", F.lit(0).cast("long"))
+    else:
+        # Of repeated rows the earliest time counts, so that a message has one place in the order.
+        first = times.groupBy("message_id").agg(F.min("at").alias("at"))
+        timed = found.join(first.where("message_id is not null"), "message_id", "left")
+    spot = F.struct(F.col("at").isNull().alias("none"), "at", "message_id")
+    originals = timed.where("side = 0 and message_id is not null").groupBy("kind", "hash").agg(F.min(spot).alias("parent"))
+    quotes = timed.where("side > 0 and message_id is not null").select("message_id", "side", "kind", "hash", spot.alias("spot")).distinct()
+    hits = quotes.join(originals, ["kind", "hash"]).where(F.col("parent") < F.col("spot"))
+    votes = hits.groupBy("message_id", "side", "kind", F.col("parent.message_id").alias("parent_id")).agg(F.count("*").alias("n"), F.min("parent").alias("parent"))
+    best = F.min(F.struct("side", "kind", (-F.col("n")).alias("n"), "parent")).alias("best")
+    return votes.groupBy("message_id").agg(best).select("message_id", F.col("best.parent.message_id").alias("parent_id"), F.col("best.side").alias("level"))
 
 
 def roots(parents: DataFrame) -> DataFrame:
@@ -110,19 +123,23 @@ def roots(parents: DataFrame) -> DataFrame:
     return now.select("message_id", F.col("top").alias("conversation_id"), "depth")
 
 
-def conversations(messages: DataFrame, id_col: str = "message_id", text_col: str = "text") -> DataFrame:
-    """``message_id, parent_id, conversation_id, depth, own`` of every message.
+def conversations(messages: DataFrame, id_col: str = "message_id", text_col: str = "text", time_col: str | None = None) -> DataFrame:
+    """``message_id, parent_id, conversation_id, depth, level, own`` of every message.
+
+    Parents are earlier by ``time_col`` and id, by id alone without such a column. ``level`` is the quote level at which
+    the parent was found: 1 for the message replied to, more where only an earlier one was found.
 
     A message without a found quote starts a conversation of its own. ``own`` has no quotes; null and empty texts
     are empty, quote nothing and are quoted by none. Repeated rows stay; rows of a null id are never linked.
     """
     found = stored(parsed(messages, id_col, text_col), "passages")
-    parents = stored(links(found), "links")
+    times = time_col and messages.select(F.col(id_col).cast("long").alias("message_id"), F.col(time_col).alias("at"))
+    parents = stored(links(found, times), "links")
     own = found.where("side = -1").select("message_id", "own")
     tree = parents.join(roots(parents), "message_id")
     return own.join(tree, "message_id", "left").select(
         "message_id", "parent_id", F.coalesce("conversation_id", "message_id").alias("conversation_id"),
-        F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), "own",
+        F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), "level", "own",
     )
 
 

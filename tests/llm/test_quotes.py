@@ -67,3 +67,16 @@ def test_long_conversation(spark):
     assert [r.message_id for r in got] == [5 * 64 + k for k in range(1, 41)] + [6 * 64 + k for k in range(1, 7)]
     assert [tuple(r)[1:] for r in got] == want[:46]
     assert Q.numbered(low.limit(0)).count() == 0
+
+
+def test_deep_levels(spark):
+    """A missing, edited or blank parent: the shallowest quote that hits links; earlier goes by time where given."""
+    rows = [
+        (1, 50, "Start."), (2, 60, ""), (3, 70, ">> Start.\n> \nGo on."), (4, 80, ">>> Start.\n>> gone\n> edited\nWell."),
+        (5, 90, ">> Start.\n> Go on.\nBoth."), (6, 10, "Late id."), (0, 99, "> Late id.\nOld id."),
+    ]
+    messages = spark.createDataFrame(rows, "message_id long, at long, text string")
+    by = lambda got: {r.message_id: (r.parent_id, r.level, r.conversation_id) for r in got.collect()}
+    want = {1: (None, None, 1), 2: (None, None, 2), 3: (1, 2, 1), 4: (1, 3, 1), 5: (3, 1, 1), 6: (None, None, 6), 0: (None, None, 0)}
+    assert by(Q.conversations(messages)) == want
+    assert by(Q.conversations(messages, time_col="at")) == want | {0: (6, 1, 6)}
