@@ -14,6 +14,7 @@ from readloom.llm.simhash import op5_simhash
 from readloom.llm.token_counts import op4_token_counts
 from readloom.llm.toxicity import op3_toxicity
 from readloom.llm.warc import op7_warc
+from readloom.llm.whitening import op13_whitening
 
-QUERIES: dict[str, Query] = {run.__name__: run for run in [op1_fingerprints, op2_bpe, op3_toxicity, op4_token_counts, op5_simhash, op6_mixing, op7_warc, op8_quotes, op9_quality, op10_repeats]}
+QUERIES: dict[str, Query] = {run.__name__: run for run in [op1_fingerprints, op2_bpe, op3_toxicity, op4_token_counts, op5_simhash, op6_mixing, op7_warc, op8_quotes, op9_quality, op10_repeats, op13_whitening]}
 ORACLES: dict[str, str] = {"op7_warc": warc.ORACLE}
