@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from readloom.session import fresh_path
 
+# Keys of more rows than this, and than one in COPIES of all rows, are joined apart.
+MANY, COPIES = 1000, 10_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Words are what stands between blanks: space, tab, line feed, vertical tab, form feed, return.
@@ -45,6 +48,25 @@ def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Itera
         yield pa.record_batch(list(map(list, zip(*held))), schema=schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many marks as it takes to clash with no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def joined_apart(rows: DataFrame, table: DataFrame, keys: list[str], n_rows: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has a row for each key and says in ``copies`` how many rows have it.
+
+    Keys of very many rows are at most ``COPIES`` by their bound; they are sent to the rows, which stay where they are.
+    """
+    many = F.col("copies") > max(MANY, n_rows / COPIES)
+    hot, cold = F.broadcast(table.where(many).drop("copies")), table.where(~many).drop("copies")
+    others = rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
+    return rows.join(hot, keys).unionByName(others)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of the undirected edges ``a, b``: root is the smallest reachable node.
 

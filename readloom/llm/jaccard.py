@@ -8,8 +8,8 @@ all documents tells; any order is right, this one keeps frequent tokens out of t
 token of their prefixes: the larger set asks with the n - ceil(17 n / 20) + 1 first tokens, the smaller one is found by
 its n - ceil(34 n / 37) + 1 first ones.
 
-Groups. Units that share a prefix token and have a like size meet the first of them, their leader; a unit goes to the
-leader that it shares most tokens with. So the groups are a partition of similar units, cut into chunks of about
+Groups. Units that share a prefix token and have a like size meet the one in which it comes first, their leader; a unit
+goes to the leader that it shares most tokens with. So the groups are a partition of similar units, cut into chunks of about
 ``GROUP``. A chunk is opened once by itself, with the leader as a guest, and yields a spanning forest of its links.
 
 Matrix. The rows (token, group) of the prefixes tell which groups a unit of another component may have a partner in, by
@@ -28,10 +28,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import connected_components, documents, stored
+from readloom.llm.common import connected_components, documents, joined_apart, stored
 
 WORDS, SEED = 4, 42
 # Linked: 100 * both >= 85 * union, that is 37 * both >= 17 * (a + b); then 20 * smaller >= 17 * larger as well.
@@ -39,8 +39,6 @@ BITS, SLICE = 20, 1 << 12
 GROUP, TOKENS = 64, 1 << 21
 # A token above LIMIT, and above HOT times the mean counter, is dealt to several tasks.
 LIMIT, HOT = 2048, 8
-# Units of more copies than this, and than one in COPIES of all documents, are joined apart.
-MANY, COPIES = 1000, 10_000
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -149,16 +147,17 @@ def prefixes(docs: DataFrame, levels: np.ndarray, salts: np.ndarray, words: int)
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """The rows of tokens that sets of a like size share, and ``leader``: the first such set of the token.
+    """The rows of tokens that sets of a like size share.
 
     A task reads its rows in order of token and size, and holds one of them back. A set has a partner of like size
     if the one before or after it is one. Rows of hot tokens stay, as their partners may be in other tasks.
     """
     names = ["token", "salt", "salts", "u", "n", "pos"]
-    schema = pa.schema([("token", pa.int64()), ("salt", pa.int32()), ("salts", pa.int32()), ("u", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("leader", pa.int64())])
+    kinds = dict(zip(names, [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]))
+    schema = pa.schema(list(kinds.items()))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, led, alive = None, 0, False
+        held, alive = None, False
         for part in parts:
             x = {c: part[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in names}
             if held is not None:
@@ -172,22 +171,15 @@ def shared(rows: DataFrame) -> DataFrame:
             if not len(x["n"]):
                 continue
             near = same & (20 * x["n"][:-1] >= 17 * x["n"][1:])
-            live = np.concatenate([[held is not None and alive], near])
+            live = np.concatenate([[alive], near]) | (x["salts"] > 1)
             live[:-1] |= near
-            size = np.floor(np.log(x["n"]) / math.log(20 / 17))
-            start = np.concatenate([[True], ~(same & (np.diff(size) == 0))])
-            leader = x["u"].copy()
-            if held is not None:
-                leader[0] = led
-            leader = leader[np.maximum.accumulate(np.where(start, np.arange(len(start)), 0))]
-            keep = (live | (x["salts"] > 1))[:-1]
-            yield pa.record_batch([*(pa.array(x[c][:-1][keep], schema.field(c).type) for c in names), pa.array(leader[:-1][keep])], schema=schema)
-            held, led, alive = {c: v[-1:] for c, v in x.items()}, leader[-1], live[-1]
-        if held is not None and (alive or held["salts"][0] > 1):
-            yield pa.record_batch([*(pa.array(held[c], schema.field(c).type) for c in names), pa.array([led], pa.int64())], schema=schema)
+            yield pa.record_batch([pa.array(x[c][:-1][live[:-1]], kinds[c]) for c in names], schema=schema)
+            held, alive = {c: v[-1:] for c, v in x.items()}, live[-1]
+        if held is not None and alive:
+            yield pa.record_batch([pa.array(held[c], kinds[c]) for c in names], schema=schema)
 
     placed = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "u")
-    return placed.mapInArrow(run, "token long, salt int, salts int, u long, n int, pos int, leader long")
+    return placed.mapInArrow(run, "token long, salt int, salts int, u long, n int, pos int")
 
 
 def sets_of(docs: DataFrame, units: DataFrame, words: int) -> DataFrame:
@@ -284,7 +276,15 @@ def opened(rows: DataFrame, own: bool) -> DataFrame:
 
 def in_groups(units: DataFrame, matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``id, u, n, g, c``: the group and chunk of each unit, and the guests ``id, g, c``, leaders in the chunks of their groups."""
-    met = matrix.where("leader != u").groupBy("u", "leader").agg(F.count("*").alias("times"))
+    # Of the sets of a token and size, the leader has fewest tokens of its own before the shared one: it differs least
+    # from what they have in common, so that a cluster has most links to it.
+    size = F.floor(F.log("n") / math.log(20 / 17)).alias("size")
+    first = F.shiftleft(F.col("pos").cast("long"), 32) + F.pmod("u", F.lit(1 << 32))
+    leaders = matrix.select("token", size, "u", "salts", first.alias("first")).groupBy("token", "size")
+    leaders = leaders.agg(F.min_by("u", "first").alias("leader"), F.max("salts").alias("salts"))
+    leaders = leaders.select("token", "size", "leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    met = matrix.select("token", size, "salt", "u").join(leaders, ["token", "size", "salt"])
+    met = met.where("leader != u").groupBy("u", "leader").agg(F.count("*").alias("times"))
     best = met.groupBy("u").agg(F.max_by("leader", F.col("times")).alias("leader"))
     leaders = units.select(F.col("u").alias("leader"), F.col("id").alias("to"))
     home = best.join(leaders, "leader").groupBy("u").agg(F.min("to").alias("to"))
@@ -301,9 +301,13 @@ def asked(rows: DataFrame) -> DataFrame:
     """``id, g, c``: the groups of other components that a unit has to ask, from matrix rows with ``id, comp, g, c``."""
     index = rows.where(F.col("pos") < F.expr("n + 1 - ceil(34 * cast(n AS long) / 37)"))
     most = lambda a, b: 20 * a >= 17 * b
-    groups = index.groupBy("token", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("salts").alias("salts"))
-    groups = groups.select("token", F.col("comp").alias("other"), "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    other = rows.join(groups, ["token", "salt"]).where((F.col("comp") != F.col("other")) & (F.col("lo") <= F.col("n")) & most(F.col("hi"), F.col("n")))
+    groups = index.groupBy("token", "comp").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("far"), F.max("salts").alias("salts")
+    )
+    groups = groups.select("token", F.col("comp").alias("other"), "lo", "hi", "far", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    # The overlap is at most what is left from the first shared token on, in both orders.
+    reach = 37 * F.least(F.col("n") - F.col("pos"), F.col("far")) >= 17 * (F.col("n") + F.greatest(F.col("lo"), 17 * F.col("n") / 20))
+    other = rows.join(groups, ["token", "salt"]).where((F.col("comp") != F.col("other")) & (F.col("lo") <= F.col("n")) & most(F.col("hi"), F.col("n")) & reach)
     members = index.select("token", F.col("comp").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("g").alias("to"), F.col("c").alias("part"))
     pairs = other.select("token", "other", "id", "n", "pos").join(members, ["token", "other"])
     reach = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at"))
@@ -359,16 +363,9 @@ def _named(own: DataFrame, units: DataFrame, comps: DataFrame, n_docs: int) -> D
     linked = units.join(comps, units.id == comps.node, "left").select("u", "v", "copies", "least", F.coalesce("root", "id").alias("root"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(linked.join(least, "root").select("u", "v", "copies", "component_id"), "named")
-    # Units of very many copies are few by the bound, so they are sent to the documents, not these to them.
-    many = F.col("copies") > max(MANY, n_docs / COPIES)
-    some = own.where("n > 0").join(F.broadcast(named.where(many).drop("copies").withColumn("hot", F.lit(True))), ["u", "v"], "left")
-    rest = some.where("hot is null").drop("component_id").join(named.where(~many).drop("copies"), ["u", "v"])
-    out = lambda df, comp: df.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"))
-    parts: list[tuple[DataFrame, Column]] = [(some.where("hot"), F.col("component_id")), (own.where("n = 0"), F.col("doc_id"))]
-    whole = out(rest, F.col("component_id"))
-    for df, comp in parts:
-        whole = whole.union(out(df, comp))
-    return whole
+    found = joined_apart(own.where("n > 0"), named, ["u", "v"], n_docs).select("doc_id", "n", "component_id")
+    alone = own.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    return found.union(alone).withColumnRenamed("n", "n_shingles")
 
 
 def op12_jaccard(spark, sf_dir: str) -> DataFrame:

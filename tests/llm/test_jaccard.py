@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+from readloom.llm import common
 from readloom.llm import jaccard as J
 
 SF = "/root/testdata/sf0.001"
@@ -87,7 +88,7 @@ def test_near_the_limit(spark, limit):
 
 
 def test_many_copies(spark, monkeypatch):
-    monkeypatch.setattr(J, "MANY", 5)
+    monkeypatch.setattr(common, "MANY", 5)
     docs = [(k, "one text that many documents have in common") for k in range(30)] + [(90, "another text that only this document has")]
     assert rows_of(J.alike(spark.createDataFrame(docs, "doc_id long, text string"))) == plain(docs)
 
