@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from readloom.llm.common import documents, texts
 
-SHORT, WORDS = 64, 1 << 16
+SHORT, WORDS, ROWS = 64, 1 << 16, 256
 LATIN = 0x250
 NEVER = 1 << 60
 # Printable bytes stand for themselves, the others for code points from 256 on.
@@ -184,6 +184,26 @@ def bpe_decode(encoded: DataFrame, spec: str) -> DataFrame:
     return encoded.mapInArrow(run, encoded.withColumn("decoded", F.lit("")).schema)
 
 
+def bpe_round_trip(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded``: what ``bpe_encode`` and ``bpe_decode`` give, by one worker for each task.
+
+    A worker holds ``ROWS`` texts at a time, with their ids and what these decode to, not a whole batch of each.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = Bpe(spec)
+        for part in parts:
+            for at in range(0, part.num_rows, ROWS):
+                some = part.slice(at, ROWS)
+                ids = [bpe.encode(t.as_py()) for t in some["text"]]
+                counts = pa.array([len(i) // 4 for i in ids], pa.int64())
+                decoded = pa.array(map(bpe.decode, ids), pa.string())
+                yield pa.record_batch([some["doc_id"], counts, pa.array(ids, pa.binary()), decoded], schema=schema)
+
+    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+
+
 def public_vocabulary() -> str:
     import public_tokenizers
 
@@ -191,7 +211,6 @@ def public_vocabulary() -> str:
 
 
 def op2_bpe(spark, sf_dir: str) -> DataFrame:
-    spec = public_vocabulary()
-    both = bpe_decode(bpe_encode(documents(spark, sf_dir), spec), spec)
+    both = bpe_round_trip(documents(spark, sf_dir), public_vocabulary())
     decoded = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), decoded)

@@ -59,7 +59,9 @@ def test_table(spark, theirs):
         if not r.n_tokens:
             assert (r.doc_id, r.ids, r.decoded) == (1, b"", "")
     assert {r.n_tokens for r in got if r.doc_id == 3} == {30000}
-    assert B.bpe_encode(docs.limit(0), spec).count() == 0
+    both = B.bpe_round_trip(docs, spec)
+    assert sorted(both.collect(), key=str) == sorted(got, key=str)
+    assert B.bpe_encode(docs.limit(0), spec).count() == B.bpe_round_trip(docs.limit(0), spec).count() == 0
 
 
 def test_query(spark, theirs):
