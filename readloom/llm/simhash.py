@@ -18,7 +18,6 @@ its full distance is counted.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -27,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import connected_components, documents, stored, texts
+from readloom.llm.common import connected_components, documents, joined_apart, stored, texts, unused
 
 SEED, DISTANCE, BYTES = 42, 3, 8
 # Bits that the first l bytes of a chain may differ in.
@@ -35,12 +34,6 @@ BUDGETS = [DISTANCE * length // BYTES for length in range(1, BYTES + 1)]
 # Equal bytes of a chain, as masks over the rotated fingerprint.
 KINDS = [0x00FFFFFFFF, 0xFF00FFFFFF, 0xFFFF00FFFF]
 LIMIT = 1024
-# Views of the looser groups, and the room for the tags of each.
-VIEWS, TAGS = 6, 4096
-# Near copies of the looser groups: words of a shingle, and the least Jaccard similarity as a fraction.
-SHINGLE, SIMILAR = 5, (4, 5)
-# Groups of so many units are compared pair by pair; in larger ones each unit meets so many others.
-SMALL, LEADERS = 32, 16
 BLOCK = 1 << 16
 
 
@@ -54,16 +47,6 @@ def shingle_hashes(text: str, words: int) -> tuple[Iterator[int], int]:
     return map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), n
 
 
-def shingle_set(text: str, words: int) -> np.ndarray:
-    hashes, n = shingle_hashes(text, words)
-    return np.unique(np.fromiter(hashes, "<u8", n))
-
-
-def word_hash(text: str) -> str:
-    """128 bits over the words in order."""
-    return xxhash.xxh3_128_hexdigest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()), SEED)
-
-
 def simhash(text: str, words: int = 3) -> int:
     """The fingerprint of one text; zero without a word."""
     hashes, n = shingle_hashes(text, words)
@@ -84,23 +67,6 @@ def majority(counts: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def word_views(text: str, views: int = VIEWS) -> list[int]:
-    """Fingerprints over the distinct words of a text, one for each way of mixing their hashes.
-
-    An edit changes few distinct words, so near copies differ in fewer bits than over shingles.
-    """
-    words = list(set(text.encode("utf-8", "surrogatepass").lower().split()))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), "<u8", len(words))
-    out = []
-    for view in range(views):
-        mixed = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (view + 1) % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        out.append(majority(set_bits(mixed), len(words)) if words else 0)
-    return out
-
-
 def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, name: str = "fp") -> DataFrame:
     """``docs`` with the fingerprint of each row as its last column."""
     made = docs.withColumn(name, F.lit(0).cast("long"))
@@ -131,10 +97,9 @@ def _signed(mask: int) -> Column:
 
 
 def ring_keys(nodes: DataFrame) -> DataFrame:
-    """The 24 keys of each fingerprint: ``tag, part, fp``. Fingerprints of different ``view`` share no key."""
-    view = F.col("view") if "view" in nodes.columns else F.lit(0)
+    """The 24 keys of each fingerprint: ``tag, part, fp``."""
     keys = [
-        F.struct((F.lit(start * len(KINDS) + kind) + TAGS * view).alias("tag"), _turned(F.col("fp"), start).bitwiseAND(_signed(mask)).alias("part"))
+        F.struct(F.lit(start * len(KINDS) + kind).alias("tag"), _turned(F.col("fp"), start).bitwiseAND(_signed(mask)).alias("part"))
         for start in range(BYTES)
         for kind, mask in enumerate(KINDS)
     ]
@@ -154,14 +119,13 @@ def _buckets(keyed: DataFrame, limit: int) -> DataFrame:
     marked = keyed.join(sizes.where(F.col("n") > 1), ["tag", "part"])
     signed = lambda mask: f"{mask - (1 << 64) if mask >> 63 else mask}L"
     masks = F.expr("array(" + ", ".join(f"array({', '.join(map(signed, _finer_masks(tag)))})" for tag in range(24)) + ")")
-    start = f"8 * cast((tag % {TAGS}) DIV 3 AS int)"
-    own = F.col("tag") % TAGS
+    start = "8 * cast(tag DIV 3 AS int)"
     turned = F.expr(f"shiftrightunsigned(fp, {start}) | shiftleft(fp, 64 - {start})")
     large = F.col("n") > limit
     small = marked.where(~large).select("tag", "part", "fp")
-    cut = marked.where(large).select("tag", "fp", F.posexplode(F.element_at(masks, own + 1)).alias("i", "mask"))
+    cut = marked.where(large).select("tag", "fp", F.posexplode(F.element_at(masks, F.col("tag") + 1)).alias("i", "mask"))
     cut = cut.select(
-        (F.col("tag") - own + 24 + own * 56 + F.col("i")).alias("tag"),
+        (24 + F.col("tag") * 56 + F.col("i")).alias("tag"),
         turned.bitwiseAND(F.col("mask")).alias("part"),
         "fp",
     )
@@ -181,7 +145,6 @@ def near(fp: int, others: np.ndarray, start: int) -> np.ndarray:
 
 def _forest(tag: int, fps: np.ndarray) -> Iterator[tuple[int, int]]:
     """Edges that join the linked fingerprints of a bucket, one for each but the first of a cluster."""
-    tag %= TAGS
     start = (tag if tag < 24 else (tag - 24) // 56) // len(KINDS)
     rest = fps
     while len(rest) > 1:
@@ -196,8 +159,8 @@ def _forest(tag: int, fps: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def links(nodes: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Edges ``view, a, b`` between distinct fingerprints ``fp``; their components are those of all links."""
-    schema = pa.schema([("view", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+    """Edges ``a, b`` between distinct fingerprints ``fp``; their components are those of all links."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -208,25 +171,22 @@ def links(nodes: DataFrame, limit: int = LIMIT) -> DataFrame:
                 tag, key, fp = (np.concatenate(x) for x in zip(held, (tag, key, fp)))
             cuts = np.flatnonzero((np.diff(tag) != 0) | (np.diff(key) != 0)) + 1
             last = cuts[-1] if len(cuts) else 0
-            yield from _edges(tag, fp, np.concatenate([[0], cuts]), schema)
+            yield from _edges(tag, fp, np.concatenate([[0], cuts]))
             held = tag[last:], key[last:], fp[last:]
         if held is not None:
-            yield from _edges(held[0], held[2], np.array([0, len(held[0])]), schema)
-
-    def _edges(tag, fp, bounds, schema):
-        wide = np.flatnonzero(np.diff(bounds) > 1)
-        found, views = [], []
-        for i in wide:
-            edges = list(_forest(int(tag[bounds[i]]), fp[bounds[i] : bounds[i + 1]]))
-            found += edges
-            views += [int(tag[bounds[i]]) // TAGS] * len(edges)
+            yield from _edges(held[0], held[2], np.array([0, len(held[0])]))
+
+    def _edges(tag, fp, bounds):
+        found = []
+        for i in np.flatnonzero(np.diff(bounds) > 1):
+            found += _forest(int(tag[bounds[i]]), fp[bounds[i] : bounds[i + 1]])
         if found:
             pairs = np.array(found, np.uint64).view(np.int64)
-            yield pa.record_batch([pa.array(views, pa.int32()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     buckets = _buckets(ring_keys(nodes), limit)
     placed = buckets.repartition("tag", "part").sortWithinPartitions("tag", "part", "fp")
-    return placed.mapInArrow(run, "view int, a long, b long").distinct()
+    return placed.mapInArrow(run, "a long, b long").distinct()
 
 
 def simhash_components(
@@ -239,114 +199,48 @@ def simhash_components(
     Null and empty texts share the fingerprint zero. An empty table gives an empty result.
     """
     each = stored(fingerprints(docs, id_col, text_col, words), "simhash")
-    nodes = each.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = stored(connected_components(links(nodes.select("fp"), limit).select("a", "b")), "components")
+    nodes, found = _linked(each, limit)
     ids = found.join(nodes, found.node == nodes.fp).select("node", "root", "least")
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = found.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    whole = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return each.join(whole, "fp").select("doc_id", "fp", "component_id")
-
+    whole = nodes.join(linked, "fp", "left").select("fp", "copies", F.coalesce("component_id", "least").alias("component_id"))
+    return joined_apart(each, whole, ["fp"], each.count()).select("doc_id", "fp", "component_id")
 
-def with_views(docs: DataFrame, text_col: str = "text", words: int = 3, views: int = VIEWS, name: str = "fps") -> DataFrame:
-    """``docs`` with ``unit``, a hash of the words in order, and an array of fingerprints: over shingles, then the word views."""
-    made = docs.withColumn("unit", F.lit("")).withColumn(name, F.array(F.lit(0).cast("long")))
-    fields, at = [f.name for f in made.schema], docs.columns.index(text_col)
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            units, found = [], []
-            for t in part.column(at):
-                text = t.as_py() or ""
-                units.append(word_hash(text))
-                found.append(np.array([simhash(text, words), *word_views(text, views)], np.uint64).view(np.int64))
-            yield pa.record_batch([*part.columns, pa.array(units, pa.string()), pa.array(found, pa.list_(pa.int64()))], names=fields)
 
-    return docs.mapInArrow(run, made.schema)
-
-
-def candidates(each: DataFrame, views: int = VIEWS, limit: int = LIMIT) -> DataFrame:
-    """Pairs ``a, b`` of units to be compared, from rows ``unit, fps`` with ``views`` word views.
-
-    Links of three bits or fewer in any view group the units. A group of at most ``SMALL`` units yields all its
-    pairs, a larger one its spanning edges and the pairs of each unit with ``LEADERS`` others of the group.
-    """
-    nodes = each.select("unit", F.posexplode("fps").alias("view", "fp"))
-    low, high = F.min("unit"), F.max("unit")
-    kinds = stored(nodes.groupBy("view", "fp").agg(low.alias("rep"), (low != high).alias("shared")), "views")
-    # One view after the other: a job holds the keys of one.
-    found = [stored(links(kinds.where(F.col("view") == v).select("view", "fp"), limit), "links") for v in range(views + 1)]
-    edges = reduce(DataFrame.union, found)
-    ends = [kinds.select("view", F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep")) for c in "ab"]
-    linked = edges.join(ends[0], ["view", "a"]).join(ends[1], ["view", "b"]).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
-    same = nodes.join(kinds.where("shared").select("view", "fp", "rep"), ["view", "fp"]).select(F.col("rep").alias("a"), F.col("unit").alias("b"))
-    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
-    spanning = stored(ordered(linked.union(same)).distinct(), "spanning")
-    groups = stored(connected_components(spanning), "groups")
-    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
-    small = groups.join(sizes.where(F.col("n") <= SMALL), "root").groupBy("root").agg(F.collect_list("node").alias("all"))
-    small = small.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b"))
-    large = groups.join(sizes.where(F.col("n") > SMALL), "root").select("root", "node")
-    lead = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"] for i in range(LEADERS)]
-    led = large.join(large.groupBy("root").agg(F.array_distinct(F.array(*lead)).alias("all")), "root")
-    led = led.select(F.col("node").alias("a"), F.explode("all").alias("b"))
-    return stored(spanning.union(ordered(small.union(led))).distinct(), "candidates")
-
-
-def with_shingles(rows: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """``unit, shingles`` of rows ``unit, text``: the distinct hashes of the word shingles."""
-    schema = pa.schema([("unit", pa.string()), ("shingles", pa.list_(pa.int64()))])
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for at in range(0, part.num_rows, 256):
-                some = part.slice(at, 256)
-                found = [shingle_set(t.as_py() or "", words).view(np.int64) for t in some["text"]]
-                yield pa.record_batch([some["unit"], pa.array(found, pa.list_(pa.int64()))], schema=schema)
-
-    return rows.select("unit", "text").mapInArrow(run, "unit string, shingles array<long>")
-
-
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The ``pairs`` whose shingle sets have an exact Jaccard similarity of ``SIMILAR`` or more."""
-    sides = [sets.select(F.col("unit").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab"]
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    union = F.size("a_set") + F.size("b_set") - both
-    over, under = SIMILAR
-    return pairs.join(sides[0], "a").join(sides[1], "b").where(both * under >= union * over).select("a", "b")
-
-
-def near_copies(each: DataFrame, named: DataFrame, views: int = VIEWS, limit: int = LIMIT) -> DataFrame:
-    """``unit, component_id`` of rows ``doc_id, tag, unit, fps``; ``named`` has the ``text`` of each ``tag``.
-
-    The views only propose pairs. Components are those of pairs that pass the exact similarity, so that every
-    document of a group has another one in it at ``SIMILAR`` or more, or has the same words.
-    """
-    pairs = candidates(each.select("unit", "fps").distinct(), views, limit)
-    active = pairs.select(F.col("a").alias("unit")).union(pairs.select(F.col("b").alias("unit"))).distinct()
-    chosen = each.join(active, "unit").groupBy("unit").agg(F.min("tag").alias("tag"))
-    sets = stored(with_shingles(named.select("tag", "text").join(chosen, "tag").dropDuplicates(["unit"])), "shingles")
-    found = stored(connected_components(similar(pairs, sets)), "components")
-    least = each.groupBy("unit").agg(F.min("doc_id").alias("least"))
-    keyed = least.join(found, least.unit == found.node, "left").select("unit", "least", F.coalesce("root", "unit").alias("root"))
-    best = keyed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return keyed.join(best, "root").select("unit", "component_id")
+def _linked(each: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """``fp, least, copies`` of each fingerprint, and ``node, root`` of the linked ones."""
+    nodes = each.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    return nodes, stored(connected_components(links(nodes.select("fp"), limit)), "components")
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, views: int = VIEWS) -> DataFrame:
-    """The rows of ``docs`` with one row of each group of near copies: that of its smallest id.
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, limit: int = LIMIT) -> DataFrame:
+    """The rows of ``docs`` with one row of each component of linked fingerprints: that of its smallest id.
 
-    Of repeated rows one stays. Rows that share this id, or have none, stay once for each text.
+    Of rows that share this id, or where all ids are null, the one with the smallest hash of its text stays; of
+    repeated rows one stays. Only ids, hashes and fingerprints are grouped; texts move only where the rows that go
+    are too many to be broadcast, by Spark's own threshold, and for repeated rows.
     """
-    tagged = texts(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
-    each = stored(with_views(tagged, "text", words, views).select("doc_id", "tag", "unit", "fps"), "fingerprints")
-    groups = near_copies(each, tagged, views)
-    rows = each.select("doc_id", "tag", "unit").distinct().join(groups, "unit")
-    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select(F.col("doc_id").alias("_best"), F.col("tag").alias("_of"))
-    marked = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_best")) & (F.col("_tag") == F.col("_of"))
-    return marked.join(first, same, "left_semi").dropDuplicates([id_col, "_tag"]).drop("_tag")
+    tag = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = texts(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
+    each = stored(with_fingerprints(rows, "text", words).select("doc_id", "tag", "fp"), "simhash")
+    nodes, found = _linked(each, limit)
+    roots = nodes.join(found, nodes.fp == found.node, "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root"))
+    groups = roots.groupBy("root").agg(F.min("least").alias("best"), F.sum("copies").alias("size")).where("size > 1")
+    grouped = stored(roots.join(groups, "root").select("fp", "root", "best", "copies"), "groups")
+    members = stored(joined_apart(each, grouped, ["fp"], each.count()).distinct(), "members")
+    first = members.where(F.col("doc_id").eqNullSafe(F.col("best"))).groupBy("root").agg(F.min("tag").alias("first"))
+    gone = members.join(first, "root").where(~F.col("doc_id").eqNullSafe(F.col("best")) | (F.col("tag") != F.col("first")))
+    keys = [unused(docs, "key_id"), unused(docs, "key_tag")]
+    named = lambda df: df.select(F.col("doc_id").alias("other_id"), F.col("tag").alias("other_tag")).distinct()
+    gone, twice = named(gone), named(each.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1"))
+    marked = docs.withColumns({keys[0]: F.col(id_col).cast("long"), keys[1]: tag})
+
+    def kept(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        return df.join(other, F.col(keys[0]).eqNullSafe(other["other_id"]) & (F.col(keys[1]) == other["other_tag"]), how)
+
+    whole = kept(marked, gone, "left_anti")
+    out = kept(whole, twice, "left_anti").union(kept(whole, twice, "left_semi").dropDuplicates(keys))
+    return out.drop(*keys)
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

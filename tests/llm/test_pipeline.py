@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as C
 from tests.llm.test_repeats import plain as cut_plain
-from readloom.llm.simhash import word_views
+from tests.llm.test_simhash import components
 from tests.llm.test_simhash import plain as simhash_plain
 
 SF = "/root/testdata/sf0.001"
@@ -24,17 +24,8 @@ def texts(df):
 
 
 def near_groups(found):
-    """Smallest id reachable over links of three bits in any view."""
-    fps = {i: [simhash_plain(t), *word_views(t)] for i, t in found.items()}
-    out = {}
-    for k in sorted(fps):
-        todo = [k] if k not in out else []
-        while todo:
-            a = todo.pop()
-            if a not in out:
-                out[a] = k
-                todo += [b for b in fps if b not in out and any((x ^ y).bit_count() <= 3 for x, y in zip(fps[a], fps[b]))]
-    return out
+    """Smallest id reachable over fingerprints that differ in at most three bits."""
+    return components({i: simhash_plain(t) for i, t in found.items()})
 
 
 def test_near_duplicates(spark, docs):

@@ -54,7 +54,7 @@ def test_components(spark, limit):
     assert edges.count() < 24 * 56 * len(values)
     from readloom.llm.common import connected_components
 
-    got = {r.node: r.root for r in connected_components(edges.select("a", "b")).collect()}
+    got = {r.node: r.root for r in connected_components(edges).collect()}
     want = components({signed(v): v for v in values})
     assert {k: got.get(k, k) for k in want} == want
 
@@ -76,83 +76,22 @@ def test_query(spark):
     assert got == {i: (f"{plain(t):016x}", want[i]) for i, t in texts.items()}
 
 
-def test_near_copies(spark):
-    """Groups of the pipeline's stage: links in any view, by brute force, and copies of a similarity of 0.8."""
-    rng = np.random.default_rng(8)
-    words = [f"w{i}" for i in range(4000)]
-    texts = {}
-    for g in range(30):
-        base = list(rng.choice(words, 250))
-        texts[g * 100] = " ".join(base)
-        for c in range(1, 4):
-            copy = base[:]
-            for at in rng.choice(250, 4, replace=False):
-                copy[at] = str(rng.choice(words))
-            texts[g * 100 + c] = " ".join(copy)
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
-    fps = {i: [S.simhash(t), *S.word_views(t)] for i, t in texts.items()}
-    want, seen = {}, set()
-    for i in sorted(texts):
-        todo = [i] if i not in seen else []
-        while todo:
-            a = todo.pop()
-            if a not in seen:
-                seen.add(a)
-                want[a] = i
-                todo += [b for b in texts if b not in seen and any((x ^ y).bit_count() <= 3 for x, y in zip(fps[a], fps[b]))]
-    kept = sorted(r.doc_id for r in S.one_per_group(docs).collect())
-    assert kept == sorted(set(want.values()))
-    assert all(g * 100 in kept for g in range(30)) and len(kept) <= 33
-
-
-def test_word_views():
-    text = "One two THREE two"
-    assert S.word_views(text) == S.word_views("three one two") and S.word_views("") == [0] * S.VIEWS
-    assert len(set(S.word_views(text))) > 1
-
-
-def test_exact_similarity(spark):
-    """Kept are the first documents of the groups of a five-word Jaccard similarity of 0.8, by brute force."""
-    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    sets = {}
-    for r in rows.collect():
-        w = r.text.encode().lower().split()
-        sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-    alike = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
-    want, seen = [], set()
-    for i in sorted(sets):
-        todo = [i]
-        want += [i] * (i not in seen)
-        while todo:
-            a = todo.pop()
-            if a not in seen:
-                seen.add(a)
-                todo += [b for b in sets if b not in seen and alike(sets[a], sets[b])]
-    assert sorted(r.doc_id for r in S.one_per_group(rows).collect()) == want
-
-
-def test_large_group(spark):
-    """A group above SMALL: no document is dropped without a partner, and exact copies share one unit."""
-    base = [f"w{i}" for i in range(300)]
-    rows = [(0, " ".join(base)), *((1000 + i, " ".join(base)) for i in range(20))]
-    for i in range(1, 61):
-        copy = base[:]
-        for at in range(2 if i <= 40 else 24):
-            copy[(i * 37 + at * 12) % 300] = f"x{i}.{at}"
-        rows.append((i, " ".join(copy)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    sets = {i: set(S.shingle_set(t, 5)) for i, t in rows}
-    kept = {r.doc_id for r in S.one_per_group(docs).collect()}
-    assert 0 in kept and not kept & set(range(1000, 1020)) and not kept & set(range(1, 41)) and set(range(41, 61)) <= kept
-    assert all(any(j != i and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in sets) for i in set(sets) - kept)
-
-
-def test_six_views(spark, monkeypatch):
-    """Six word views, whose links are found in a job of their own each."""
-    text = " ".join(f"w{i}" for i in range(200))
-    asked = []
-    whole = S.links
-    monkeypatch.setattr(S, "links", lambda nodes, limit: asked.append({r.view for r in nodes.select("view").distinct().collect()}) or whole(nodes, limit))
-    docs = spark.createDataFrame([(2, text), (1, text.replace("w77 ", "")), (3, "other words")], "doc_id long, text string")
-    assert sorted(r.doc_id for r in S.one_per_group(docs).collect()) == [1, 3]
-    assert asked == [{v} for v in range(7)]
+def test_one_per_group(spark):
+    """The first document of each component stays, once, whatever the other columns are called."""
+    found = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    want = sorted(set(components({i: plain(t) for i, t in found}).values()))
+    rows = [(i, t, "x", None, 1) for i, t in found]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key_id string, KEY_TAG string, fp int").repartition(3)
+    got = S.one_per_group(docs.union(docs))
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == want
+
+
+def test_one_per_group_odd_rows(spark):
+    text = "the quick brown fox jumps over the lazy dog again and again"
+    rows = [(5, text), (3, text.upper()), (3, text), (3, text), (9, None), (9, ""), (8, ""), (None, text), (None, "only here"), (None, "only here"), (1, "zz top"), (1, "other words now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text and r.text.lower()) for r in S.one_per_group(docs).collect()), key=str)
+    assert got == sorted([(3, text), (8, ""), (None, "only here"), (1, "zz top"), (1, "other words now")], key=str)
+    assert S.one_per_group(docs.limit(0)).count() == 0
+    many = docs.where("doc_id = 3").crossJoin(spark.range(40)).select("doc_id", "text")
+    assert S.one_per_group(many).count() == 1
