@@ -17,11 +17,12 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from readloom.llm.common import WORD, documents, stored
+from readloom.llm.common import WORD, documents, stored, unused
 
 BUCKET, FAN, SEED = 4096, 64, 6
 # Fixed values of the mix: weights by the order of the sources, and the most often a source is taken.
@@ -30,19 +31,26 @@ TINY = 1e-12
 ROUNDED = "doc_id long, tag long, no int, source string, size long, whole int, part double, bucket long, settled boolean"
 
 
+def row_tag(docs: DataFrame) -> Column:
+    """A hash of the whole row, which tells a null from any value; columns that can't be hashed take no part."""
+    names = [f.name for f in docs.schema if not isinstance(f.dataType, MapType)]
+    columns = [F.col(f"`{c}`") for c in names]
+    return F.xxhash64(*(c.isNull() for c in columns), *columns)
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, tag, no, source, size``: words of each text; ``tag, no`` tell rows of equal id apart."""
+    """``doc_id, tag, no, source, size``: words of each text. ``tag`` tells rows of equal id apart, ``no`` equal rows.
+
+    Equal rows are counted, in the tasks first, and numbered from their count, so no window holds them.
+    """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(text_col, source_col).alias("tag"),
+        row_tag(docs).alias("tag"),
         F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
-    return rows.select("doc_id", "tag", _number("doc_id", "tag").alias("no"), "source", "size")
-
-
-def _number(*keys: str):
-    return F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(0)))
+    counted = rows.groupBy("doc_id", "tag", "source", "size").agg(F.count("*").cast("int").alias("n"))
+    return counted.select("doc_id", "tag", F.explode(F.sequence(F.lit(1), "n")).alias("no"), "source", "size")
 
 
 def targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -177,16 +185,28 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with the columns of ``docs``."""
-    id_col, text_col, source_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
-    taken = mix(docs, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("no").alias("_no"), F.col("copies").alias("_copies")
-    )
-    keyed = docs.withColumns({"_key": F.col(id_col).cast("long"), "_mark": F.xxhash64(text_col, source_col)})
-    keyed = keyed.withColumn("_row", _number("_key", "_mark"))
-    same = keyed._key.eqNullSafe(taken._id) & (keyed._mark == taken._tag) & (keyed._row == taken._no)
-    often = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    return keyed.join(taken, same).select(*(F.col(f"`{c}`") for c in docs.columns), often).drop("_copy")
+    """The rows of ``docs`` as often as the mix takes them, with the columns of ``docs``, whatever they are called.
+
+    Equal rows are reduced to one that is taken as often as all of them.
+    """
+    id_col = options.get("id_col", "doc_id")
+    taken = mix(docs, **options).groupBy("doc_id", "tag").agg(F.sum("copies").alias("times"), F.count("*").alias("rows")).where("times > 0")
+    taken = stored(taken.select(F.col("doc_id").alias("other_id"), F.col("tag").alias("other_tag"), "times", "rows"), "taken")
+    names = [unused(docs, c) for c in ("key_id", "key_tag", "times_taken", "copy_no")]
+    keyed = docs.withColumns({names[0]: F.col(id_col).cast("long"), names[1]: row_tag(docs)})
+
+    def repeated(df: DataFrame, other: DataFrame) -> DataFrame:
+        other = other.withColumnRenamed("times", names[2])
+        both = df.join(other, F.col(names[0]).eqNullSafe(F.col(other_id)) & (F.col(names[1]) == F.col(other_tag)))
+        often = F.explode(F.sequence(F.lit(1).cast("long"), F.col(names[2]))).alias(names[3])
+        return both.select(*(F.col(f"`{c}`") for c in docs.columns), often).drop(names[3])
+
+    other_id, other_tag = unused(docs, "other_id"), unused(docs, "other_tag")
+    taken = taken.withColumnsRenamed({"other_id": other_id, "other_tag": other_tag})
+    twice = taken.where("rows > 1").drop("rows")
+    of_twice = F.col(names[0]).eqNullSafe(F.col(other_id)) & (F.col(names[1]) == F.col(other_tag))
+    one = keyed.join(twice, of_twice, "left_semi").dropDuplicates(names[:2])
+    return repeated(keyed, taken.where("rows = 1").drop("rows")).union(repeated(one, twice))
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:

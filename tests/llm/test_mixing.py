@@ -2,7 +2,7 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -72,6 +72,20 @@ def test_table(spark):
     assert M.mix(docs.limit(0)).count() == 0 and M.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_names_and_nulls(spark):
+    """Columns of any name stay, a null differs from a value, and equal rows are taken as often as all of them."""
+    rows = [(1, None, "a b c", 1), (1, "a b c", None, 2), (1, "a b c", None, 2), (2, "d e", "s", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, key_id int")
+    docs = docs.selectExpr("*", "key_id as key_tag", "key_id as times_taken", "'x' as copy_no", "key_id as other_id", "key_id as tag", "key_id as no", "key_id as rows", "key_id as times")
+    assert len({(r.tag, r.no) for r in M.sizes(docs).collect()}) == 4
+    want = Counter()
+    for r in M.mix(docs).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    got = M.mixed_documents(docs)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.source, len((r.text or "").split())) for r in got.collect()) == +want
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
