@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import documents, texts
+from readloom.llm.common import documents, texts, unused
 
 LENGTH, GRAM, LIMIT = 200, 40, 1 << 16
 BLOCK = 1 << 18
@@ -130,9 +130,14 @@ def reaches(rights: list[bytes], lefts: list[bytes], length: int = LENGTH) -> li
     return out
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of SHA-256, as texts of strangers must not collide by intent."""
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
+
+
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """``doc_id, digest`` of each row, and ``digest, text, copies`` of each text."""
-    rows = texts(docs, id_col, text_col).withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
+    rows = texts(docs, id_col, text_col).withColumn("digest", text_digest(F.col("text")))
     one = rows.groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     return rows.select("doc_id", "digest"), one
 
@@ -297,11 +302,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def documents_without_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with their texts cut; half characters at a cut go, null texts stay null."""
+    """The rows of ``docs`` with their texts cut; half characters at a cut go, null texts stay null.
+
+    All other columns stay, whatever they are called.
+    """
     _, results = cut_texts(docs, docs.columns[0], text_col, **options)
-    cut_ones = results.where("n_removed > 0").select(F.col("digest").alias("_digest"), F.col("kept").alias("_kept"))
-    digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    joined = docs.withColumn("_digest", digest).join(cut_ones, "_digest", "left")
+    key, kept_col = unused(docs, "text_digest"), unused(docs, "text_kept")
+    cut_ones = results.where("n_removed > 0").select(F.col("digest").alias(key), F.col("kept").alias(kept_col))
+    joined = docs.withColumn(key, text_digest(F.coalesce(F.col(text_col), F.lit("")))).join(cut_ones, key, "left")
     fields, at = docs.columns, docs.columns.index(text_col)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +319,7 @@ def documents_without_repeats(docs: DataFrame, text_col: str = "text", **options
             columns[at] = pa.array([t if k is None else k.decode("utf-8", "ignore") for t, k in pairs], pa.string())
             yield pa.record_batch(columns[:-1], names=fields)
 
-    return joined.select(*(F.col(f"`{c}`") for c in fields), "_kept").mapInArrow(run, docs.schema)
+    return joined.select(*(F.col(f"`{c}`") for c in fields), kept_col).mapInArrow(run, docs.schema)
 
 
 def op10_repeats(spark, sf_dir: str) -> DataFrame:

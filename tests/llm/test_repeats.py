@@ -72,6 +72,14 @@ def test_table(spark):
     assert R.without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_names(spark):
+    text = "".join(random.Random(2).choices("abcdefghij klmnop", k=300))
+    docs = spark.createDataFrame([(1, text, "x", 1), (2, "zz" + text, "y", 2), (3, None, None, 3)], "doc_id long, text string, text_digest string, text_kept int")
+    got = R.documents_without_repeats(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(1, "", "x", 1), (2, "zz", "y", 2), (3, None, None, 3)]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = {r.doc_id: r.text.encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
