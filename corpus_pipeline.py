@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that pairs of an exact five-word Jaccard similarity of 0.8 or more connect."""
+    """One document of each group of fingerprints over three words that links of three bits or fewer connect."""
     return simhash.one_per_group(docs)
 
 
@@ -36,8 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document and the text they decode to."""
-    spec = bpe.public_vocabulary()
-    return bpe.bpe_decode(bpe.bpe_encode(docs, spec), spec)
+    return bpe.bpe_round_trip(docs, bpe.public_vocabulary())
 
 
 STAGES: list[tuple[str, Stage]] = [
