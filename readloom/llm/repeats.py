@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import documents, texts, unused
+from readloom.llm.common import documents, stored, texts, unused
 
 LENGTH, GRAM, LIMIT = 200, 40, 1 << 16
 BLOCK = 1 << 18
@@ -262,17 +262,25 @@ def cut(text: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(kept) + text[max(end, 0) :], runs
 
 
-def cut_texts(
+def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, limit: int = LIMIT
-) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, digest`` of each row, and for each distinct text ``digest, n_bytes, n_removed, n_spans, kept``."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``doc_id, digest`` of each row, ``digest, text, copies`` of each distinct text, and ``digest, spans`` of those with repeats.
+
+    Texts with copies repeat as a whole, if they are long enough, and have no spans here.
+    """
     ids, one = distinct_texts(docs, id_col, text_col)
     counts = anchor_counts(one, length, gram)
     often = counts.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     again = counts.select("digest", "h").join(often, "h")
     hot = F.when(F.col("n") > limit, F.col("h"))
     again = again.groupBy("digest").agg(F.collect_list("h").alias("hs"), F.collect_list(hot).alias("hot"))
-    found = spans(occurrences(one, again, length, gram), length)
+    return ids, one, spans(occurrences(one, again, length, gram), length)
+
+
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **options) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, digest`` of each row, and for each distinct text ``digest, n_bytes, n_removed, n_spans, kept``."""
+    ids, one, found = repeated_spans(docs, id_col, text_col, length, **options)
     schema = pa.schema([("digest", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,20 +314,31 @@ def documents_without_repeats(docs: DataFrame, text_col: str = "text", **options
 
     All other columns stay, whatever they are called.
     """
-    _, results = cut_texts(docs, docs.columns[0], text_col, **options)
-    key, kept_col = unused(docs, "text_digest"), unused(docs, "text_kept")
-    cut_ones = results.where("n_removed > 0").select(F.col("digest").alias(key), F.col("kept").alias(kept_col))
-    joined = docs.withColumn(key, text_digest(F.coalesce(F.col(text_col), F.lit("")))).join(cut_ones, key, "left")
+    _, one, found = repeated_spans(docs, docs.columns[0], text_col, **options)
+    size = F.octet_length("text")
+    whole = one.where((F.col("copies") > 1) & (size >= options.get("length", LENGTH)))
+    whole = whole.select("digest", F.array(F.struct(F.lit(0).alias("start"), size.alias("end"))).alias("spans"))
+    # Spans go to the texts; kept texts would be a second shuffle of these.
+    marks = stored(found.join(whole.select("digest"), "digest", "left_anti").union(whole), "spans")
+    key, span_col = unused(docs, "text_digest"), unused(docs, "text_spans")
+    marks = marks.withColumnsRenamed({"digest": key, "spans": span_col})
+    joined = docs.withColumn(key, text_digest(F.coalesce(F.col(text_col), F.lit("")))).join(marks, key, "left")
     fields, at = docs.columns, docs.columns.index(text_col)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            columns = part.columns
-            pairs = zip(columns[at].to_pylist(), columns[-1].to_pylist())
-            columns[at] = pa.array([t if k is None else k.decode("utf-8", "ignore") for t, k in pairs], pa.string())
+            columns, texts_cut = part.columns, []
+            for text, repeats in zip(columns[at], columns[-1]):
+                places = repeats.as_py()
+                if places:
+                    kept, _ = cut(text.as_py().encode(), [(s["start"], s["end"]) for s in places])
+                    texts_cut.append(kept.decode("utf-8", "ignore"))
+                else:
+                    texts_cut.append(text.as_py())
+            columns[at] = pa.array(texts_cut, pa.string())
             yield pa.record_batch(columns[:-1], names=fields)
 
-    return joined.select(*(F.col(f"`{c}`") for c in fields), kept_col).mapInArrow(run, docs.schema)
+    return joined.select(*(F.col(f"`{c}`") for c in fields), span_col).mapInArrow(run, docs.schema)
 
 
 def op10_repeats(spark, sf_dir: str) -> DataFrame:

@@ -74,7 +74,7 @@ def test_table(spark):
 
 def test_names(spark):
     text = "".join(random.Random(2).choices("abcdefghij klmnop", k=300))
-    docs = spark.createDataFrame([(1, text, "x", 1), (2, "zz" + text, "y", 2), (3, None, None, 3)], "doc_id long, text string, text_digest string, text_kept int")
+    docs = spark.createDataFrame([(1, text, "x", 1), (2, "zz" + text, "y", 2), (3, None, None, 3)], "doc_id long, text string, text_digest string, text_spans int")
     got = R.documents_without_repeats(docs)
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect())) == [(1, "", "x", 1), (2, "zz", "y", 2), (3, None, None, 3)]
