@@ -232,7 +232,9 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gone = members.join(first, "root").where(~F.col("doc_id").eqNullSafe(F.col("best")) | (F.col("tag") != F.col("first")))
     keys = [unused(docs, "key_id"), unused(docs, "key_tag")]
     named = lambda df: df.select(F.col("doc_id").alias("other_id"), F.col("tag").alias("other_tag")).distinct()
-    gone, twice = named(gone), named(each.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1"))
+    # Written first, so that Spark knows their size before it shuffles texts.
+    gone = stored(named(gone), "gone")
+    twice = stored(named(each.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1")), "twice")
     marked = docs.withColumns({keys[0]: F.col(id_col).cast("long"), keys[1]: tag})
 
     def kept(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
