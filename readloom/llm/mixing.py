@@ -196,7 +196,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     keyed = docs.withColumns({names[0]: F.col(id_col).cast("long"), names[1]: row_tag(docs)})
 
     def repeated(df: DataFrame, other: DataFrame) -> DataFrame:
-        other = other.withColumnRenamed("times", names[2])
+        # It has a row for each document taken, so it is never broadcast.
+        other = other.withColumnRenamed("times", names[2]).hint("merge")
         both = df.join(other, F.col(names[0]).eqNullSafe(F.col(other_id)) & (F.col(names[1]) == F.col(other_tag)))
         often = F.explode(F.sequence(F.lit(1).cast("long"), F.col(names[2]))).alias(names[3])
         return both.select(*(F.col(f"`{c}`") for c in docs.columns), often).drop(names[3])
