@@ -131,8 +131,12 @@ def reaches(rights: list[bytes], lefts: list[bytes], length: int = LENGTH) -> li
 
 
 def text_digest(text: Column) -> Column:
-    """128 bits of SHA-256, as texts of strangers must not collide by intent."""
-    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
+    """128 bits of SHA-256, as texts of strangers must not collide by intent.
+
+    It is never null, and says so: a filter on nulls would set one use of the texts apart from the others, and
+    they would no longer share one exchange.
+    """
+    return F.coalesce(F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16), F.lit(b""))
 
 
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
