@@ -287,3 +287,45 @@ ORACLES: dict[str, str] = {
         from pile""",
     "sam_pileup": f"with {_pileup(33, NOT_STAR)} select * from pile",
 }
+
+_KEPT = f"""{MATES},
+        prefix as (select *, length(regexp_extract(qual, '^[5-~]*')) as g from reads),
+        kept as (select header, substr(bases, 1, g) as bases, substr(qual, 1, g) as qual,
+                        split_part(header, '/', 1) as read_name, split_part(header, '/', 2) as mate
+                 from prefix where g >= case when g < length(qual) then 10 else 11 end)"""
+
+_PLACED = f"""trimmed as ({ORACLES['trimmed_pairs']}),
+    mates as (select read_name, bases1 as bases, qual1 as qual from trimmed
+              union all select read_name, bases2, qual2 from trimmed)"""
+
+
+def _report_of(reads: str, name: str) -> str:
+    lines = ORACLES["qc_report_lines"].replace(VARIED, reads)
+    return f"select replace(line, 'Filename:lineitem', 'Filename:{name}') as value from ({lines})"
+
+
+ORACLES |= {
+    "job_qc": _report_of(FILED, "fastq"),
+    "job_trim_pair": f"""with {_KEPT},
+        joined as (select x.header as h1, x.bases as b1, x.qual as q1, y.header as h2, y.bases as b2, y.qual as q2
+                   from kept x join kept y on x.read_name = y.read_name and x.mate = '1' and y.mate = '2')
+        select h1 as header, b1 as bases, q1 as qual from joined union all select h2, b2, q2 from joined""",
+    "job_qc_and_trim": f"""with trimmed as ({ORACLES['trimmed_pairs']})
+        {' union all '.join(f"select 'mate{m}' as part, unnest([header{m}, bases{m}, '+', qual{m}]) as value from trimmed" for m in (1, 2))}
+        union all select 'report', value from ({_report_of(MATES.replace('from keyed', 'from keyed where 1 + l_linenumber % 2 = 1'), 'mate1')})""",
+    "job_align": f"""with {_PLACED}
+        select concat_ws(chr(9), substr(read_name, 2), '0', 'chr1', cast(length(bases) as varchar), '60',
+                         concat(cast(length(bases) as varchar), 'M'), '*', '0', '0', bases, qual) as value from mates""",
+    "job_full_chain": f"""with {_PLACED}, {REF},
+        based as (select length(bases) + j as pos, substr(bases, j + 1, 1) as base
+                  from (select bases, unnest(range(length(bases))) as j from mates))
+        select 'chr1' as chrom, cast(pos as integer) as pos, substr(seq, cast(pos as integer), 1) as ref, count(*) as total,
+          count(*) filter (where base = 'A') as a, count(*) filter (where base = 'T') as t,
+          count(*) filter (where base = 'C') as c, count(*) filter (where base = 'G') as g,
+          count(*) filter (where base not in ('A', 'T', 'C', 'G')) as n
+        from based, ref where ref.chrom = 'chr1' group by pos, seq""",
+    "depth_by_region": f"""with {_pileup(0, NOT_STAR)}
+        select concat_ws(chr(9), chrom, cast(pos as varchar), cast(total as varchar)) as value
+        from (select chrom, pos, sum(total)::bigint as total from pile group by chrom, pos)""",
+    "locus_store": f"with {_pileup(53)} select * from pile",
+}

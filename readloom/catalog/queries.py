@@ -13,7 +13,9 @@ from readloom.operators import baq, coordinates, external, pairing, partitioning
 from readloom.operators import qc as stats
 from readloom.operators.trim import trim_reads
 from readloom.plans import jobs
-from readloom.sinks.text import locus_lines, mate_lines
+from readloom.session import fresh_path
+from readloom.sinks.loci import add_to_locus_store, read_locus_store
+from readloom.sinks.text import locus_lines, mate_lines, write_fastq
 from readloom.sources import (
     number_records,
     parse_alignments,
@@ -352,6 +354,87 @@ def snp_counts(spark, sf):
     return jobs.snp_counts(parse_alignments(lines), derived.reference(spark, sf))
 
 
+# Jobs, from files to files; what they wrote is read back.
+
+
+def _mate_files(spark, sf) -> list[str]:
+    paths = [fresh_path(spark, f"mate{mate}") for mate in (1, 2)]
+    for mate, path in zip((1, 2), paths):
+        write_fastq(_mates(spark, sf, mate), path)
+    return paths
+
+
+def _report(spark, path: str) -> DataFrame:
+    # The input's folder has a name of its own in each run.
+    plain = F.regexp_replace("value", "^(Filename:[a-z0-9]+)-[0-9a-f]{32}", "$1")
+    return spark.read.text(path).select(plain.alias("value"))
+
+
+@query
+def job_qc(spark, sf):
+    out = fresh_path(spark, "report")
+    jobs.qc(spark, derived.fastq_files(spark, sf), out)
+    return _report(spark, out)
+
+
+@query
+def job_trim_pair(spark, sf):
+    outs = [fresh_path(spark, "trimmed") for _ in range(2)]
+    jobs.trim_pair(spark, *_mate_files(spark, sf), *outs, min_len=10, method="join")
+    return read_fastq(spark, outs[0]).union(read_fastq(spark, outs[1])).select(*RECORD)
+
+
+@query
+def job_qc_and_trim(spark, sf):
+    outs = [fresh_path(spark, name) for name in ("trimmed", "trimmed", "report")]
+    jobs.qc_and_trim(spark, *_mate_files(spark, sf), *outs, min_len=10)
+    parts = [spark.read.text(o).select(F.lit(f"mate{m}").alias("part"), "value") for m, o in enumerate(outs[:2], 1)]
+    return parts[0].union(parts[1]).union(_report(spark, outs[2]).select(F.lit("report"), "value"))
+
+
+# A stand-in for an aligner: it places each read of interleaved FASTQ on chr1, at the length of the read.
+PLACES = (
+    """awk 'BEGIN {OFS="\\t"; print "@HD","VN:1.4","SO:unsorted"; print "@SQ","SN:chr1","LN:640"} """
+    """NR % 4 == 1 {split(substr($1, 2), a, "/")} NR % 4 == 2 {seq = $0} """
+    """NR % 4 == 0 {print a[1], 0, "chr1", length(seq), 60, length(seq) "M", "*", 0, 0, seq, $0}'"""
+)
+
+
+@query
+def job_align(spark, sf):
+    lines = jobs.align_external(trimmed_pairs(spark, sf), PLACES)
+    return lines.where(~F.startswith("value", F.lit("@"))).select("value")
+
+
+@query
+def job_full_chain(spark, sf):
+    report = fresh_path(spark, "report")
+    return jobs.ngs(spark, *_mate_files(spark, sf), report, PLACES, derived.reference(spark, sf), min_len=10)
+
+
+# Prints name, position and depth; a read counts at each base that it aligns, over region borders as well.
+DEPTH = (
+    """awk -F'\\t' '!/^@/ {c = $6; p = $4; while (match(c, /^[0-9]+[A-Z=]/)) {n = substr(c, 1, RLENGTH - 1) + 0; """
+    """o = substr(c, RLENGTH, 1); if (o == "M") for (i = 0; i < n; i++) d[$3 FS (p + i)]++; """
+    """if (o ~ /[MDN]/) p += n; c = substr(c, RLENGTH + 1)}} END {for (k in d) print k FS d[k]}'"""
+)
+
+
+@query
+def depth_by_region(spark, sf):
+    return jobs.sam_pileup(derived.sam_text(spark, sf), command=DEPTH, region=100)
+
+
+@query
+def locus_store(spark, sf):
+    # Two batches of alignments, the second added to what the first one left.
+    path = fresh_path(spark, "loci")
+    rows, ref = derived.alignments(spark, sf), derived.reference(spark, sf)
+    for part in ("l_linenumber % 3 = 0", "l_linenumber % 3 <> 0"):
+        add_to_locus_store(pileup.pileup_counts(rows.where(part), ref, min_q=20), path)
+    return read_locus_store(spark, path)
+
+
 # Two operators share their name with a query.
 QUERIES["trim_reads"] = QUERIES.pop("trim_reads_query")
 QUERIES["reference_bases"] = QUERIES.pop("reference_bases_query")

@@ -15,9 +15,10 @@ from readloom.operators import qc as stats
 from readloom.operators.trim import trim_reads
 from readloom.session import fresh_path
 from readloom.sinks import text as sinks
-from readloom.sources.alignments import valid_alignments
+from readloom.sources.alignments import read_alignments, valid_alignments
 from readloom.sources.fastq import read_fastq
 from readloom.sources.fastq_ranges import read_fastq_ranges
+from readloom.sources.reference import read_reference
 from readloom.sources.sam import parse_sam, sam_header
 
 READERS = {"text": read_fastq, "ranges": read_fastq_ranges}
@@ -136,6 +137,14 @@ def snp_counts(alignments: DataFrame, ref: DataFrame, min_baq: int = 20, offset:
     return baq.baq_pileup(valid_alignments(alignments), ref, min_baq, offset)
 
 
+def call_snps(
+    spark: SparkSession, alignments_path: str, ref_path: str, out: str, min_baq: int = 20, offset: int = 33, ordered: bool = True
+) -> None:
+    """Locus lines of an alignment file and a reference file, in the order of the loci unless ``ordered`` is false."""
+    loci = snp_counts(read_alignments(spark, alignments_path), read_reference(spark, ref_path), min_baq, offset)
+    sinks.write_locus_counts(loci, out, ordered=ordered)
+
+
 def ngs(
     spark: SparkSession,
     path1: str,

@@ -6,6 +6,7 @@ import pytest
 
 from readloom.plans import jobs
 from readloom.sinks import write_locus_counts
+from readloom.sinks.loci import add_to_locus_store, read_locus_store
 from readloom.sources import read_reference, valid_alignments
 
 # A stand-in aligner: one SAM line per read of interleaved FASTQ, placed by its name.
@@ -134,3 +135,28 @@ def test_snp_counts_and_sink(spark, files):
     assert lines and [int(x[1]) for x in lines] == sorted(int(x[1]) for x in lines)
     assert all(x[0] == "chr1" and x[2] == seq[int(x[1]) - 1] and len(x) == 9 for x in lines)
     assert sum(int(x[3]) for x in lines) <= 30 * valid_alignments(reads).count()
+
+
+def test_call_snps(spark, files):
+    root, seq = files
+    rows = [f"chr1 {1 + i} 60 30M {seq[i : i + 30]} {'I' * 30}" for i in range(0, 200, 5)]
+    (root / "aln.txt").write_text("\n".join([*rows, f"* 1 60 * {seq[:30]} {'I' * 30}"]) + "\n")
+    jobs.call_snps(spark, str(root / "aln.txt"), str(root / "ref.txt"), str(root / "called"), min_baq=10)
+    lines = [line.split(" ") for line in folder(root / "called")]
+    assert lines and [int(x[1]) for x in lines] == sorted(int(x[1]) for x in lines)
+    assert all(x[0] == "chr1" and x[2] == seq[int(x[1]) - 1] and len(x) == 9 for x in lines)
+
+
+def test_locus_store(spark, tmp_path):
+    """Batches add up; names that a batch lacks are left alone, null letters of the reference stay one locus."""
+    schema = "chrom string, pos int, ref string, total long, a long, t long, c long, g long, n long"
+    made = lambda rows: spark.createDataFrame([(c, p, r, n, n, 0, 0, 0, 0) for c, p, r, n in rows], schema)
+    path = str(tmp_path / "loci")
+    add_to_locus_store(made([("c1", 1, "A", 2), ("c1", 2, None, 1), ("c2", 1, "C", 5)]), path)
+    before = sorted((tmp_path / "loci" / "chrom=c2").glob("*.parquet"))
+    add_to_locus_store(made([("c1", 2, None, 3), ("c1", 9, "G", 1), ("c3", 4, "T", 7)]), path)
+    assert sorted((tmp_path / "loci" / "chrom=c2").glob("*.parquet")) == before
+    got = {(r.chrom, r.pos, r.ref): (r.total, r.a) for r in read_locus_store(spark, path).collect()}
+    assert got == {("c1", 1, "A"): (2, 2), ("c1", 2, None): (4, 4), ("c1", 9, "G"): (1, 1), ("c2", 1, "C"): (5, 5), ("c3", 4, "T"): (7, 7)}
+    add_to_locus_store(made([]), path)
+    assert read_locus_store(spark, path).count() == 5
