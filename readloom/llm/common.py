@@ -12,6 +12,8 @@ from readloom.session import fresh_path
 
 # Keys of more rows than this, and than one in COPIES of all rows, are joined apart.
 MANY, COPIES = 1000, 10_000
+# A stored side of at most so many rows, of numbers only, is broadcast.
+FEW = 1 << 18
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +58,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def if_few(table: DataFrame, most: int = FEW) -> DataFrame:
+    """A stored table of numbers, to be broadcast if it has at most ``most`` rows; else Spark chooses the join."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def joined_apart(rows: DataFrame, table: DataFrame, keys: list[str], n_rows: int) -> DataFrame:
     """``rows`` joined with ``table``, which has a row for each key and says in ``copies`` how many rows have it.
 

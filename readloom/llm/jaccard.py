@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import connected_components, documents, joined_apart, stored
+from readloom.llm.common import connected_components, documents, if_few, joined_apart, stored
 
 WORDS, SEED = 4, 42
 # Linked: 100 * both >= 85 * union, that is 37 * both >= 17 * (a + b); then 20 * smaller >= 17 * larger as well.
@@ -183,7 +183,7 @@ def shared(rows: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, units: DataFrame, words: int) -> DataFrame:
-    """``id, tokens`` of ``units``, from one text of each."""
+    """``id, tokens`` of stored ``units``, from one text of each; a unit whose text stands in repeated rows comes repeatedly."""
     schema = pa.schema([("id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +196,8 @@ def sets_of(docs: DataFrame, units: DataFrame, words: int) -> DataFrame:
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*right), schema)], schema=schema)
 
     one = units.select("id", "u", "v", F.col("rep").alias("of"), F.col("tag").alias("of_tag"))
-    rows = docs.join(one, docs.doc_id.eqNullSafe(one["of"]) & (docs.tag == one["of_tag"])).select("id", "u", "v", "text")
-    return rows.mapInArrow(run, "id long, tokens array<long>").dropDuplicates(["id"])
+    rows = docs.join(if_few(one), docs.doc_id.eqNullSafe(one["of"]) & (docs.tag == one["of_tag"])).select("id", "u", "v", "text")
+    return rows.mapInArrow(run, "id long, tokens array<long>")
 
 
 class Group:
@@ -244,11 +244,14 @@ def opened(rows: DataFrame, own: bool) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members, group, out = None, [], None, []
+        key, members, group, out, last = None, [], None, [], None
         for part in parts:
             lists = part["tokens"]
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
             for k, (g, c, query, i, comp) in enumerate(zip(*(part[x].to_pylist() for x in ("g", "c", "query", "id", "comp")))):
+                if (g, c, query, i) == last:
+                    continue
+                last = (g, c, query, i)
                 # A copy, so that what is held does not keep its batch.
                 tokens = values[offsets[k] : offsets[k + 1]].copy()
                 if (g, c) != key:
@@ -348,13 +351,16 @@ def alike(
     home = stored(home, "home")
     met = home.join(guests.select("g").distinct(), "g", "left_semi").select("id", "g", "c").union(guests).distinct()
     nobody = [F.lit(False).alias("query"), F.lit(0).cast("long").alias("comp")]
-    found = stored(opened(met.join(tokens, "id").select("*", *nobody), own=True), "links")
+    # Who goes where is written first: sets are shuffled once, to their groups, while these tables are few.
+    met = stored(met.select("id", "g", "c", *nobody), "met")
+    found = stored(opened(tokens.join(if_few(met), "id"), own=True), "links")
     comps = stored(connected_components(found), "components")
     placed = home.join(comps, home.id == comps.node, "left").select("id", "u", "g", "c", F.coalesce("root", "id").alias("comp"))
     wanted = stored(asked(stored(matrix.join(placed, "u"), "placed")), "asked")
     members = placed.join(wanted.select("g", "c").distinct(), ["g", "c"], "left_semi").select("id", "g", "c", "comp", F.lit(False).alias("query"))
     queries = wanted.join(placed.select("id", "comp"), "id").select("id", "g", "c", "comp", F.lit(True).alias("query"))
-    more = opened(members.union(queries).join(tokens, "id"), own=False)
+    needed = stored(members.union(queries), "needed")
+    more = opened(tokens.join(if_few(needed), "id"), own=False)
     comps = stored(connected_components(stored(found.union(more), "links")), "components")
     return _named(own, units, comps, n_docs)
 

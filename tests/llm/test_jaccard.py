@@ -66,9 +66,10 @@ def edited(rng, words, n):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("limit", [8, 2048])
-def test_near_the_limit(spark, limit):
+@pytest.mark.parametrize("limit, few", [(8, 0), (2048, 1 << 18)])
+def test_near_the_limit(spark, monkeypatch, limit, few):
     """Chains and clusters just above and below the similarity, a hot cluster dealt to several tasks, short texts."""
+    monkeypatch.setattr(J, "if_few", lambda table: common.if_few(table, few))
     rng = np.random.default_rng(11)
     docs = []
     for g in range(12):
