@@ -2,8 +2,8 @@
 
 Spark joins reads to their reference, spreads them over tasks and aggregates the result. Inside a
 task, reads of equal shape in an Arrow batch go through one array computation together: the
-forward-backward recurrences of a profile HMM with match, insertion and deletion states.
-Clipped bases stay out.
+forward-backward recurrences of a profile HMM with match, insertion and deletion states, in a band
+of diagonals that is proven wide enough. Clipped bases stay out.
 """
 
 from __future__ import annotations
@@ -30,6 +30,15 @@ CLIPPED_OR_PADDED = r"\d+[SHP]"
 CELLS, RESCALE = 1 << 16, 8
 # Rows up to which the recurrence along the reference is a plain loop.
 LOOPED = 96
+# Bases of the reads that are scored together.
+BASES = 1 << 20
+
+# The paths outside a band have at most this share of the probability; the first band tried, in diagonals to either side.
+OUTSIDE, NARROW = 1e-12, 8
+# Reference spans up to which the whole matrix is no slower than a band.
+SHORT = 128
+# Weights of an inserted base in the bound on what is outside; an insertion goes on with less than 1 in 40.
+TILTS = np.array([2.0, 4, 8, 16, 32])
 
 BAQ_SCHEMA = "chrom string, pos int, ref string, base string, q int, baq double"
 
@@ -116,6 +125,163 @@ def posteriors(
     return (fwd * bwd / total).T, logs + np.log10(total), logs + np.log10(back_total)
 
 
+def banded(
+    reads: np.ndarray, quals: np.ndarray, refs: np.ndarray, columns: np.ndarray, half: int, forward_only: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``posteriors`` over the paths that keep to a band of diagonals.
+
+    A cell's diagonal is its column less its row. The band holds those between 0 and ``L - l``, and ``half`` more on
+    either side. An array row is a diagonal, so a match stays in its row and an insertion moves down by one; memory is
+    linear in the band. Bases whose column is outside it get 0. ``forward_only`` leaves out all but the forward total.
+    """
+    batch, l = reads.shape
+    width = refs.shape[1]
+    low, high = min(0, width - l) - half, max(0, width - l) + half
+    wide = high - low + 1
+    end = 1 / (2 * l)
+    stay, gap, close = (1 - 2 * GAP_OPEN) * (1 - end), GAP_OPEN * (1 - end), (1 - GAP_EXTEND) * (1 - end)
+    start_m, start_i = (1 - GAP_OPEN) / width, GAP_OPEN / width * INSERTED
+    open_i, more_i = gap * INSERTED * close / stay, GAP_EXTEND * (1 - end) * INSERTED
+    open_d, more_d = gap * (1 - GAP_EXTEND) / stay, GAP_EXTEND
+
+    # Row 0 of the padded reference is column ``low``.
+    padded = np.zeros((l + wide, batch), np.uint8)
+    padded[-low : width - low] = refs.T[: l + wide + low]
+    reads = np.ascontiguousarray(reads.T)
+    miss = 10.0 ** (-np.ascontiguousarray(quals.T) / 10.0) / 3
+    gain, miss = (1 - 4 * miss) * stay, miss * stay
+    at, each = columns.T - np.arange(l)[:, None] - low, np.arange(batch)
+    inside = (columns.T >= 0) & (at >= 0) & (at < wide)
+    at = np.where(inside, at, 0)
+    scale = np.ones((l, batch))
+    spare, emitted = np.empty((wide, batch)), np.empty((wide, batch))
+
+    def emission(i: int, out: np.ndarray) -> np.ndarray:
+        """As in ``posteriors``, and 0 where the reference has no such column."""
+        out[...] = padded[i : i + wide] == reads[i]
+        out *= gain[i]
+        out += miss[i]
+        out[: max(0, -low - i)] = 0
+        out[max(0, width - low - i) :] = 0
+        return out
+
+    columns_of_first = slice(max(0, -low), max(0, width - low))
+    m = emission(0, emitted) * (start_m / stay)
+    ins = np.zeros((wide, batch))
+    ins[columns_of_first] = start_i * close / stay
+    dele = np.zeros((wide, batch))
+    fwd = np.empty((0 if forward_only else l, batch))
+    for i in range(l):
+        if i:
+            into = dele
+            into += m
+            into += ins
+            # What an insertion adds comes from the diagonal above.
+            ins[:-1] = ins[1:]
+            ins[-1] = 0
+            ins *= more_i
+            np.multiply(m[1:], open_i, out=spare[:-1])
+            ins[:-1] += spare[:-1]
+            m = emission(i, m)
+            m *= into
+        if i % RESCALE == 0:
+            scale[i] = m.sum(0) + ins.sum(0)
+            m /= scale[i]
+            ins /= scale[i]
+        dele[0] = 0
+        np.multiply(m[:-1], open_d, out=dele[1:])
+        _carry(dele, more_d)
+        if not forward_only:
+            fwd[i] = m[at[i], each]
+    total = (m.sum(0) + ins.sum(0) * (stay / close)) * end
+    logs = np.log10(scale).sum(0)
+    if forward_only:
+        return fwd.T, logs + np.log10(total), logs
+
+    bwd = np.empty((l, batch))
+    m = np.full((wide, batch), end)
+    ins = np.full((wide, batch), end * gap * INSERTED)
+    bwd[l - 1] = end
+    for i in range(l - 2, -1, -1):
+        match = emission(i + 1, emitted)
+        match *= m
+        np.multiply(match, open_d, out=dele)
+        _carry(dele[::-1], more_d)
+        ins[1:] = ins[:-1]
+        ins[0] = 0
+        np.add(match, ins, out=m)
+        m[:-1] += dele[1:]
+        ins *= more_i
+        ins += np.multiply(match, open_i, out=spare)
+        if (i + 1) % RESCALE == 0:
+            m /= scale[i + 1]
+            ins /= scale[i + 1]
+        bwd[i] = m[at[i], each]
+    first = (emission(0, emitted) * m).sum(0) * (start_m / stay)
+    back_total = (first + ins[columns_of_first].sum(0) * (start_i / gap / INSERTED)) / scale[0]
+    return np.where(inside, fwd * bwd / total, 0).T, logs + np.log10(total), logs + np.log10(back_total)
+
+
+def halves_needed(reads: np.ndarray, quals: np.ndarray, refs: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """How many diagonals on either side a band needs, given log10 of a lower bound of all paths' probability.
+
+    Paths start on diagonal 0 or above and end on ``L - l`` or below, and only an insertion leads down. So a path that
+    leaves a band has more than ``half + max(0, l - L)`` inserted bases. The probability of all paths with n of them or
+    more is at most that of all paths with inserted bases counted z-fold, over z^n, for each z above 1. That needs no
+    column: a match is at most as good as the base's best one. Infinite where the total is unknown.
+    """
+    batch, l = reads.shape
+    width = refs.shape[1]
+    go = 1 - 1 / (2 * l)
+    wrong = 10.0 ** (-quals / 10.0)
+    found = np.zeros(reads.shape, bool)
+    for base in np.unique(reads):
+        found |= (reads == base) & (refs == base).any(1)[:, None]
+    best = np.ascontiguousarray(np.where(found, np.maximum(1 - wrong, wrong / 3), wrong / 3).T)
+    extra = (INSERTED * TILTS)[:, None]
+    after_m = after_i = np.full((len(TILTS), batch), 1 / (2 * l))
+    logs = np.zeros((len(TILTS), batch))
+    for i in range(l - 1, 0, -1):
+        matched, inserted = best[i] * after_m, extra * after_i
+        after_m = go * ((1 - GAP_OPEN) * matched + GAP_OPEN * inserted)
+        after_i = go * ((1 - GAP_EXTEND) * matched + GAP_EXTEND * inserted)
+        if i % RESCALE == 0:
+            size = after_m + after_i
+            after_m, after_i = after_m / size, after_i / size
+            logs += np.log10(size)
+    logs += np.log10((1 - GAP_OPEN) * best[0] * after_m + GAP_OPEN * extra * after_i)
+    inserts = (logs - total - np.log10(OUTSIDE)) / np.log10(TILTS)[:, None]
+    half = np.ceil(inserts.min(0)) - max(0, l - width)
+    return np.where(np.isfinite(total) & np.isfinite(half), np.maximum(half, 1), np.inf)
+
+
+def match_posteriors(reads: np.ndarray, quals: np.ndarray, refs: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Match posterior of each base at its column, with an error of at most ``OUTSIDE``.
+
+    A narrow band gives a lower bound of the total, which tells how wide a band leaves out too little to matter. Bands
+    are rounded up to powers of two, so that reads share them; where one is no smaller than the matrix, that is computed.
+    """
+    batch, l = reads.shape
+    width = refs.shape[1]
+    post, half = np.empty((batch, l)), np.full(batch, np.inf)
+    bound = lambda h: 2 * h + 1 + abs(width - l)
+    if width > SHORT and bound(NARROW) < width:
+        # A band without any path has no total.
+        with np.errstate(divide="ignore", invalid="ignore"):
+            total = banded(reads, quals, refs, columns, NARROW, forward_only=True)[1]
+        need = halves_needed(reads, quals, refs, total)
+        half = np.where(np.isfinite(need), np.maximum(2.0 ** np.ceil(np.log2(need)), NARROW), np.inf)
+    half[bound(half) >= width] = np.inf
+    for h in np.unique(half):
+        members = np.flatnonzero(half == h)
+        step = max(1, int(CELLS // min(bound(h), width)))
+        for first in range(0, len(members), step):
+            some = members[first : first + step]
+            rows = (reads[some], quals[some], refs[some], columns[some])
+            post[some] = (posteriors(*rows) if np.isinf(h) else banded(*rows, int(h)))[0]
+    return post
+
+
 def _carry(x: np.ndarray, rate: float) -> None:
     """In place, row by row: x[k] += rate * x[k-1].
 
@@ -186,7 +352,9 @@ def _score(offset: int, min_baq: float | None = None):
             for (l, width), members in sizes.groupby(["l", "width"]).indices.items():
                 if l == 0 or width == 0:
                     continue
-                step = max(1, CELLS // width)
+                # The narrow band sets how many reads fit the cache; wider ones are cut again.
+                wide = width if width <= SHORT else min(width, 2 * NARROW + 1 + abs(width - l))
+                step = max(1, min(CELLS // wide, BASES // max(l, width)))
                 for first in range(0, len(members), step):
                     part = batch.take(pa.array(members[first : first + step]))
                     scored = _score_alike(part, l, width, offset)
@@ -205,7 +373,7 @@ def _score_alike(part: pa.RecordBatch, l: int, width: int, offset: int) -> pa.Re
     columns = np.stack([known[shape] for shape in shapes])
     reads, refs = _codes(part["bases"], l), _codes(part["ref_seq"], width)
     quals = _codes(part["qual"], l).astype(np.int64) - offset
-    post = posteriors(reads, quals, refs, columns)[0]
+    post = match_posteriors(reads, quals, refs, columns)
     on = columns >= 0
     owner = np.nonzero(on)[0]
     pos = part["pos"].to_numpy()[owner] + columns[on]

@@ -75,6 +75,56 @@ def test_totals_agree_on_long_reads():
     assert (baq.cap_quality(post, quals) <= quals).all()
 
 
+def cases(seed, n, l, width, errors=2, low=2):
+    """Reads off references of a base in a row, a repeated word or any bases, with errors, and the columns they come from."""
+    rng = np.random.default_rng(seed)
+    letters = np.frombuffer(b"ACGT", np.uint8)
+    words = [rng.choice(letters, size) for size in rng.choice([1, 3, 7, width], n)]
+    refs = np.stack([np.resize(word, width) for word in words])
+    columns = np.minimum(np.arange(l) + rng.integers(0, max(0, width - l) + 1, (n, 1)), width - 1)
+    reads = np.take_along_axis(refs, columns, 1)
+    for _ in range(errors):
+        reads[np.arange(n), rng.integers(0, l, n)] = rng.choice(np.frombuffer(b"ACGTN", np.uint8), n)
+    return reads, rng.integers(low, 41, reads.shape), refs, columns
+
+
+@pytest.mark.parametrize("l, width", [(1, 1), (1, 30), (40, 40), (60, 67), (67, 60), (120, 130), (150, 150), (40, 90), (90, 40)])
+def test_a_band_gives_the_whole_matrix(monkeypatch, l, width):
+    monkeypatch.setattr(baq, "SHORT", 0)
+    for seed in range(4):
+        # Quality 0 has no chance of a match; it stands in half of the cases.
+        rows = cases(seed, 9, l, width, low=2 * (seed % 2))
+        want, total, _ = baq.posteriors(*rows)
+        assert np.allclose(baq.match_posteriors(*rows), want, rtol=0, atol=1e-9)
+        # A band of all diagonals is the matrix.
+        post, fwd, back = baq.banded(*rows, max(l, width))
+        assert np.allclose(post, want, rtol=1e-9, atol=1e-300)
+        assert np.allclose(fwd, total, rtol=1e-9) and np.allclose(back, total, rtol=1e-9)
+
+
+@pytest.mark.parametrize("l, width", [(50, 50), (50, 56), (56, 50)])
+def test_what_a_band_leaves_out_is_below_the_bound(l, width):
+    rows = cases(5, 20, l, width, errors=4)
+    total = baq.posteriors(*rows)[1]
+    for half in (1, 2, 4, 8, 16):
+        banded = baq.banded(*rows, half, forward_only=True)[1]
+        outside = 1 - 10 ** (banded - total)
+        enough = baq.halves_needed(*rows[:3], banded) <= half
+        assert (outside[enough] <= baq.OUTSIDE + 1e-10).all()
+        assert (outside >= -1e-10).all()
+    assert enough.any()
+
+
+def test_long_reads_use_a_narrow_band(monkeypatch):
+    rows = cases(3, 2, 10_000, 10_010, errors=3, low=30)
+    widths = []
+    whole = baq.banded
+    monkeypatch.setattr(baq, "banded", lambda *a, **k: widths.append(a[4]) or whole(*a, **k))
+    monkeypatch.setattr(baq, "posteriors", None)
+    post = baq.match_posteriors(*rows)
+    assert max(widths) <= 64 and ((post >= 0) & (post <= 1 + 1e-9)).all()
+
+
 def test_certain_bases_keep_their_quality():
     assert baq.cap_quality(np.array([1.0, 1.5, 0.9]), np.array([30, 30, 30])).tolist() == [30, 30, pytest.approx(10)]
 
@@ -85,6 +135,22 @@ def test_columns_of_shapes():
     assert baq.base_columns("4M", 4, 3).tolist() == [0, 1, 2, -1]
 
 
+def test_long_reads_in_a_table(spark):
+    rng = random.Random(1)
+    seq = "".join(rng.choices("ACGT", k=4000))
+    ref = spark.createDataFrame([("chr1", seq)], "chrom string, seq string")
+    long = seq[100:1600] + seq[1605:3000]
+    rows = [
+        ("chr1", 101, 60, "1500M5D1395M", long, "I" * len(long)),
+        ("chr1", 11, 60, "200M2I100M", seq[10:210] + "GT" + seq[210:310], "5" * 302),
+    ]
+    reads = spark.createDataFrame(rows, "chrom string, pos int, mapq int, cigar string, bases string, qual string")
+    scored = baq.baq_bases(reads, ref).collect()
+    assert len(scored) == len(long) + 300
+    assert all(r.ref == seq[r.pos - 1] == r.base and 0 <= r.baq <= r.q for r in scored)
+    assert sum(r.baq == r.q for r in scored) > 2800
+
+
 def test_bases_and_pileup(spark):
     seq = "ACGTTGCAAGCTTAGGCTAACCGT" * 3
     ref = spark.createDataFrame([("chr1", seq)], "chrom string, seq string")
