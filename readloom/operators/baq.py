@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from readloom.functions.bases import base_sums
@@ -417,13 +417,18 @@ def baq_bases(alignments: DataFrame, ref: DataFrame, offset: int = 33) -> DataFr
     return _shaped(with_reference(alignments, ref)).mapInArrow(_score(offset), BAQ_SCHEMA)
 
 
-def baq_pileup(alignments: DataFrame, ref: DataFrame, min_baq: int = 20, offset: int = 33) -> DataFrame:
+def baq_pileup(
+    alignments: DataFrame, ref: DataFrame, min_baq: int = 20, offset: int = 33, seen: Observation | None = None
+) -> DataFrame:
     """Locus counts of bases whose ``baq`` reaches ``min_baq``.
 
     Tasks count what they score before it leaves Python, so a region's reads come back as one row
-    per position and base.
+    per position and base. ``seen`` gets ``referenced``, the alignments that the reference has a tile for.
     """
-    shaped = _shaped(with_reference(gather_by_locus(alignments), ref))
+    referenced = with_reference(gather_by_locus(alignments), ref)
+    if seen is not None:
+        referenced = referenced.observe(seen, F.count(F.lit(1)).alias("referenced"))
+    shaped = _shaped(referenced)
     counted = shaped.mapInArrow(_score(offset, min_baq), "chrom string, pos int, base string, count long")
     loci = counted.groupBy("chrom", "pos").agg(*base_sums(F.col("base"), F.col("count")))
     return with_reference_base(loci, ref)

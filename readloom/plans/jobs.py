@@ -2,11 +2,16 @@
 
 Jobs compose operators and write with sinks. The only eager step before a sink is the search for the
 first read that proves the Phred offset, in every input; Spark stops it at the first hit.
+
+Jobs that write return what they counted on the way, by ``DataFrame.observe`` in the pass that writes. Where a lost
+executor makes Spark run a task again, its rows may be counted again; what is written is not affected. A count is None
+where Spark leaves the step out, as it sees that an input is empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.functions.quality import decides_offset, decisive_offset
@@ -15,7 +20,7 @@ from readloom.operators import qc as stats
 from readloom.operators.trim import trim_reads
 from readloom.session import fresh_path
 from readloom.sinks import text as sinks
-from readloom.sources.alignments import read_alignments, valid_alignments
+from readloom.sources.alignments import is_valid, read_alignments, valid_alignments
 from readloom.sources.fastq import read_fastq
 from readloom.sources.fastq_ranges import read_fastq_ranges
 from readloom.sources.reference import read_reference
@@ -24,6 +29,21 @@ from readloom.sources.sam import parse_sam, sam_header
 READERS = {"text": read_fastq, "ranges": read_fastq_ranges}
 
 
+def _observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and the observation of ``counts`` over its rows in the next pass over it."""
+    seen = Observation()
+    return df.observe(seen, *(F.coalesce(c, F.lit(0)).alias(n) for n, c in counts.items())), seen
+
+
+def _counts(seen: Observation, *names: str) -> dict[str, int | None]:
+    """What an observation counted, after the write."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        # An observation that was planned away is completed without a row.
+        return dict.fromkeys(names)
+
+
 def learn_offset(*inputs: DataFrame) -> int:
     """The Phred offset that the reads of all inputs prove; no prefix of a file decides.
 
@@ -73,15 +93,25 @@ def trim_pair(
     strict_len: bool = False,
     offset: int | None = None,
     sep: str | None = None,
-) -> None:
+) -> dict[str, int | None]:
     """Trim both files, pair the mates, write them as two matching FASTQ folders.
 
-    Each header decides its separator unless ``sep`` states one for all.
+    Each header decides its separator unless ``sep`` states one for all. Returns ``reads1, reads2``, those of each file,
+    ``kept1, kept2``, those that the trim leaves, and ``pairs``.
     """
     first, second = (READERS[reader](spark, p).select("header", "bases", "qual") for p in (path1, path2))
     offset = offset or learn_offset(first, second)
-    trimmed = [trim_reads(reads, offset, min_q, min_len, strict_len) for reads in (first, second)]
-    sinks.write_paired_fastq(pairing.pair_mates(*trimmed, method, sep), out1, out2)
+    trimmed, seen = [], []
+    for mate, reads in enumerate((first, second), 1):
+        reads, all_of = _observed(reads, **{f"reads{mate}": F.count(F.lit(1))})
+        kept, some_of = _observed(
+            trim_reads(reads, offset, min_q, min_len, strict_len), **{f"kept{mate}": F.count(F.lit(1))}
+        )
+        trimmed.append(kept)
+        seen += [(all_of, f"reads{mate}"), (some_of, f"kept{mate}")]
+    pairs, paired = _observed(pairing.pair_mates(*trimmed, method, sep), pairs=F.count(F.lit(1)))
+    sinks.write_paired_fastq(pairs, out1, out2)
+    return {name: n for each in [*seen, (paired, "pairs")] for name, n in _counts(*each).items()}
 
 
 def qc_and_trim(
@@ -94,11 +124,11 @@ def qc_and_trim(
     reader: str = "text",
     offset: int | None = None,
     **options,
-) -> None:
-    """QC of the first file, then ``trim_pair``; the offset is looked up once."""
+) -> dict[str, int | None]:
+    """QC of the first file, then ``trim_pair`` and its counts; the offset is looked up once."""
     offset = offset or learn_offset(*(READERS[reader](spark, p) for p in (path1, path2)))
     qc(spark, path1, report_path, reader, offset)
-    trim_pair(spark, path1, path2, out1, out2, reader=reader, offset=offset, **options)
+    return trim_pair(spark, path1, path2, out1, out2, reader=reader, offset=offset, **options)
 
 
 def align_external(pairs: DataFrame, command: str) -> DataFrame:
@@ -139,10 +169,24 @@ def snp_counts(alignments: DataFrame, ref: DataFrame, min_baq: int = 20, offset:
 
 def call_snps(
     spark: SparkSession, alignments_path: str, ref_path: str, out: str, min_baq: int = 20, offset: int = 33, ordered: bool = True
-) -> None:
-    """Locus lines of an alignment file and a reference file, in the order of the loci unless ``ordered`` is false."""
-    loci = snp_counts(read_alignments(spark, alignments_path), read_reference(spark, ref_path), min_baq, offset)
+) -> dict[str, int | None]:
+    """Locus lines of an alignment file and a reference file, in the order of the loci unless ``ordered`` is false.
+
+    Returns ``alignments``, the lines read, ``unplaced``, those that are not valid alignments, and ``unscored``, valid
+    ones left out as the reference has no tile for them.
+    """
+    rows, read = _observed(
+        read_alignments(spark, alignments_path),
+        alignments=F.count(F.lit(1)),
+        unplaced=F.count_if(~F.coalesce(is_valid(), F.lit(False))),
+    )
+    found = Observation()
+    ref = read_reference(spark, ref_path)
+    loci = baq.baq_pileup(valid_alignments(rows), ref, min_baq, offset, found)
     sinks.write_locus_counts(loci, out, ordered=ordered)
+    counts = _counts(read, "alignments", "unplaced")
+    each = (*counts.values(), _counts(found, "referenced")["referenced"])
+    return counts | {"unscored": None if None in each else each[0] - each[1] - each[2]}
 
 
 def ngs(

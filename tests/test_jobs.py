@@ -42,10 +42,11 @@ def folder(path) -> list[str]:
 @pytest.mark.parametrize("method", ["group", "join"])
 def test_qc_and_trim(spark, files, reader, method):
     root, _ = files
-    jobs.qc_and_trim(
+    counts = jobs.qc_and_trim(
         spark, str(root / "r1.fastq"), str(root / "r2.fastq"), str(root / "o1"), str(root / "o2"),
         str(root / "qc"), method=method, reader=reader,
     )
+    assert counts == {"reads1": 120, "reads2": 120, "kept1": 108, "kept2": 108, "pairs": 96}
     report = folder(root / "qc")
     assert report[:3] == ["Measure value ", "Filename:r1.fastq ", "Total reads:120 "]
     assert report[4] == "Sequence length:40 " and len(report) == 8 + 9 + 6 + 1
@@ -57,6 +58,29 @@ def test_qc_and_trim(spark, files, reader, method):
     assert {len(b) for b in mates[0][1::4]} == {35, 40}
 
 
+def test_counts_of_empty_files(spark, tmp_path):
+    for name in ("r1.fastq", "r2.fastq", "aln.txt"):
+        (tmp_path / name).write_text("")
+    (tmp_path / "ref.txt").write_text("chr1 ACGT\n")
+    path = lambda name: str(tmp_path / name)
+    counts = jobs.trim_pair(spark, path("r1.fastq"), path("r2.fastq"), path("o1"), path("o2"), offset=33)
+    # None where Spark leaves out a step over an empty input.
+    assert set(counts) == {"reads1", "reads2", "kept1", "kept2", "pairs"} and not any(counts.values())
+    counts = jobs.call_snps(spark, path("aln.txt"), path("ref.txt"), path("loci"))
+    assert set(counts) == {"alignments", "unplaced", "unscored"} and not any(counts.values())
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_counts_of_alignments(spark, files, ordered):
+    root, seq = files
+    rows = [f"chr1 {p} 60 40M {seq[p - 1 : p + 39]} {'I' * 40}" for p in range(1, 200, 3)]
+    rows += ["* 0 0 * ACGT IIII", "chr1 5 60 * ACGT IIII", "chr9 5 60 4M ACGT IIII", "broken"]
+    (root / "aln.txt").write_text("\n".join(rows) + "\n")
+    counts = jobs.call_snps(spark, str(root / "aln.txt"), str(root / "ref.txt"), str(root / "loci"), ordered=ordered)
+    assert counts == {"alignments": len(rows), "unplaced": 3, "unscored": 1}
+    assert folder(root / "loci")
+
+
 def test_undecided_offset_stops(spark, tmp_path):
     path = tmp_path / "a.fastq"
     path.write_text("@a/1\nACG\n+\nAAA\n")
