@@ -310,6 +310,10 @@ ORACLES |= {
         joined as (select x.header as h1, x.bases as b1, x.qual as q1, y.header as h2, y.bases as b2, y.qual as q2
                    from kept x join kept y on x.read_name = y.read_name and x.mate = '1' and y.mate = '2')
         select h1 as header, b1 as bases, q1 as qual from joined union all select h2, b2, q2 from joined""",
+    "job_trim_counts": f"""with {_KEPT},
+        named as (select split_part(header, '/', 2) as mate from reads)
+        select {', '.join(f"(select count(*) from {t} where mate = '{m}') as {c}{m}" for m in (1, 2) for t, c in (('named', 'reads'), ('kept', 'kept')))},
+               (select count(*) from ({ORACLES['trimmed_pairs']})) as pairs""",
     "job_qc_and_trim": f"""with trimmed as ({ORACLES['trimmed_pairs']})
         {' union all '.join(f"select 'mate{m}' as part, unnest([header{m}, bases{m}, '+', qual{m}]) as value from trimmed" for m in (1, 2))}
         union all select 'report', value from ({_report_of(MATES.replace('from keyed', 'from keyed where 1 + l_linenumber % 2 = 1'), 'mate1')})""",

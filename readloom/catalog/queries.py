@@ -384,6 +384,13 @@ def job_trim_pair(spark, sf):
     return read_fastq(spark, outs[0]).union(read_fastq(spark, outs[1])).select(*RECORD)
 
 
+@query
+def job_trim_counts(spark, sf):
+    outs = [fresh_path(spark, "trimmed") for _ in range(2)]
+    counts = jobs.trim_pair(spark, *_mate_files(spark, sf), *outs, min_len=10)
+    return spark.range(1).select(*(F.lit(n).cast("long").alias(name) for name, n in counts.items()))
+
+
 @query
 def job_qc_and_trim(spark, sf):
     outs = [fresh_path(spark, name) for name in ("trimmed", "trimmed", "report")]
