@@ -9,10 +9,10 @@ from operator import itemgetter
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from readloom.functions.cigar import reference_span
 from readloom.operators.external import command_lines, line_batches
@@ -55,25 +55,43 @@ def coordinate_sort(sam: DataFrame) -> DataFrame:
 
 
 def with_coordinate_rank(sam: DataFrame) -> DataFrame:
-    """``coordinate_sort`` plus ``rank``, the place of a read within its reference name.
+    """``rank``, the place of a read within its reference name in the order of ``coordinate_sort``.
 
-    A window per reference name would put a whole chromosome into one task. Instead each sorted
-    partition numbers its rows, and a table of one row per partition and name adds what earlier
-    partitions hold. The sorted rows are stored once, because both steps must see the same split;
-    ``spark.catalog.clearCache()`` frees them after use.
+    A window per reference name would put a whole chromosome into one task. Instead the sort keys alone are range
+    partitioned first, which yields the largest key of each range and the reads of each name in it. The bounds, one for
+    each of Spark's partitions, are then constants by which every read knows its range: reads are shuffled by name and
+    range, numbered there, and add the reads of the name in earlier ranges. Equal keys share a range, in any order.
     """
-    rows = coordinate_sort(sam).persist(StorageLevel.DISK_ONLY)
-    placed = rows.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
-    earlier = W.partitionBy("rname").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("rname", "part")
-        .agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
-        .select("rname", "part", "first_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    spark, key = sam.sparkSession, F.struct(*SORT_KEYS)
+    parted = sam.select(*SORT_KEYS).repartitionByRange(*SORT_KEYS).select(*SORT_KEYS, F.spark_partition_id().alias("part"))
+    path = fresh_path(spark, "ranges")
+    parted.groupBy("part", "rname").agg(F.count("*").alias("n"), F.max(F.struct(*SORT_KEYS[1:])).alias("top")).write.parquet(path)
+    held = spark.read.parquet(path)
+    tops = held.groupBy("part").agg(F.max(F.struct("rname", "top")).alias("top")).orderBy("part").collect()
+    bounds = [(r.top.rname, *r.top.top) for r in tops]
+
+    # The ranges that have rows are numbered in order, as a search among their bounds numbers them.
+    numbers = spark.createDataFrame([(r.part, i) for i, r in enumerate(tops)], "part int, range int")
+    earlier = W.partitionBy("rname").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    before = held.join(F.broadcast(numbers), "part").select(
+        F.col("rname").alias("_name"), F.col("range").alias("_of"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")
     )
-    rank = F.col("id") - F.col("first_id") + F.col("before") + 1
-    # In sorted order a name fills neighbouring partitions, so ``starts`` has fewer rows than there
-    # are partitions and names together; Spark broadcasts it where it measures small.
-    return placed.join(starts, ["rname", "part"]).select(*sam.columns, rank.alias("rank"))
+    placed = sam.withColumn("_range", _range_of(key, bounds, sam.select(*SORT_KEYS).schema))
+    place = F.row_number().over(W.partitionBy("rname", "_range").orderBy(*SORT_KEYS))
+    found = placed.withColumn("_place", place).join(before, F.col("rname").eqNullSafe(F.col("_name")) & (F.col("_range") == F.col("_of")))
+    return found.select(*sam.columns, (F.col("_before") + F.col("_place")).alias("rank"))
+
+
+def _range_of(key: Column, bounds: list[tuple], schema: StructType) -> Column:
+    """How many of the ascending ``bounds`` are smaller than ``key``, searched in two steps."""
+    if not bounds:
+        return F.lit(0)
+    wide = max(1, round(len(bounds) ** 0.5))
+    groups = [bounds[i : i + wide] for i in range(0, len(bounds), wide)]
+    literal = lambda b: F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, schema)))
+    smaller = lambda some: F.size(F.filter(some, lambda b: b < key))
+    outer = smaller(F.array(*(literal(g[-1]) for g in groups)))
+    return outer * wide + F.coalesce(smaller(F.get(F.array(*(F.array(*map(literal, g)) for g in groups)), outer)), F.lit(0))
 
 
 def sam_lines(sam: DataFrame) -> DataFrame:

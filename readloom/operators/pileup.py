@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions.bases import base_counts
 from readloom.functions.cigar import ALIGNED, USES_READ, USES_REF, cigar_items, reference_span
-from readloom.sources.reference import LEVELS, TILE, reference_levels, reference_tiles
+from readloom.sources.reference import OVERLAP, TILE, reference_tiles
 
 LOCUS_BIN = 1 << 10
 
@@ -18,27 +18,37 @@ def cigar_ops(alignments: DataFrame) -> DataFrame:
     return items.select(*alignments.columns, "op_index", "item.len", "item.op", "item.read_off", "item.ref_off")
 
 
-def with_reference(
-    alignments: DataFrame, ref: DataFrame, levels: tuple[tuple[int, int], ...] = LEVELS
-) -> DataFrame:
-    """Add ``ref_seq``, the reference under each alignment.
+def with_reference(alignments: DataFrame, ref: DataFrame, tile: int = TILE, overlap: int = OVERLAP) -> DataFrame:
+    """Add ``ref_seq``, the reference under each alignment; one whose start no tile covers is left out.
 
-    The genome is cut into overlapping tiles of several sizes. An alignment looks up the smallest
-    kind whose overlap its span fits, so one equi-join on one tile always holds all its bases.
-    Spark broadcasts the tiles when they measure small and shuffles by tile when they do not.
+    The genome is cut into tiles that run ``overlap`` bases into the next one. An alignment of no longer span finds
+    all its bases in the tile of its start, by one equi-join. A longer one, as a spliced read, is cut at the tile
+    borders: each distinct start and span looks up its stretches in the same tiles, which are put together in order,
+    and its alignments join the result. No row holds more of the genome than one alignment spans. Spark broadcasts
+    the tiles when they measure small and shuffles them by tile, once, when they do not.
     """
+    tiles = reference_tiles(ref, tile, overlap)
+    placed = alignments.withColumn("_span", reference_span(F.col("cigar")))
+    long = F.coalesce(F.col("_span") > overlap, F.lit(False))
     start = F.col("pos") - 1
-    level, tile, at = F.lit(len(levels)), F.lit(0), start
-    for n, (size, overlap) in reversed(list(enumerate(levels))):
-        fits = F.col("_span") <= overlap
-        level = F.when(fits, n).otherwise(level)
-        tile = F.when(fits, F.floor(start / size).cast("int")).otherwise(tile)
-        at = F.when(fits, F.pmod(start, F.lit(size))).otherwise(at)
-    placed = alignments.withColumn("_span", reference_span(F.col("cigar"))).select(
-        "*", level.alias("level"), tile.alias("tile"), at.alias("_at")
+    number = lambda at: F.floor(at / tile).cast("int")
+
+    short = placed.where(~long).withColumn("tile", number(start)).join(tiles, ["chrom", "tile"])
+    bases = F.substring("tile_seq", F.pmod(start, F.lit(tile)) + 1, F.col("_span")).alias("ref_seq")
+    found = short.select(*alignments.columns, bases)
+
+    spot = ["chrom", "pos", "_span"]
+    end = start + F.col("_span")
+    crossed = placed.where(long).select(*spot).distinct().withColumn("tile", F.explode(F.sequence(number(start), number(end - 1))))
+    low = F.col("tile") * tile
+    first, last = F.greatest(start, low), F.least(end, low + tile)
+    pieces = crossed.join(tiles, ["chrom", "tile"]).select(
+        *spot, F.struct("tile", F.substring("tile_seq", first - low + 1, last - first).alias("seq")).alias("piece")
     )
-    found = placed.join(reference_levels(ref, levels), ["chrom", "level", "tile"])
-    return found.select(*alignments.columns, F.substring("tile_seq", F.col("_at") + 1, F.col("_span")).alias("ref_seq"))
+    whole = pieces.groupBy(*spot).agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    whole = whole.where(F.col("pieces")[0]["tile"] == number(start))
+    spanned = placed.where(long).join(whole, spot)
+    return found.unionByName(spanned.select(*alignments.columns, F.array_join("pieces.seq", "").alias("ref_seq")))
 
 
 def gapped_alignments(referenced: DataFrame) -> DataFrame:

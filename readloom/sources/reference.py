@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TILE = 4096
-# (tile, overlap) per level; a last level keeps each sequence in one piece.
-LEVELS = ((1 << 12, 1 << 10), (1 << 18, 1 << 16))
+# Bases of a tile, and how many of the next one an alignment may need.
+TILE, OVERLAP = 1 << 12, 1 << 10
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -25,15 +24,6 @@ def reference_tiles(ref: DataFrame, tile: int = TILE, overlap: int = 0) -> DataF
     return ref.select("chrom", F.posexplode(cut).alias("tile", "tile_seq"))
 
 
-def reference_levels(ref: DataFrame, levels: tuple[tuple[int, int], ...] = LEVELS) -> DataFrame:
-    """``chrom, level, tile, tile_seq``: the tiles of every level, coarser with each level."""
-    whole = ref.select("chrom", F.lit(len(levels)).alias("level"), F.lit(0).alias("tile"), F.col("seq").alias("tile_seq"))
-    for level, (tile, overlap) in enumerate(levels):
-        cut = reference_tiles(ref, tile, overlap)
-        whole = whole.unionByName(cut.select("chrom", F.lit(level).alias("level"), "tile", "tile_seq"))
-    return whole
-
-
 def reference_bases(ref: DataFrame, tile: int = TILE) -> DataFrame:
     """``chrom, pos, ref``, one row per base, exploded tile by tile to keep rows small."""
     tiles = reference_tiles(ref, tile)

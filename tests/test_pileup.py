@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -65,21 +66,52 @@ def test_operation_offsets(aligned):
     ]
 
 
-@pytest.mark.parametrize("levels", [(), ((16, 8),), ((16, 8), (64, 40))])
-def test_reference_under_alignments(aligned, ref, levels):
+@pytest.mark.parametrize(("tile", "overlap"), [(4096, 1024), (16, 8), (16, 0), (64, 40), (7, 300)])
+def test_reference_under_alignments(aligned, ref, tile, overlap):
     seq, frame = ref
     rng = random.Random(5)
     rows = []
     for _ in range(200):
         span = rng.choice([1, 7, 8, 9, 39, 40, 41, 200])
         rows.append((rng.randint(1, 500 - span), f"2S1M{span - 1}D" if span > 1 else "1M", "ACG", None))
-    got = pileup.with_reference(aligned(*rows), frame, levels).collect()
+    got = pileup.with_reference(aligned(*rows), frame, tile, overlap).collect()
     assert len(got) == len(rows)
     for r in got:
         span = 1 if r.cigar == "1M" else int(r.cigar[4:-1]) + 1
         assert r.ref_seq == seq[r.pos - 1 : r.pos - 1 + span]
 
 
+def test_reference_under_spliced_reads(spark):
+    """Introns of 200,000 bases, repeated starts, ends beyond the sequence, starts outside it and missing CIGARs."""
+    rng = random.Random(9)
+    seqs = {name: "".join(rng.choices("ACGT", k=450_000)) for name in ("c1", "c2")}
+    frame = spark.createDataFrame(list(seqs.items()), "chrom string, seq string")
+    rows = [("c1", rng.randint(1, 240_000), "5M200000N5M", i) for i in range(6)] + [("c2", 4097, "5M8192N5M", i) for i in range(40)]
+    rows += [("c2", 4096, "5M", 0), ("c2", 449_999, "5M3000N5M", 0)]
+    lost = [("c1", 450_000 + 8192, "5M2000N5M", 0), ("c1", 0, "5M2000N5M", 0), ("c3", 1, "5M2000N5M", 0), ("c1", None, "5M2000N5M", 0)]
+    reads = spark.createDataFrame([*rows, *lost, ("c1", 7, None, 0)], "chrom string, pos int, cigar string, level int").repartition(4)
+    got = pileup.with_reference(reads, frame)
+    span = lambda cigar: sum(map(int, re.findall(r"\d+", cigar)))
+    want = [(*r, seqs[r[0]][r[1] - 1 : r[1] - 1 + span(r[2])]) for r in rows]
+    assert sorted(map(tuple, got.where("cigar is not null").collect())) == sorted(want)
+    assert [tuple(r) for r in got.where("cigar is null").collect()] == [("c1", 7, None, 0, None)]
+    assert pileup.with_reference(reads.limit(0), frame).count() == pileup.with_reference(reads, frame.limit(0)).count() == 0
+
+
+def test_tiles_are_shuffled_once(spark, aligned, ref):
+    """Without broadcasts the tiles of short and of spliced reads are one exchange."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = pileup.with_reference(aligned((5, "5M", "ACGTA", None), (9, "2M30N3M", "ACGTA", None)), ref[1], 16, 8)
+        assert got.count() == 2
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(rows) == 2 and plan.split("Initial Plan")[0].count("ReusedExchange") == 1
+
+
 def test_gapped_strings(aligned, ref):
     seq, frame = ref
     rows = pileup.with_reference(aligned((5, "2S3M1I2D2M", "NNACGTCA", None)), frame)

@@ -48,6 +48,30 @@ def test_order_and_rank(spark):
     assert ranks == want
 
 
+def test_rank_of_ties_and_nulls(spark):
+    """A position with a third of all reads, whole rows that repeat, null keys, one range with rows, no rows."""
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", "b", None]), rng.choice([None, 7, 7, rng.randint(1, 99)]), f"q{rng.randint(1, 60)}", 0) for _ in range(900)]
+    sam = spark.createDataFrame(rows, "rname string, pos int, qname string, flag int").repartition(6)
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2])
+    for frame, some in ((sam, rows), (sam.limit(1), None), (sam.limit(0), [])):
+        got = sorted(map(tuple, coordinates.with_coordinate_rank(frame).collect()), key=lambda r: (r[0] or "", r[4]))
+        if some is None:
+            assert [r[4] for r in got] == [1]
+            continue
+        want = []
+        for name in (None, "a", "b"):
+            group = sorted((r for r in some if r[0] == name), key=key)
+            want += [(*r, i) for i, r in enumerate(group, 1)]
+        assert got == want
+
+
+def test_rank_keeps_no_copy(spark):
+    sam = coordinates.mapped_reads(parse_sam(lines_of(spark, body(50))))
+    plan = coordinates.with_coordinate_rank(sam)._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan and "Sort" not in plan
+
+
 def test_blocks(spark):
     lines = lines_of(spark, HEADER + body(100))
     sam = coordinates.mapped_reads(parse_sam(lines))
