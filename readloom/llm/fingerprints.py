@@ -1,13 +1,15 @@
 """Document fingerprints: a Merkle tree over the sections and paragraphs of a text.
 
-A paragraph is a line. Its leaves are its phrases, runs of up to ``PHRASE`` words; a section is a run of paragraphs
-that ends with one whose hash is 0 modulo ``SECTION``, so an edit moves no later border; its hash is that of
-its paragraphs' hashes, and the root's that of the sections' hashes. Equal roots mean equal texts.
-Differing sections, then differing paragraphs below them, locate an edit.
+A paragraph is a line. Its leaves are its phrases, runs of words that end with one whose hash is 0 modulo ``PHRASE``;
+a section is a run of paragraphs that ends with one whose hash is 0 modulo ``SECTION``. So an edit moves no later border
+of either. A section's hash is that of its paragraphs' hashes, and the root's that of the sections' hashes. Equal roots
+mean equal texts. Differing sections, then differing paragraphs below them, locate an edit.
 
 A fingerprint is one string: ``root:phrases``, the root as SHA-256 and eight digits for each phrase,
-sections divided by ``/`` and paragraphs by ``,``. The likeness of two fingerprints is 1 for equal roots, else the
-Dice share of their distinct phrases.
+sections divided by ``/`` and paragraphs by ``,``. The likeness of two fingerprints walks down both trees: 1 for equal
+roots; else sections that both have count whole, the others are opened, paragraphs that both have count whole, and
+only the phrases of the others are compared. Each branch is matched as often as both have it, so the result is the share
+of phrases, with repeats, that the two have in common. Texts without a word are like nothing but their equals.
 
 Everything is a Spark expression on one row. To find each document's neighbour, ids alone are range
 partitioned; the largest id of each range is its bound, and the first document of a range is copied to
@@ -16,6 +18,8 @@ the range before it. One shuffle then brings every text beside the next.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,13 +36,15 @@ def tree(text: Column) -> Column:
 
     A section holds its paragraphs' hashes divided by commas, ``phrases`` the digits of all phrases.
     """
-    pattern = F.lit(rf"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*){{1,{PHRASE}}}")
+    word, border = F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), "\x00"
     digits = lambda c: F.substring(F.lpad(F.lower(F.hex(F.xxhash64(c))), 16, "0"), 9, 8)
 
     def paragraph(line: Column) -> Column:
         # The line itself is hashed, for its blanks before the first word.
-        hashed, phrases = F.sha2(line.cast("binary"), 256), F.transform(F.regexp_extract_all(line, pattern, F.lit(0)), digits)
-        return F.struct(hashed.alias("hash"), F.array_join(phrases, "").alias("phrases"))
+        ends = lambda w: F.when(F.xxhash64(w) % PHRASE == 0, F.concat(w, F.lit(border))).otherwise(w)
+        marked = F.array_join(F.transform(F.regexp_extract_all(line, word, F.lit(0)), ends), "")
+        phrases = F.filter(F.split(marked, border), lambda p: p != "")
+        return F.struct(F.sha2(line.cast("binary"), 256).alias("hash"), F.array_join(F.transform(phrases, digits), "").alias("phrases"))
 
     def whole(paragraphs: Column) -> Column:
         mark = lambda p: F.when(F.conv(F.substring(p["hash"], 1, 4), 16, 10).cast("int") % SECTION == 0, "/").otherwise(",")
@@ -50,9 +56,12 @@ def tree(text: Column) -> Column:
         root = F.sha2(F.array_join(F.transform(sections, section_hash), "").cast("binary"), 256)
         return F.struct(root.alias("root"), sections.alias("sections"), lines["phrases"].alias("phrases"))
 
-    # Each step is named by the one element of an array, so that it is computed once.
-    named = lambda value, use: F.get(F.transform(F.array(value), use), 0)
-    return named(named(F.transform(F.split(text, "\n", -1), paragraph), whole), rooted)
+    return _named(_named(F.transform(F.split(text, "\n", -1), paragraph), whole), rooted)
+
+
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value as the one element of an array, so that it is computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def section_hash(section: Column) -> Column:
@@ -61,20 +70,53 @@ def section_hash(section: Column) -> Column:
 
 def fingerprint(text: Column) -> Column:
     """The tree of a text as a string."""
-    joined = lambda t: F.concat(t["root"], F.lit(":"), t["phrases"])
-    return F.get(F.transform(F.array(tree(text)), joined), 0)
+    return _named(tree(text), lambda t: F.concat(t["root"], F.lit(":"), t["phrases"]))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """From 0 to 1 for two fingerprint strings."""
-    phrases = lambda c: F.array_distinct(F.regexp_extract_all(F.substring_index(c, ":", -1), F.lit("[0-9a-f]{8}"), F.lit(0)))
-    pair = F.struct(phrases(a).alias("a"), phrases(b).alias("b"))
+def _copies(parts: Column, mark: str) -> Column:
+    """``part:k`` for the k-th copy of each part; ``mark`` is in none of them."""
+    # Sorted copies are one run of the joined text, so each part is looked at once.
+    runs = F.regexp_extract_all(F.array_join(F.array_append(F.array_sort(parts), ""), mark), F.lit(rf"([^{mark}]*+{mark})\1*+"), F.lit(0))
 
-    def dice(p: Column) -> Column:
-        both = F.size(p["a"]) + F.size(p["b"])
-        return F.when(both == 0, 0.0).otherwise(2.0 * F.size(F.array_intersect(p["a"], p["b"])) / both)
+    def numbered(run: Column) -> Column:
+        part = F.substring_index(run, mark, 1)
+        times = (F.length(run) / (F.length(part) + 1)).cast("int")
+        return F.transform(F.sequence(F.lit(1), times), lambda k: F.concat(part, F.lit(":"), k.cast("string")))
 
-    return F.when(F.substring(a, 1, 64) == F.substring(b, 1, 64), 1.0).otherwise(F.transform(F.array(pair), dice)[0])
+    return F.flatten(F.transform(runs, numbered))
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """From 0 to 1 for two fingerprint strings."""
+    bare = lambda c: F.substring_index(c, ":", 1)
+    n_digits = lambda c: F.length(F.translate(c, ",/", ""))
+
+    def level(cut: Callable[[Column], Column], mark: str) -> Callable[[Column], Column]:
+        """Counts what both sides have and leaves the rest, to be opened."""
+
+        def matched(p: Column) -> Column:
+            both = F.array_intersect(p["a"], p["b"])
+            return F.struct(p["a"].alias("a"), p["b"].alias("b"), p["common"].alias("common"), both.alias("both"))
+
+        def rest(p: Column) -> Column:
+            left = lambda side: F.array_join(F.transform(F.array_except(p[side], p["both"]), bare), ",").alias(side)
+            shared = F.aggregate(p["both"], F.lit(0), lambda total, part: total + n_digits(bare(part)))
+            return F.struct(left("a"), left("b"), (p["common"] + shared).alias("common"))
+
+        def step(p: Column) -> Column:
+            sides = (_copies(cut(p[side]), mark).alias(side) for side in ("a", "b"))
+            return _named(_named(F.struct(*sides, p["common"].alias("common")), matched), rest)
+
+        return step
+
+    phrases = lambda c: F.substring_index(c, ":", -1)
+    state = F.struct(phrases(a).alias("a"), phrases(b).alias("b"), F.lit(0).alias("common"))
+    state = _named(state, level(lambda c: F.split(c, "/"), "/"))
+    state = _named(state, level(lambda c: F.split(c, ","), ","))
+    state = _named(state, level(lambda c: F.regexp_extract_all(c, F.lit("[0-9a-f]{8}"), F.lit(0)), ","))
+    total = n_digits(phrases(a)) + n_digits(phrases(b))
+    dice = F.when(total == 0, 0.0).otherwise(2.0 * state["common"] / total)
+    return F.when(F.substring(a, 1, 64) == F.substring(b, 1, 64), 1.0).otherwise(dice)
 
 
 def edited_paragraphs(a: Column, b: Column) -> Column:
