@@ -19,27 +19,35 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom.llm.common import stored
 
 MARKS = re.compile(r"^(?:[ \t]*>)+[ \t]?")
+# A line of one's own that begins like a quote has a backslash before it where marks are escaped.
+ESCAPED = re.compile(r"^\\+[ \t]*>")
 FULL, OWN, PARAGRAPH = 0, 1, 2
 # Bits for the turns of a conversation in an id.
 WIDTH = 20
 
 
-def levels(text: str) -> list[tuple[int, str]]:
-    """Quote level and bare text of each line."""
+def levels(text: str, escaped: bool = False) -> list[tuple[int, str]]:
+    """Quote level and bare text of each line; ``escaped`` takes one backslash from what ``escape`` has put before it."""
     out = []
     for line in text.split("\n"):
         marks = MARKS.match(line)
-        out.append((marks[0].count(">"), line[marks.end() :]) if marks else (0, line))
+        level, bare = (marks[0].count(">"), line[marks.end() :]) if marks else (0, line)
+        out.append((level, bare[1:] if escaped and ESCAPED.match(bare) else bare))
     return out
 
 
+def escape(text: Column) -> Column:
+    """Text whose lines are all of level 0 for ``levels(..., escaped=True)``, which gives them back."""
+    return F.regexp_replace(text, r"(?m)^(?=\\*[ \t]*>)", r"\\")
+
+
 def normal(lines: list[str]) -> str:
     return " ".join(" ".join(lines).lower().split())
 
@@ -65,7 +73,7 @@ def passages(lines: list[tuple[int, str]], level: int) -> list[tuple[int, bytes]
     return sorted(out)
 
 
-def parsed(messages: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def parsed(messages: DataFrame, id_col: str, text_col: str, escaped: bool = False) -> DataFrame:
     """``message_id, own, side, kind, hash``: own text with no quotes, and a row for each passage; side is its quote level."""
     schema = pa.schema([("message_id", pa.int64()), ("own", pa.string()), ("side", pa.int32()), ("kind", pa.int32()), ("hash", pa.binary())])
     rows = messages.select(F.col(id_col).cast("long").alias("message_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -74,7 +82,7 @@ def parsed(messages: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for part in parts:
             out = []
             for i, text in zip(part["message_id"].to_pylist(), part["text"].to_pylist()):
-                lines = levels(text)
+                lines = levels(text, escaped)
                 out.append((i, "\n".join(t for n, t in lines if n == 0).strip(), -1, 0, None))
                 out += [(i, None, side, *p) for side in sorted({n for n, _ in lines}) for p in passages(lines, side)]
             if out:
@@ -123,7 +131,9 @@ def roots(parents: DataFrame) -> DataFrame:
     return now.select("message_id", F.col("top").alias("conversation_id"), "depth")
 
 
-def conversations(messages: DataFrame, id_col: str = "message_id", text_col: str = "text", time_col: str | None = None) -> DataFrame:
+def conversations(
+    messages: DataFrame, id_col: str = "message_id", text_col: str = "text", time_col: str | None = None, escaped: bool = False
+) -> DataFrame:
     """``message_id, parent_id, conversation_id, depth, level, own`` of every message.
 
     Parents are earlier by ``time_col`` and id, by id alone without such a column. ``level`` is the quote level at which
@@ -131,8 +141,9 @@ def conversations(messages: DataFrame, id_col: str = "message_id", text_col: str
 
     A message without a found quote starts a conversation of its own. ``own`` has no quotes; null and empty texts
     are empty, quote nothing and are quoted by none. Repeated rows stay; rows of a null id are never linked.
+    ``escaped`` is for texts whose own lines went through ``escape``.
     """
-    found = stored(parsed(messages, id_col, text_col), "passages")
+    found = stored(parsed(messages, id_col, text_col, escaped), "passages")
     times = time_col and messages.select(F.col(id_col).cast("long").alias("message_id"), F.col(time_col).alias("at"))
     parents = stored(links(found, times), "links")
     own = found.where("side = -1").select("message_id", "own")
@@ -183,14 +194,20 @@ def numbered(turns: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def quoting_messages(turns: DataFrame) -> DataFrame:
-    """Conversation turns as messages that quote the two turns before them: ``message_id, text``."""
-    text = F.coalesce(F.regexp_replace("text", r"(?m)^(?:[ \t]*>)+", ""), F.lit(""))
-    rows = numbered(turns.where("conv_id is not null").select("conv_id", "turn", text.alias("text")))
+    """Conversation turns as messages that quote the two turns before them: ``message_id, text``.
+
+    A turn's own lines that begin like a quote are escaped. A turn without ``conv_id`` belongs to no conversation: it
+    is a message of null id that quotes nothing. Turns of equal number follow each other by text; null texts are empty.
+    """
+    text = F.coalesce(escape(F.col("text")), F.lit("")).alias("text")
+    own = turns.select("conv_id", "turn", text)
+    rows = numbered(own.where("conv_id is not null"))
     quoted = lambda c, mark: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit(mark), F.replace(F.col(c), F.lit("\n"), F.lit("\n" + mark)), F.lit("\n")))
-    return rows.select("message_id", F.concat(quoted("two", ">> "), quoted("one", "> "), "text").alias("text"))
+    messages = rows.select("message_id", F.concat(quoted("two", ">> "), quoted("one", "> "), "text").alias("text"))
+    return messages.unionByName(own.where("conv_id is null").select(F.lit(None).cast("long").alias("message_id"), "text"))
 
 
 def op8_quotes(spark, sf_dir: str) -> DataFrame:
     messages = quoting_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    found = conversations(messages)
+    found = conversations(messages, escaped=True)
     return found.select("message_id", "parent_id", "conversation_id", "depth", F.char_length("own").cast("long").alias("own_chars"))

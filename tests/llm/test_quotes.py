@@ -2,6 +2,8 @@
 
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from readloom.llm import quotes as Q
 
 
@@ -80,3 +82,19 @@ def test_deep_levels(spark):
     want = {1: (None, None, 1), 2: (None, None, 2), 3: (1, 2, 1), 4: (1, 3, 1), 5: (3, 1, 1), 6: (None, None, 6), 0: (None, None, 0)}
     assert by(Q.conversations(messages)) == want
     assert by(Q.conversations(messages, time_col="at")) == want | {0: (6, 1, 6)}
+
+
+def test_turns_with_marks_and_without_conversation(spark, tmp_path):
+    """Own lines that look like quotes come back whole, also where they are quoted; turns of no conversation stay."""
+    own = [">>> x = 1\n  > y\nz", "\\> kept", "\\\\ >two\n> > three", ">", "plain", None]
+    rows = [(1, k, t) for k, t in enumerate(own)] + [(None, 0, "> alone"), (None, None, "alone"), (None, 2, None), (2, None, "plain")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    escaped = [r.e for r in turns.where("conv_id = 1 and text is not null").select(Q.escape(F.col("text")).alias("e")).collect()]
+    assert [Q.levels(e, True) for e in escaped] == [[(0, line) for line in t.split("\n")] for t in own[:-1]]
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    got = Q.op8_quotes(spark, str(tmp_path)).collect()
+    width = 1 << Q.WIDTH
+    links = {r.message_id: (r.parent_id, r.conversation_id, r.depth, r.own_chars) for r in got if r.message_id is not None}
+    want = {width + k: (width + k - 1 if k > 1 else None, width + 1, k - 1, len((t or "").strip())) for k, t in enumerate(own, 1)}
+    assert links == want | {2 * width + 1: (None, 2 * width + 1, 0, 5)}
+    assert sorted(tuple(r)[1:] for r in got if r.message_id is None) == [(None, None, 0, 0), (None, None, 0, 5), (None, None, 0, 7)]
