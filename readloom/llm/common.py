@@ -31,6 +31,12 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
 
 
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """``doc_id, text`` once for each id of repeated rows: the text of the least hash, then the least text."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return rows.groupBy("doc_id").agg(least).select("doc_id", "least.text")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a step to the shared folder and read it back, so that lost executors cost no recomputation."""
     path = fresh_path(df.sparkSession, name)

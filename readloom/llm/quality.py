@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import documents, texts
+from readloom.llm.common import documents, one_per_id, texts
 
 SAMPLE, WINDOW = 10_000, 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
@@ -147,12 +147,15 @@ def learn_list(x: np.ndarray, bad: np.ndarray) -> list[list[tuple]]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> list[list[tuple]]:
-    """The rules from at most ``sample`` labelled rows that pass the base; the lowest of several labels counts."""
+    """The rules from at most ``sample`` labelled rows that pass the base.
+
+    The lowest of several labels counts, and one of repeated rows of an id.
+    """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("quality"))
     # Only as many ids as the sample has are broadcast.
     chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = statistics(texts(docs, id_col, text_col).join(chosen.select("doc_id"), "doc_id", "left_semi"))
+    rows = statistics(one_per_id(texts(docs, id_col, text_col).join(chosen, "doc_id", "left_semi")))
     rows = rows.join(chosen, "doc_id").where(~base_failed()).collect()
     rows.sort(key=lambda r: (r.doc_id, *r))
     x = np.array([rates(r) for r in rows], float).reshape(-1, len(RATES))

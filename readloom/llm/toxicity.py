@@ -5,6 +5,10 @@ a stem share a weight. Weights minimise the logistic loss over labelled texts, a
 the squared change of the score when identity terms are swapped within their group ("women" for "men").
 A group's mention alone then moves no score, whatever labels its texts happen to have.
 
+Groups come from a list of terms and from the labelled texts: two words that stand between the same neighbours, and
+that toxic and other texts hold equally often, are swapped for each other. A text gets a counterfactual where the
+swap changes its words.
+
 Tasks turn labelled texts into hashed features; the driver fits on at most ``SAMPLE`` rows of them, the first
 by a hash of their id. Features are chosen by the difference of their shares among toxic and other rows. All
 documents are scored in their partitions without a shuffle; a text's length has no say but by its words.
@@ -21,13 +25,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import documents, texts
+from readloom.llm.common import documents, one_per_id, stored, texts
 
 SAMPLE = 10_000
 PREFIXES = (4, 5, 6, 7)
 FEATURES, LEAST = 4_000, 3
 RIDGE, FAIR, STEPS = 2.0, 1.0, 60
 THRESHOLD = 0.3
+# Derived groups: so many frequent words are looked at; words of a group differ by at most so many standard errors between
+# the labels, stand in so many rows of either label, and have contexts of at least this cosine.
+FREQUENT, EVEN, BOTH, ALIKE = 512, 1.0, 5, 0.5
 TOKEN = re.compile(r"[^\W\d_]+")
 
 # Identity terms; a term is swapped for the next of its line.
@@ -66,6 +73,47 @@ def swaps(lines: str = IDENTITY) -> dict[str, str]:
     return {term: group[(i + 1) % len(group)] for group in groups for i, term in enumerate(group)}
 
 
+def derived_swaps(rows: DataFrame) -> dict[str, str]:
+    """Pairs of words to swap, from ``toxic, text``: neutral ones, the likest by their neighbours first.
+
+    Of the ``FREQUENT`` words that most rows hold, those that are neither in more than half of the rows nor in one label
+    more than in the other are compared by the frequent words before and after them. Only counts of these words come to
+    the driver.
+    """
+    words = rows.select("toxic", F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)).alias("words"))
+    n, n1 = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    held = words.select("toxic", F.explode(F.array_distinct("words")).alias("word")).groupBy("word")
+    top = held.agg(F.count("*").alias("n"), F.sum("toxic").alias("n1")).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+
+    def even(r) -> bool:
+        c0, p = r.n - r.n1, r.n / n
+        error = np.sqrt(p * (1 - p) * (1 / n1 + 1 / (n - n1))) if 0 < n1 < n else 0
+        return r.n <= n / 2 and min(r.n1, c0) >= BOTH and abs(r.n1 / n1 - c0 / (n - n1)) <= EVEN * error
+
+    neutral = [r.word for r in top if even(r)]
+    if len(neutral) < 2:
+        return {}
+    spark = rows.sparkSession
+    kept = F.broadcast(spark.createDataFrame([(w, i) for i, w in enumerate(neutral)], "word string, i int"))
+    near = F.broadcast(spark.createDataFrame([(r.word, j) for j, r in enumerate(top)], "near string, j int"))
+    around = lambda w, i: F.struct(w.alias("word"), F.array(F.get("words", i - 1), F.get("words", i + 1)).alias("both"))
+    placed = words.select(F.explode(F.transform("words", around)).alias("at")).select("at.word", "at.both").join(kept, "word")
+    sides = placed.select("i", F.posexplode("both").alias("side", "near")).join(near, "near")
+    seen = np.zeros((len(neutral), 2 * len(top)))
+    for r in sides.groupBy("i", "side", "j").agg(F.count("*").alias("n")).collect():
+        seen[r.i, r.side * len(top) + r.j] = np.sqrt(r.n)
+    seen /= np.maximum(np.linalg.norm(seen, axis=1, keepdims=True), 1e-12)
+    alike = seen @ seen.T
+    pairs: dict[str, str] = {}
+    for at in np.argsort(-alike, axis=None, kind="stable"):
+        a, b = divmod(int(at), len(neutral))
+        if alike[a, b] < ALIKE:
+            break
+        if a < b and not {neutral[a], neutral[b]} & pairs.keys():
+            pairs |= {neutral[a]: neutral[b], neutral[b]: neutral[a]}
+    return pairs
+
+
 def word_features(word: str) -> list[int]:
     parts = [f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)]
     return [xxhash.xxh64_intdigest(p) >> 1 for p in parts]
@@ -83,7 +131,7 @@ def features(words: set[str], known: dict[str, list[int]]) -> np.ndarray:
 
 
 def labelled_features(rows: DataFrame, terms: dict[str, str]) -> DataFrame:
-    """``toxic, own, swapped``: sorted features of ``text`` and of its counterfactual, null if it has no identity term."""
+    """``toxic, own, swapped``: sorted features of ``text`` and of its counterfactual, null if a swap changes no word of it."""
     schema = pa.schema([("toxic", pa.int32()), ("own", pa.list_(pa.int64())), ("swapped", pa.list_(pa.int64()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +141,8 @@ def labelled_features(rows: DataFrame, terms: dict[str, str]) -> DataFrame:
             for text in map(pa.StringScalar.as_py, part["text"]):
                 words = set(TOKEN.findall(text.lower()))
                 own.append(features(words, known))
-                other.append(features({terms.get(w, w) for w in words}, known) if words & terms.keys() else None)
+                turned = {terms.get(w, w) for w in words}
+                other.append(features(turned, known) if turned != words else None)
             columns = [part["toxic"], pa.array(own, pa.list_(pa.int64())), pa.array(other, pa.list_(pa.int64()))]
             yield pa.record_batch(columns, schema=schema)
 
@@ -131,11 +180,13 @@ def fit(own: list, swapped: list, toxic: np.ndarray, ridge: float = RIDGE, fair:
     weight before many faint ones do.
     """
     own = [np.asarray(o, np.int64) for o in own]
-    pairs = [(o, np.asarray(s, np.int64)) for o, s in zip(own, swapped) if s is not None]
+    # Only what a swap takes and brings matters for the change of a score.
+    swapped = [None if s is None else np.asarray(s, np.int64) for s in swapped]
+    pairs = [(np.setdiff1d(o, s), np.setdiff1d(s, o)) for o, s in zip(own, swapped) if s is not None]
     kinds, z = choose(own, toxic)
     firm = ridge * (np.median(z) / z) ** 2 if len(z) else z
     if pairs:
-        chosen, kinds = kinds, np.union1d(kinds, np.concatenate([np.setxor1d(o, s) for o, s in pairs]))
+        chosen, kinds = kinds, np.union1d(kinds, np.concatenate([f for pair in pairs for f in pair]))
         all_firm = np.full(len(kinds), firm.max() if len(firm) else ridge)
         all_firm[np.searchsorted(kinds, chosen)] = firm
         firm = all_firm
@@ -194,13 +245,19 @@ def held_out(doc_id):
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", terms: dict[str, str] | None = None):
-    """Fit on at most ``sample`` labelled rows that are not held out; a document with several labels is toxic if one says so."""
+    """Fit on at most ``sample`` labelled rows that are not held out.
+
+    A document with several labels is toxic if one says so; of repeated rows of an id one counts.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     # Only as many ids as the sample has are broadcast.
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    whole = texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-    rows = labelled_features(whole, swaps() if terms is None else terms)
+    chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    whole = one_per_id(texts(docs, id_col, text_col).join(chosen, "doc_id", "left_semi")).join(chosen, "doc_id")
+    if terms is None:
+        whole = stored(whole.select("toxic", "text"), "labelled")
+        terms = derived_swaps(whole) | swaps()
+    rows = labelled_features(whole, terms)
     got = rows.toArrow()
     return fit(list(_lists(got["own"])), list(_lists(got["swapped"])), got["toxic"].to_numpy().astype(float))
 

@@ -88,3 +88,13 @@ def test_query(spark, sf, right):
     assert sum(r.kept == quality[r.doc_id] for r in judged) / len(judged) > right
     clean = [r.kept for r in judged if quality[r.doc_id] == 1]
     assert np.mean(clean) > 0.97
+
+
+def test_sample_bounds_rows(spark, monkeypatch):
+    """Thousands of rows of one labelled id are one row of the fit."""
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(0, f"{text} {i % 7}") for i in range(8000)] + [(1, text), (None, text)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (0, 2), (1, 1), (2, 1), (None, 1)], "doc_id long, quality int")
+    monkeypatch.setattr(Q, "learn_list", lambda x, bad: bad.tolist())
+    assert Q.learn(docs, labels) == [True, False]
+    assert len(Q.learn(docs, labels, sample=1)) <= 1

@@ -79,3 +79,45 @@ def test_query(spark):
     got = T.op3_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
     hit, said = ((got.predicted == 1) & (got.toxic == 1)).sum(), (got.predicted == 1).sum()
     assert hit / (got.toxic == 1).sum() > 0.88 and hit / said > 0.93
+
+
+def test_sample_bounds_rows(spark, monkeypatch):
+    """Thousands of rows of one labelled id are one row of the fit."""
+    docs = spark.createDataFrame([(0, f"text {i % 7}") for i in range(8000)] + [(1, None), (3, "c"), (None, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(12)] + [(0, 0)] * 3, "doc_id long, toxic int")
+    monkeypatch.setattr(T, "fit", lambda own, swapped, toxic: (len(own), len(swapped), toxic.tolist()))
+    kept = len([i for i in (0, 1, 3) if zlib.crc32(str(i).encode()) % 4 != 2])
+    assert T.learn(docs, labels) == (kept, kept, [1.0] * kept)
+    rows = T.learn(docs, labels, sample=2)[0]
+    assert rows <= 2
+
+
+def test_derived_swaps(spark):
+    """Two words of the same contexts and of both labels are swapped; toxic words, and words of other contexts, are not."""
+    rows = []
+    for i in range(400):
+        insult = ["you awful", "you nasty"][i // 4 % 2] if i % 4 == 0 else "my friend"
+        rows.append((int(i % 4 == 0), f"the {['red', 'blue'][i // 4 % 2]} house stands here {insult}"))
+    frame = spark.createDataFrame([*rows, (0, ""), (1, None)], "toxic int, text string")
+    got = T.derived_swaps(frame)
+    assert got["red"] == "blue" and got["blue"] == "red" and not {"awful", "nasty"} & {*got, *got.values()}
+    assert T.derived_swaps(frame.limit(0)) == T.derived_swaps(frame.where("toxic = 1")) == {}
+
+
+def test_counterfactuals_of_the_given_tables(spark, monkeypatch):
+    """Swapped texts exist in the given tables, their scores come closer by the penalty, held-out accuracy stays."""
+    sf, taken = "/root/testdata/sf0.01", []
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    fit = T.fit
+    monkeypatch.setattr(T, "fit", lambda *a: taken.append(a) or fit(*a))
+    T.learn(docs, labels)
+    own, swapped, toxic = taken[0]
+    pairs = [(o.tolist(), s.tolist()) for o, s in zip(own, swapped) if s is not None]
+    assert len(pairs) > 20
+
+    def gap(fair):
+        kinds, w, _ = fit(own, swapped, toxic, fair=fair)
+        at = dict(zip(kinds.tolist(), w))
+        return np.mean([(sum(at.get(f, 0) for f in s) - sum(at.get(f, 0) for f in o)) ** 2 for o, s in pairs])
+
+    assert gap(T.FAIR) < 0.5 * gap(0.0)
