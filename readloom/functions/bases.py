@@ -14,13 +14,7 @@ def gc_count(bases: Column) -> Column:
     return F.length(bases) - F.length(F.replace(F.replace(bases, F.lit("G")), F.lit("C")))
 
 
-def base_counts(base: Column) -> list[Column]:
-    """Aggregates total, a, t, c, g, n over one row per base."""
-    called = [F.count_if(base == b).alias(b.lower()) for b in CALLED]
-    return [F.count("*").alias("total"), *called, F.count_if(~base.isin(*CALLED)).alias("n")]
-
-
 def base_sums(base: Column, n: Column) -> list[Column]:
-    """The same aggregates over rows that stand for ``n`` equal bases."""
+    """Aggregates total, a, t, c, g, n over rows that stand for ``n`` equal bases."""
     called = [F.sum(F.when(base == b, n).otherwise(0)).alias(b.lower()) for b in CALLED]
     return [F.sum(n).alias("total"), *called, F.sum(F.when(base.isin(*CALLED), 0).otherwise(n)).alias("n")]

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.functions.bases import base_counts
+from readloom.functions.bases import CALLED
+from readloom.functions.batches import alike, cigar_steps, codes, single_bytes
 from readloom.functions.cigar import ALIGNED, USES_READ, USES_REF, cigar_items, reference_span
 from readloom.sources.reference import OVERLAP, TILE, reference_tiles
 
 LOCUS_BIN = 1 << 10
+COUNTS = ["total", *(b.lower() for b in CALLED), "n"]
+# Class of each character: that of a called base, any other, and of a base that a read lacks though it has its quality.
+OTHER, ABSENT, KINDS = len(CALLED), len(CALLED) + 1, len(CALLED) + 2
+KIND = np.full(256, OTHER, np.int8)
+KIND[[ord(b) for b in CALLED]] = range(OTHER)
 
 
 def cigar_ops(alignments: DataFrame) -> DataFrame:
@@ -96,14 +107,6 @@ def has_quality() -> Column:
     return (F.col("qual") != "*") | (F.length("bases") == 1)
 
 
-def aligned_segments(alignments: DataFrame) -> DataFrame:
-    """One row per gap-free stretch: ``chrom, pos, bases, qual``, cut to the stretch."""
-    stretches = F.filter(cigar_items(F.col("cigar")), lambda it: it["op"].isin(*ALIGNED))
-    each = alignments.select("chrom", "pos", "bases", "qual", F.explode(stretches).alias("s"))
-    cut = lambda text: F.substring(text, F.col("s.read_off") + 1, F.col("s.len")).alias(text)
-    return each.select("chrom", (F.col("pos") + F.col("s.ref_off")).alias("pos"), cut("bases"), cut("qual"))
-
-
 def gather_by_locus(alignments: DataFrame, width: int = LOCUS_BIN) -> DataFrame:
     """Bring reads of one region together before they are exploded into bases.
 
@@ -116,9 +119,61 @@ def gather_by_locus(alignments: DataFrame, width: int = LOCUS_BIN) -> DataFrame:
     return keyed.hint("rebalance", "chrom", "_bin").drop("_bin")
 
 
-def locus_counts(bases: DataFrame) -> DataFrame:
-    """``chrom, pos, total, a, t, c, g, n`` of one row per counted base."""
-    return bases.groupBy("chrom", "pos").agg(*base_counts(F.col("base")))
+def _tally(least: int):
+    """Counts per position of the bases of a batch whose quality character reaches ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _tallied(batch, least)
+
+    return run
+
+
+def _tallied(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
+    chroms = batch["chrom"].dictionary_encode()
+    names = len(chroms.dictionary) + 1
+    owner = pc.fill_null(chroms.indices, names - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+    placed = batch["pos"].is_valid().to_numpy(zero_copy_only=False)
+    pos = pc.fill_null(batch["pos"], 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    bases, quals = single_bytes(batch["bases"]), single_bytes(batch["qual"])
+    sizes = [pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (bases, quals)]
+
+    found = []
+    for cigar, rows in alike(batch["cigar"], *sizes, placed):
+        l, n = (int(x[rows[0]]) for x in sizes)
+        kinds = np.full((len(rows), n), ABSENT, np.int8)
+        kinds[:, :l] = KIND[codes(bases.take(pa.array(rows)), l)[:, :n]]
+        columns = np.full(n, -1)
+        for op, size, read_off, ref_off in cigar_steps(cigar):
+            if op in ALIGNED and read_off < n:
+                columns[read_off : read_off + size] = ref_off + np.arange(min(size, n - read_off))
+                if read_off >= l:
+                    kinds[:, read_off] = OTHER
+        on = np.flatnonzero(columns >= 0)
+        good = (codes(quals.take(pa.array(rows)), n) >= least)[:, on]
+        # A read without a position counts at none.
+        at = pos[rows][:, None] + (columns[on] if placed[rows[0]] else np.zeros(len(on), np.int64))
+        name = owner[rows] + (0 if placed[rows[0]] else names)
+        found.append((np.broadcast_to(name[:, None], at.shape)[good], at[good], kinds[:, on][good]))
+
+    name, at, kind = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+    low = at.min() if len(at) else 0
+    span = int(at.max() - low) + 1 if len(at) else 1
+    key = ((name * span) + (at - low)) * KINDS + kind
+    if 2 * names * span * KINDS <= max(1 << 16, 4 * len(key)):
+        counts = np.bincount(key, minlength=2 * names * span * KINDS).reshape(-1, KINDS)
+        loci = np.flatnonzero(counts.any(1))
+        counts = counts[loci]
+    else:
+        kept, times = np.unique(key, return_counts=True)
+        loci, row = np.unique(kept // KINDS, return_inverse=True)
+        counts = np.zeros((len(loci), KINDS), np.int64)
+        counts[row, kept % KINDS] = times
+    name, where = loci // span, loci % span + low
+    known = pa.array(name % names, mask=name % names == names - 1)
+    columns = [chroms.dictionary.take(known), pa.array(where.astype(np.int32), mask=name >= names), counts.sum(1)]
+    return pa.record_batch([*columns, *(counts[:, k] for k in range(OTHER + 1))], names=["chrom", "pos", *COUNTS])
 
 
 def with_reference_base(loci: DataFrame, ref: DataFrame, tile: int = TILE) -> DataFrame:
@@ -140,14 +195,14 @@ def pileup_counts(
     """Counts per position of aligned bases with quality at least ``min_q``.
 
     ``gather=False`` skips the shuffle of reads, for input already in coordinate order. A read without
-    stored qualities counts with quality 0, a read without stored bases not at all.
+    stored qualities counts with quality 0, a read without stored bases not at all. Tasks count the bases of
+    a batch of reads at a time, as arrays, so that no row stands for a single base.
     """
     stored = alignments.where(has_bases()).withColumn(
         "qual", F.when(has_quality(), F.col("qual")).otherwise(F.repeat(F.lit(chr(offset)), F.length("bases")))
     )
-    segments = aligned_segments(gather_by_locus(stored) if gather else stored)
-    chars = F.arrays_zip(F.split("bases", "").alias("base"), F.split("qual", "").alias("q"))
-    each = segments.select("chrom", "pos", F.posexplode(chars).alias("i", "c"))
-    good = each.where(F.ascii(F.col("c.q")) >= offset + min_q)
-    loci = locus_counts(good.select("chrom", (F.col("pos") + F.col("i")).alias("pos"), F.col("c.base").alias("base")))
+    rows = (gather_by_locus(stored) if gather else stored).select("chrom", "pos", "cigar", "bases", "qual")
+    schema = ", ".join(["chrom string", "pos int", *(f"{c} long" for c in COUNTS)])
+    tallied = rows.mapInArrow(_tally(offset + min_q), schema)
+    loci = tallied.groupBy("chrom", "pos").agg(*(F.sum(c).alias(c) for c in COUNTS))
     return loci if ref is None else with_reference_base(loci, ref)

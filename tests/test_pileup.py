@@ -147,3 +147,27 @@ def test_missing_qualities_bases_and_reference(spark):
     assert got == want | {("c", 9): ("A", 1), ("c", 10): ("C", 1), ("c", 11): (None, 1), ("c", 12): (None, 1)}
     high = {(r.chrom, r.pos): r.total for r in pileup.pileup_counts(reads, ref, min_q=20).collect()}
     assert high["c", 3] == high["c", 4] == 1
+
+
+def test_no_row_stands_for_a_base(aligned):
+    """Tasks count the bases of whole batches; nothing is exploded."""
+    counted = pileup.pileup_counts(aligned((10, "5M", "ACGTA", None)))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_counts_of_odd_alignments(spark):
+    """Bases or qualities shorter than the CIGAR, other alphabets, missing positions, names and CIGARs, far positions."""
+    rows = [
+        ("c", 1, "4M", "AC", "IIII"), ("c", 1, "4M", "ACGT", "I!"), ("c", 1, "2M", "Ä\u4e00", "Iß"), ("c", None, "2M", "AC", "II"),
+        (None, 5, "1M", "T", "I"), ("c", 7, None, "T", "I"), ("d", 2_000_000_000, "2S1M2I1M", "NNGAAC", "!!IIII"), ("d", 1, "1M", "g", "I"),
+        ("e", 3, "2M2D1M", "AC", "III"),
+    ]
+    reads = spark.createDataFrame(rows, "chrom string, pos int, cigar string, bases string, qual string").coalesce(1)
+    got = {(r.chrom, r.pos): tuple(r)[2:] for r in pileup.pileup_counts(reads, min_q=20).collect()}
+    assert got == {
+        ("c", 1): (3, 2, 0, 0, 0, 1), ("c", 2): (2, 0, 0, 1, 0, 1), ("c", 3): (1, 0, 0, 0, 0, 0), ("c", 4): (1, 0, 0, 0, 0, 0),
+        ("c", None): (2, 1, 0, 1, 0, 0), (None, 5): (1, 0, 1, 0, 0, 0), ("d", 1): (1, 0, 0, 0, 0, 1),
+        ("d", 2_000_000_000): (1, 0, 0, 0, 1, 0), ("d", 2_000_000_001): (1, 0, 0, 1, 0, 0),
+        ("e", 3): (1, 1, 0, 0, 0, 0), ("e", 4): (1, 0, 0, 1, 0, 0), ("e", 7): (1, 0, 0, 0, 0, 1),
+    }
