@@ -49,10 +49,12 @@ def reads(
     varied: bool = False,
     qualities: str = QUALITIES,
     mates: bool = False,
+    own_bases: bool = True,
 ) -> DataFrame:
     """``header, bases, qual`` and the keys; ``varied`` gives lengths from 24 to 64.
 
-    With ``mates`` neighbouring lines of an order are the two mates of a name.
+    With ``mates`` neighbouring lines of an order are the two mates of a name. Without ``own_bases`` the column
+    ``bases`` is not derived, for reads that take theirs from the reference.
     """
     rows = spread(
         table(spark, sf_dir, "lineitem")
@@ -63,7 +65,7 @@ def reads(
     cut = (lambda c: F.substring(c, F.lit(1), size)) if varied else (lambda c: c)
     derived = rows.select(
         F.concat(F.lit("@R"), *_name(mates)).alias("header"),
-        cut(_letters("b", READ_BASES)).alias("bases"),
+        *([cut(_letters("b", READ_BASES)).alias("bases")] if own_bases else []),
         cut(_letters("q", qualities)).alias("qual"),
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
     )
@@ -80,9 +82,9 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alignments(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """Alignments of four CIGAR kinds, with the keys of their read."""
-    placed = reads(spark, sf_dir).select(
+    placed = reads(spark, sf_dir, where, own_bases=False).select(
         F.concat(F.lit("chr"), (1 + F.col("l_suppkey") % 5).cast("string")).alias("chrom"),
         (1 + (F.col("l_partkey") * 7 + F.col("l_linenumber")) % 500).cast("int").alias("pos"),
         (F.col("l_orderkey") % 4).alias("v"),
