@@ -12,9 +12,3 @@ CALLED = ("A", "T", "C", "G")
 def gc_count(bases: Column) -> Column:
     """Uppercase G and C only."""
     return F.length(bases) - F.length(F.replace(F.replace(bases, F.lit("G")), F.lit("C")))
-
-
-def base_sums(base: Column, n: Column) -> list[Column]:
-    """Aggregates total, a, t, c, g, n over rows that stand for ``n`` equal bases."""
-    called = [F.sum(F.when(base == b, n).otherwise(0)).alias(b.lower()) for b in CALLED]
-    return [F.sum(n).alias("total"), *called, F.sum(F.when(base.isin(*CALLED), 0).otherwise(n)).alias("n")]

@@ -17,26 +17,26 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from readloom.functions.bases import base_sums
-from readloom.functions.cigar import ALIGNED, CIGAR_ITEM, USES_REF, cigar_items
-from readloom.operators.pileup import gather_by_locus, has_bases, has_quality, with_reference, with_reference_base
+from readloom.functions.batches import alike, cigar_steps, codes, single_bytes
+from readloom.functions.cigar import ALIGNED, CIGAR_ITEM, USES_REF
+from readloom.operators.pileup import KIND, LOCI, has_bases, has_quality, loci_of, summed_loci, with_reference, with_reference_base
 
 # Gap opening, gap extension, chance of an inserted base.
 GAP_OPEN, GAP_EXTEND, INSERTED = 0.001, 0.1, 0.25
 
-CLIPPED_OR_PADDED = r"\d+[SHP]"
-
 # Cells per array step, so that its arrays stay in the processor cache; rows between rescalings.
 CELLS, RESCALE = 1 << 16, 8
 # Rows up to which the recurrence along the reference is a plain loop.
 LOOPED = 96
 # Bases of the reads that are scored together.
-BASES = 1 << 20
+BASES = 1 << 21
 
 # The paths outside a band have at most this share of the probability; the first band tried, in diagonals to either side.
 OUTSIDE, NARROW = 1e-12, 8
 # Reference spans up to which the whole matrix is no slower than a band.
-SHORT = 128
+SHORT = 32
+# Bands of up to so many diagonals to either side come in steps of ``STEP``, wider ones in powers of two.
+STEPPED, STEP = 32, 2
 # Weights of an inserted base in the bound on what is outside; an insertion goes on with less than 1 in 40.
 TILTS = np.array([2.0, 4, 8, 16, 32])
 
@@ -177,9 +177,9 @@ def banded(
             into += m
             into += ins
             # What an insertion adds comes from the diagonal above.
-            ins[:-1] = ins[1:]
-            ins[-1] = 0
-            ins *= more_i
+            np.multiply(ins[1:], more_i, out=spare[:-1])
+            spare[-1] = 0
+            ins, spare = spare, ins
             np.multiply(m[1:], open_i, out=spare[:-1])
             ins[:-1] += spare[:-1]
             m = emission(i, m)
@@ -207,11 +207,12 @@ def banded(
         match *= m
         np.multiply(match, open_d, out=dele)
         _carry(dele[::-1], more_d)
-        ins[1:] = ins[:-1]
-        ins[0] = 0
-        np.add(match, ins, out=m)
+        m[0] = match[0]
+        np.add(match[1:], ins[:-1], out=m[1:])
         m[:-1] += dele[1:]
-        ins *= more_i
+        np.multiply(ins[:-1], more_i, out=spare[1:])
+        spare[0] = 0
+        ins, spare = spare, ins
         ins += np.multiply(match, open_i, out=spare)
         if (i + 1) % RESCALE == 0:
             m /= scale[i + 1]
@@ -255,22 +256,62 @@ def halves_needed(reads: np.ndarray, quals: np.ndarray, refs: np.ndarray, total:
     return np.where(np.isfinite(total) & np.isfinite(half), np.maximum(half, 1), np.inf)
 
 
+def path_total(reads: np.ndarray, quals: np.ndarray, refs: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """log10 of the probability of the one path that takes each base to its column, others as inserted.
+
+    Minus infinity or not a number where the model has no such path.
+    """
+    l, width = reads.shape[1], refs.shape[1]
+    go = 1 - 1 / (2 * l)
+    on = columns >= 0
+    same = reads == np.take_along_axis(refs, np.maximum(columns, 0), 1)
+    low = int(quals.min())
+    wrong = 10.0 ** (-np.arange(low, int(quals.max()) + 1) / 10.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        emits = np.concatenate([[np.log10(INSERTED)], np.log10(wrong / 3), np.log10(1 - wrong)])
+    found = emits[np.where(on, quals - low + 1 + same * len(wrong), 0)].sum(1)
+    if (columns == columns[:1]).all():
+        columns, on = columns[:1], on[:1]
+    # Steps from base to base: on, over deleted columns, into, along and out of inserted bases.
+    before, after = on[:, :-1], on[:, 1:]
+    last = np.maximum.accumulate(columns, axis=1)[:, :-1]
+    jump = columns[:, 1:] - last
+    steps = np.log10([(1 - 2 * GAP_OPEN) * go, GAP_OPEN * go, GAP_EXTEND * go, (1 - GAP_EXTEND) * go])
+    taken = np.where(before, np.where(after, 0, 1), np.where(after, 3, 2))
+    deleted = np.where(before & after, jump - 1, 0)
+    over = np.log10(GAP_OPEN * go * (1 - GAP_EXTEND)) - steps[0] + (deleted - 1) * np.log10(GAP_EXTEND)
+    found = found + (steps[taken] + np.where(deleted > 0, over, 0)).sum(1)
+    # Inserted bases lead on to the next column alone; the first column has none before it.
+    broken = after & np.where(before, jump < 1, np.where(last < 0, columns[:, 1:] < 1, jump != 1))
+    found = np.where(broken.any(1), -np.inf, found)
+    return found + np.where(on[:, 0], np.log10((1 - GAP_OPEN) / width), np.log10(GAP_OPEN / width)) + np.log10(1 / (2 * l))
+
+
 def match_posteriors(reads: np.ndarray, quals: np.ndarray, refs: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Match posterior of each base at its column, with an error of at most ``OUTSIDE``.
 
-    A narrow band gives a lower bound of the total, which tells how wide a band leaves out too little to matter. Bands
-    are rounded up to powers of two, so that reads share them; where one is no smaller than the matrix, that is computed.
+    The path of the alignment itself, or a narrow band, gives a lower bound of the total, which tells how wide a band leaves
+    out too little to matter. Bands are rounded up, so that reads share them; where one is no smaller than the matrix, that
+    is computed.
     """
     batch, l = reads.shape
     width = refs.shape[1]
     post, half = np.empty((batch, l)), np.full(batch, np.inf)
     bound = lambda h: 2 * h + 1 + abs(width - l)
-    if width > SHORT and bound(NARROW) < width:
-        # A band without any path has no total.
-        with np.errstate(divide="ignore", invalid="ignore"):
-            total = banded(reads, quals, refs, columns, NARROW, forward_only=True)[1]
-        need = halves_needed(reads, quals, refs, total)
-        half = np.where(np.isfinite(need), np.maximum(2.0 ** np.ceil(np.log2(need)), NARROW), np.inf)
+    if width > SHORT and bound(1) < width:
+        total = path_total(reads, quals, refs, columns)
+        half = halves_needed(reads, quals, refs, total)
+        # Where the alignment itself says little, as with many errors, a narrow band may say more.
+        weak = np.flatnonzero(bound(half) >= min(width, 2 * bound(NARROW)))
+        if len(weak) and bound(NARROW) < width:
+            rows = (reads[weak], quals[weak], refs[weak])
+            # A band without any path has no total.
+            with np.errstate(divide="ignore", invalid="ignore"):
+                total = np.fmax(total[weak], banded(*rows, columns[weak], NARROW, forward_only=True)[1])
+            half[weak] = halves_needed(*rows, total)
+        wide = half > STEPPED
+        half[~wide] = np.ceil(half[~wide] / STEP) * STEP
+        half[wide] = 2.0 ** np.ceil(np.log2(half[wide]))
     half[bound(half) >= width] = np.inf
     for h in np.unique(half):
         members = np.flatnonzero(half == h)
@@ -308,13 +349,6 @@ def cap_quality(post: np.ndarray, quals: np.ndarray) -> np.ndarray:
         return np.where(wrong <= 0, quals, np.minimum(-10 * np.log10(wrong), quals))
 
 
-def _codes(texts: pa.Array, width: int) -> np.ndarray:
-    """Characters of equally long strings as a (rows, width) array."""
-    data = np.frombuffer(texts.buffers()[2], np.uint8) if len(texts) else np.empty(0, np.uint8)
-    first = texts.offset * width
-    return data[first : first + len(texts) * width].reshape(-1, width)
-
-
 def _chars(codes: np.ndarray) -> pa.Array:
     """One-character strings from character codes."""
     flat = np.ascontiguousarray(codes, np.uint8).ravel()
@@ -336,85 +370,87 @@ def base_columns(shape: str, l: int, width: int) -> np.ndarray:
     return np.where(found < width, found, -1)
 
 
-def _tally(scored: pa.RecordBatch, min_baq: float) -> Iterator[pa.RecordBatch]:
-    """Counts per position and base of the bases that reach ``min_baq``."""
-    good = pa.Table.from_batches([scored]).filter(pc.field("baq") >= min_baq)
-    counted = good.group_by(["chrom", "pos", "base"], use_threads=False).aggregate([([], "count_all")])
-    yield from counted.rename_columns(["chrom", "pos", "base", "count"]).combine_chunks().to_batches()
-
-
 def _score(offset: int, min_baq: float | None = None):
-    """Scored bases, or their tally when a threshold is given."""
+    """Scored bases, or their counts per position when a threshold is given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.select(["l", "width"]).to_pandas()
-            for (l, width), members in sizes.groupby(["l", "width"]).indices.items():
-                if l == 0 or width == 0:
-                    continue
-                # The narrow band sets how many reads fit the cache; wider ones are cut again.
-                wide = width if width <= SHORT else min(width, 2 * NARROW + 1 + abs(width - l))
-                step = max(1, min(CELLS // wide, BASES // max(l, width)))
-                for first in range(0, len(members), step):
-                    part = batch.take(pa.array(members[first : first + step]))
-                    scored = _score_alike(part, l, width, offset)
-                    if min_baq is None:
-                        yield scored
-                    else:
-                        yield from _tally(scored, min_baq)
+        for batch in _enough(batches):
+            chroms = batch["chrom"].dictionary_encode()
+            pos = pc.fill_null(batch["pos"], 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            tallied = []
+            for rows, *arrays in _unclipped(batch):
+                on, at, ref, base, q, baq = _score_alike(pos[rows], *arrays, offset)
+                name = chroms.indices.to_numpy(zero_copy_only=False)[rows][np.nonzero(on)[0]].astype(np.int64)
+                if min_baq is None:
+                    columns = [chroms.dictionary.take(pa.array(name)), at.astype(np.int32), _chars(ref), _chars(base), q.astype(np.int32), baq]
+                    yield pa.record_batch(columns, names=["chrom", "pos", "ref", "base", "q", "baq"])
+                else:
+                    good = baq >= min_baq
+                    tallied.append((name[good], at[good], KIND[base[good]]))
+            if tallied:
+                yield loci_of(chroms, *(np.concatenate(x) for x in zip(*tallied)))
 
     return run
 
 
-def _score_alike(part: pa.RecordBatch, l: int, width: int, offset: int) -> pa.RecordBatch:
-    """Scored bases of reads of equal length and reference span, whatever their CIGARs."""
-    shapes = part["shape"].to_pylist()
-    known = {shape: base_columns(shape, l, width) for shape in set(shapes)}
-    columns = np.stack([known[shape] for shape in shapes])
-    reads, refs = _codes(part["bases"], l), _codes(part["ref_seq"], width)
-    quals = _codes(part["qual"], l).astype(np.int64) - offset
+def _enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``BASES`` bases or more, so that many reads share a shape and a band."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch["bases"])).as_py() or 0
+        if size >= BASES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _unclipped(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """Rows of equal length and reference span, whatever their CIGARs: their numbers, bases, quality characters, reference
+    and columns, without what is clipped; as many as are scored together."""
+    texts = {c: single_bytes(batch[c]) for c in ("bases", "qual", "ref_seq")}
+    sizes = [pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False) for x in texts.values()]
+    shapes: dict[tuple[int, int], list[tuple[np.ndarray, ...]]] = {}
+    for cigar, rows in alike(batch["cigar"], *sizes):
+        has, rated, width = (int(x[rows[0]]) for x in sizes)
+        used = [np.arange(off, min(off + n, has, rated)) for op, n, off, _ in cigar_steps(cigar) if op == "I" or op in ALIGNED]
+        kept = np.concatenate([*used, np.empty(0, np.int64)]).astype(np.int64)
+        if len(kept) and width:
+            columns = np.broadcast_to(base_columns(cigar, len(kept), width), (len(rows), len(kept)))
+            bases, quals, refs = (codes(x.take(pa.array(rows)), n) for x, n in zip(texts.values(), (has, rated, width)))
+            shapes.setdefault((len(kept), width), []).append((rows, bases[:, kept], quals[:, kept], refs, columns))
+    for (l, width), parts in shapes.items():
+        together = [np.concatenate(x) for x in zip(*parts)]
+        step = max(1, BASES // max(l, width))
+        for first in range(0, len(together[0]), step):
+            yield tuple(x[first : first + step] for x in together)
+
+
+def _score_alike(
+    pos: np.ndarray, reads: np.ndarray, quals: np.ndarray, refs: np.ndarray, columns: np.ndarray, offset: int
+) -> tuple[np.ndarray, ...]:
+    """Which bases have a column; position, reference, base, quality and capped quality of these."""
+    quals = quals.astype(np.int64) - offset
     post = match_posteriors(reads, quals, refs, columns)
     on = columns >= 0
-    owner = np.nonzero(on)[0]
-    pos = part["pos"].to_numpy()[owner] + columns[on]
-    return pa.RecordBatch.from_arrays(
-        [
-            part["chrom"].take(pa.array(owner)),
-            pa.array(pos.astype(np.int32)),
-            _chars(refs[owner, columns[on]]),
-            _chars(reads[on]),
-            pa.array(quals[on].astype(np.int32)),
-            pa.array(cap_quality(post, quals)[on]),
-        ],
-        names=["chrom", "pos", "ref", "base", "q", "baq"],
-    )
-
-
-def _shaped(referenced: DataFrame) -> DataFrame:
-    """Unclipped bases and qualities, with the CIGAR that is left.
-
-    Reads without stored bases or qualities cannot be scored and stay out.
-    """
-    referenced = referenced.where(has_bases() & has_quality())
-    used = F.filter(cigar_items(F.col("cigar")), lambda it: it["op"].isin("I", *ALIGNED))
-    cut = lambda text: F.array_join(
-        F.transform("_items", lambda it: F.substring(F.col(text), it["read_off"] + 1, it["len"])), ""
-    )
-    unclipped = referenced.withColumn("_items", used).select(
-        "chrom", "pos", "ref_seq",
-        F.regexp_replace("cigar", CLIPPED_OR_PADDED, "").alias("shape"),
-        cut("bases").alias("bases"),
-        cut("qual").alias("qual"),
-        F.length("ref_seq").alias("width"),
-    )
-    l = F.least(F.length("bases"), F.length("qual"))
-    even = {c: F.substring(c, F.lit(1), F.col("l")) for c in ("bases", "qual")}
-    return unclipped.withColumn("l", l).withColumns(even)
+    ref = np.take_along_axis(refs, np.maximum(columns, 0), 1)
+    return on, (pos[:, None] + columns)[on], ref[on], reads[on], quals[on], cap_quality(post, quals)[on]
+
+
+def _scored(alignments: DataFrame, ref: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """What the scoring of alignments takes; those without stored bases or qualities cannot be scored and stay out."""
+    columns = ["chrom", "pos", "cigar", "bases", "qual"]
+    referenced = with_reference(alignments.select(*columns), ref, gather=True)
+    if seen is not None:
+        referenced = referenced.observe(seen, F.count(F.lit(1)).alias("referenced"))
+    return referenced.where(has_bases() & has_quality() & F.col("cigar").isNotNull())
 
 
 def baq_bases(alignments: DataFrame, ref: DataFrame, offset: int = 33) -> DataFrame:
     """``chrom, pos, ref, base, q, baq``, one row per aligned base."""
-    return _shaped(with_reference(alignments, ref)).mapInArrow(_score(offset), BAQ_SCHEMA)
+    return _scored(alignments, ref).mapInArrow(_score(offset), BAQ_SCHEMA)
 
 
 def baq_pileup(
@@ -425,10 +461,5 @@ def baq_pileup(
     Tasks count what they score before it leaves Python, so a region's reads come back as one row
     per position and base. ``seen`` gets ``referenced``, the alignments that the reference has a tile for.
     """
-    referenced = with_reference(gather_by_locus(alignments), ref)
-    if seen is not None:
-        referenced = referenced.observe(seen, F.count(F.lit(1)).alias("referenced"))
-    shaped = _shaped(referenced)
-    counted = shaped.mapInArrow(_score(offset, min_baq), "chrom string, pos int, base string, count long")
-    loci = counted.groupBy("chrom", "pos").agg(*base_sums(F.col("base"), F.col("count")))
-    return with_reference_base(loci, ref)
+    counted = _scored(alignments, ref, seen).mapInArrow(_score(offset, min_baq), LOCI)
+    return with_reference_base(summed_loci(counted), ref)

@@ -17,6 +17,7 @@ from readloom.sources.reference import OVERLAP, TILE, reference_tiles
 
 LOCUS_BIN = 1 << 10
 COUNTS = ["total", *(b.lower() for b in CALLED), "n"]
+LOCI = ", ".join(["chrom string", "pos int", *(f"{c} long" for c in COUNTS)])
 # Class of each character: that of a called base, any other, and of a base that a read lacks though it has its quality.
 OTHER, ABSENT, KINDS = len(CALLED), len(CALLED) + 1, len(CALLED) + 2
 KIND = np.full(256, OTHER, np.int8)
@@ -29,7 +30,9 @@ def cigar_ops(alignments: DataFrame) -> DataFrame:
     return items.select(*alignments.columns, "op_index", "item.len", "item.op", "item.read_off", "item.ref_off")
 
 
-def with_reference(alignments: DataFrame, ref: DataFrame, tile: int = TILE, overlap: int = OVERLAP) -> DataFrame:
+def with_reference(
+    alignments: DataFrame, ref: DataFrame, tile: int = TILE, overlap: int = OVERLAP, gather: bool = False
+) -> DataFrame:
     """Add ``ref_seq``, the reference under each alignment; one whose start no tile covers is left out.
 
     The genome is cut into tiles that run ``overlap`` bases into the next one. An alignment of no longer span finds
@@ -37,9 +40,16 @@ def with_reference(alignments: DataFrame, ref: DataFrame, tile: int = TILE, over
     borders: each distinct start and span looks up its stretches in the same tiles, which are put together in order,
     and its alignments join the result. No row holds more of the genome than one alignment spans. Spark broadcasts
     the tiles when they measure small and shuffles them by tile, once, when they do not.
+
+    The alignments are read three times: short ones, the spots of long ones, and these. With ``gather`` they are shuffled by
+    ``gather_by_locus`` first and all three read that one exchange, so that what leads to the alignments runs once.
     """
     tiles = reference_tiles(ref, tile, overlap)
     placed = alignments.withColumn("_span", reference_span(F.col("cigar")))
+    if gather:
+        # As one value a row keeps its columns and filters on this side of the exchange, which is then the same for all.
+        placed = gather_by_locus(placed)
+        placed = placed.select(F.explode(F.array(F.struct(*placed.columns))).alias("_row")).select("_row.*")
     long = F.coalesce(F.col("_span") > overlap, F.lit(False))
     start = F.col("pos") - 1
     number = lambda at: F.floor(at / tile).cast("int")
@@ -158,6 +168,15 @@ def _tallied(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
         found.append((np.broadcast_to(name[:, None], at.shape)[good], at[good], kinds[:, on][good]))
 
     name, at, kind = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+    return loci_of(chroms, name, at, kind)
+
+
+def loci_of(chroms: pa.DictionaryArray, name: np.ndarray, at: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+    """``chrom, pos`` and counts of bases: the number of their name, their position and their class.
+
+    The number after the names stands for no name; from the next one on they count again, for no position.
+    """
+    names = len(chroms.dictionary) + 1
     low = at.min() if len(at) else 0
     span = int(at.max() - low) + 1 if len(at) else 1
     key = ((name * span) + (at - low)) * KINDS + kind
@@ -176,6 +195,11 @@ def _tallied(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
     return pa.record_batch([*columns, *(counts[:, k] for k in range(OTHER + 1))], names=["chrom", "pos", *COUNTS])
 
 
+def summed_loci(tallied: DataFrame) -> DataFrame:
+    """One row for each position of counts that tasks took."""
+    return tallied.groupBy("chrom", "pos").agg(*(F.sum(c).alias(c) for c in COUNTS))
+
+
 def with_reference_base(loci: DataFrame, ref: DataFrame, tile: int = TILE) -> DataFrame:
     """Add ``ref`` after counting: one lookup per position instead of one per base.
 
@@ -202,7 +226,5 @@ def pileup_counts(
         "qual", F.when(has_quality(), F.col("qual")).otherwise(F.repeat(F.lit(chr(offset)), F.length("bases")))
     )
     rows = (gather_by_locus(stored) if gather else stored).select("chrom", "pos", "cigar", "bases", "qual")
-    schema = ", ".join(["chrom string", "pos int", *(f"{c} long" for c in COUNTS)])
-    tallied = rows.mapInArrow(_tally(offset + min_q), schema)
-    loci = tallied.groupBy("chrom", "pos").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    loci = summed_loci(rows.mapInArrow(_tally(offset + min_q), LOCI))
     return loci if ref is None else with_reference_base(loci, ref)

@@ -173,3 +173,39 @@ def test_bases_and_pileup(spark):
             want[r.pos] = want.get(r.pos, 0) + 1
     assert {p: r.total for p, r in loci.items()} == want
     assert all(r.ref == seq[p - 1] for p, r in loci.items())
+
+
+def test_short_reads_use_a_band(monkeypatch):
+    """Clean reads of 64 bases need fewer diagonals than half of the matrix, and get what the matrix gives."""
+    rows = cases(4, 40, 64, 64, errors=1, low=20)
+    rows = (rows[0], rows[1], rows[2], np.broadcast_to(np.arange(64), rows[3].shape))
+    want = baq.posteriors(*rows)[0]
+    monkeypatch.setattr(baq, "posteriors", None)
+    assert np.allclose(baq.match_posteriors(*rows), want, rtol=0, atol=2e-12)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_the_path_of_an_alignment_is_a_lower_bound(seed):
+    rng = random.Random(seed)
+    cigar, l, width = rng.choice([("4M", 4, 4), ("2M1I1M", 4, 3), ("1M2D2M", 3, 5), ("1I2M", 3, 3), ("2M2I", 4, 2), ("1M1I1D1M", 3, 3)])
+    read, ref = "".join(rng.choices("ACGTN", k=l)), "".join(rng.choices("ACGT", k=width))
+    quals = [rng.randint(2, 40) for _ in range(l)]
+    rows = (codes([read]), np.array([quals]), codes([ref]), baq.base_columns(cigar, l, width)[None])
+    found = 10 ** baq.path_total(*rows)[0]
+    total, matched = all_paths(read, quals, ref)
+    assert 0 <= found <= total * (1 + 1e-12)
+    if cigar == "4M":
+        # The path that matches each base on the diagonal is no more than the least share of these.
+        assert 0 < found <= min(matched[i, i] for i in range(l)) * (1 + 1e-12)
+
+
+def test_alignments_are_derived_once(spark):
+    """Short and long alignments read one exchange."""
+    ref = spark.createDataFrame([("chr1", "ACGT" * 2000)], "chrom string, seq string")
+    rows = [("chr1", 5, 60, "8M", "ACGTACGT", "I" * 8), ("chr1", 9, 60, "4M1500N4M", "ACGTACGT", "I" * 8)]
+    reads = spark.createDataFrame(rows, "chrom string, pos int, mapq int, cigar string, bases string, qual string")
+    for scored, n in ((baq.baq_bases(reads, ref), 16), (baq.baq_pileup(reads, ref, 0), 12)):
+        assert len(scored.collect()) == n
+        plan = scored._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        shuffles = [line for line in plan.splitlines() if "REBALANCE_PARTITIONS_BY_COL" in line]
+        assert len(shuffles) == 3 and sum("ReusedExchange" in line for line in shuffles) == 2
