@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from io import TextIOWrapper
-from itertools import chain, groupby
+from itertools import chain, groupby, pairwise
 from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
@@ -130,20 +131,26 @@ def _headed(header: DataFrame, ordered: DataFrame) -> DataFrame:
     return sam_lines(ordered).mapInArrow(with_header, "value string")
 
 
-def pileup_by_region(header: DataFrame, sam: DataFrame, command: str, width: int = REGION) -> DataFrame:
+def pileup_by_region(header: DataFrame, sam: DataFrame, command: str, width: int = REGION, sums: bool = False) -> DataFrame:
     """Output of a pileup command that prints ``name<tab>position...``, run once per region.
 
     A large chromosome is cut into regions of ``width`` bases. A read goes to every region it touches,
     so the command sees all reads over a position; of its output only the positions inside the region
     count, which makes the result that of whole chromosomes. A task takes its regions one after the other
     from a sorted, spilling exchange, so regions may be as many as they like.
+
+    ``sums`` states that the command prints name, position and a count that adds up over reads, as a depth does. A read
+    then goes to the region of its start alone, REBALANCE splits a crowded region over tasks, each with a run of the
+    command over its part in coordinate order, and the counts of a position are added up. So no region has to fit a task.
     """
     first = F.floor((F.col("pos") - 1) / width)
     last = F.floor((F.col("pos") + F.greatest(reference_span(F.col("cigar")), F.lit(1)) - 2) / width)
-    touched = sam.select("*", F.explode(F.sequence(first, last)).alias("region"))
-    ordered = touched.repartition("rname", "region").sortWithinPartitions("rname", "region", *SORT_KEYS)
+    touched = sam.select("*", F.explode(F.array(first) if sums else F.sequence(first, last)).alias("region"))
+    spot = ["rname", "region"]
+    spread = touched.where("region is not null").hint("rebalance", *spot) if sums else touched.repartition(*spot)
+    ordered = spread.sortWithinPartitions(*spot, *SORT_KEYS)
     fields = [F.col(c).cast("string") for c in SAM_FIELDS]
-    keyed = ordered.select("rname", "region", F.concat_ws("\t", *fields, F.col("tags")).alias("value"))
+    keyed = ordered.select(*spot, F.concat_ws("\t", *fields, F.col("tags")).alias("value"))
     path = _stored_header(header)
 
     def inside(line: str, name: str, region: int) -> bool:
@@ -151,12 +158,29 @@ def pileup_by_region(header: DataFrame, sam: DataFrame, command: str, width: int
         return parts[0] == name and len(parts) > 1 and parts[1].isdigit() and (int(parts[1]) - 1) // width == region
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-        for (name, region), group in groupby(rows, key=itemgetter(0, 1)):
-            lines = chain(_header_lines(path), (row[2] for row in group))
-            yield from line_batches(x for x in command_lines(command, lines) if inside(x, name, region))
-
-    return keyed.mapInArrow(run, "value string")
+        for (name, region), group in groupby(_stretches(batches), key=itemgetter(0, 1)):
+            found = command_lines(command, chain(_header_lines(path), (lines for _, _, lines in group)))
+            yield from line_batches(found if sums else (x for x in found if inside(x, name, region)))
+
+    printed = keyed.mapInArrow(run, "value string")
+    if not sums:
+        return printed
+    parts = F.split("value", "\t")
+    counts = printed.select(parts[0].alias("name"), parts[1].cast("long").alias("at"), parts[2].cast("long").alias("n"), F.size(parts).alias("size"))
+    added = counts.groupBy("name", "at").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
+    whole = F.when(F.col("size") == 3, F.col("n")).otherwise(F.raise_error(F.lit("the command prints more than a count")))
+    return added.select(F.concat_ws("\t", "name", "at", whole).alias("value"))
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str]]:
+    """Name, region and text of each stretch of rows with one region, as it lies in a batch."""
+    for batch in batches:
+        if batch.num_rows:
+            name = batch.column(0).dictionary_encode()
+            number, region = name.indices.to_numpy(), batch.column(1).to_numpy()
+            ends = np.flatnonzero((number[1:] != number[:-1]) | (region[1:] != region[:-1])) + 1
+            for start, end in pairwise([0, *ends.tolist(), batch.num_rows]):
+                yield name[start].as_py(), int(region[start]), "\n".join(batch.column(2)[start:end].to_pylist())
 
 
 def _stored_header(header: DataFrame) -> str:

@@ -143,17 +143,19 @@ def sam_pileup(
     min_q: int = 0,
     offset: int = 33,
     region: int | None = coordinates.REGION,
+    sums: bool = False,
 ) -> DataFrame:
     """Pileup of SAM lines: native locus counts, or the output lines of a command.
 
     A command gets the sorted header and one stretch of ``region`` bases at a time, in coordinate
-    order; ``region=None`` gives it whole reference names.
+    order; ``region=None`` gives it whole reference names. ``sums`` states that it prints counts that add up over
+    reads, so that the reads of a stretch may be dealt to several runs.
     """
     body = coordinates.mapped_reads(parse_sam(lines))
     if command is None:
         return pileup.pileup_counts(as_alignments(body), ref, min_q, offset)
     if region is not None:
-        return coordinates.pileup_by_region(sam_header(lines), body, command, region)
+        return coordinates.pileup_by_region(sam_header(lines), body, command, region, sums)
     return external.pipe_lines(coordinates.sam_partition_blocks(sam_header(lines), body), command)
 
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from readloom.operators import coordinates, external, partitioning
@@ -124,3 +126,25 @@ def test_regions_agree_with_whole_names(spark):
         got = coordinates.pileup_by_region(sam_header(lines), sam, DEPTH, width)
         assert sorted(r.value for r in got.collect()) == want
     assert coordinates.pileup_by_region(sam_header(lines), sam.limit(0), DEPTH).count() == 0
+
+
+def test_a_crowded_region_is_dealt_to_tasks(spark):
+    """Counts that add up: one region, many runs of the command, the same sums; other output is an error."""
+    lines = lines_of(spark, HEADER + body(2000)).repartition(8)
+    sam = coordinates.mapped_reads(parse_sam(lines))
+    want = sorted(r.value for r in coordinates.pileup_by_region(sam_header(lines), sam, DEPTH, 1000).collect())
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        got = coordinates.pileup_by_region(sam_header(lines), sam, DEPTH, 1000, sums=True)
+        assert sorted(r.value for r in got.collect()) == want
+        # Every run of the command says that it ran.
+        runs = coordinates.pileup_by_region(sam_header(lines), sam, "awk 'END {print \"chr1\\t1\\t1\"}'", 1000, sums=True)
+        assert int(runs.head().value.split("\t")[2]) > 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    for width in (3, 50):
+        some = coordinates.pileup_by_region(sam_header(lines), sam, DEPTH, width, sums=True)
+        assert sorted(r.value for r in some.collect()) == want
+    with pytest.raises(PySparkException, match="more than a count"):
+        coordinates.pileup_by_region(sam_header(lines), sam, "awk 'END {print \"chr1\\t1\\t1\\tA\"}'", 1000, sums=True).collect()
