@@ -9,15 +9,16 @@ Groups come from a list of terms and from the labelled texts: two words that sta
 that toxic and other texts hold equally often, are swapped for each other. A text gets a counterfactual where the
 swap changes its words.
 
-Tasks turn labelled texts into hashed features; the driver fits on at most ``SAMPLE`` rows of them, the first
-by a hash of their id. Features are chosen by the difference of their shares among toxic and other rows. All
-documents are scored in their partitions without a shuffle; a text's length has no say but by its words.
+Tasks turn labelled texts into hashed features, at most ``SAMPLE`` rows of them, the first by a hash of their id. Features
+are chosen by the difference of their shares among toxic and other rows; tasks count them, and the driver fits on the
+chosen ones and those of swapped terms alone, so that it holds no more of longer texts. All documents are scored in their
+partitions without a shuffle; a text's length has no say but by its words.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,34 +120,61 @@ def word_features(word: str) -> list[int]:
     return [xxhash.xxh64_intdigest(p) >> 1 for p in parts]
 
 
-def features(words: set[str], known: dict[str, list[int]]) -> np.ndarray:
+def features(words: set[str], known: dict[str, list[int]], of_word: Callable[[str], list[int]] = word_features) -> np.ndarray:
     found: set[int] = set()
     for w in words:
         if w not in known:
-            if len(known) > 1 << 17:
+            if len(known) > 1 << 15:
                 known.clear()
-            known[w] = word_features(w)
+            known[w] = of_word(w)
         found.update(known[w])
     return np.fromiter(found, np.int64, len(found))
 
 
-def labelled_features(rows: DataFrame, terms: dict[str, str]) -> DataFrame:
-    """``toxic, own, swapped``: sorted features of ``text`` and of its counterfactual, null if a swap changes no word of it."""
-    schema = pa.schema([("toxic", pa.int32()), ("own", pa.list_(pa.int64())), ("swapped", pa.list_(pa.int64()))])
+def chosen_features(rows: DataFrame) -> np.ndarray:
+    """The features that ``choose`` takes, of ``toxic, text``: tasks count them, only the chosen ones come to the driver."""
+    schema = pa.schema([("kind", pa.int64()), ("c", pa.int64()), ("c1", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
+        for part in parts:
+            for at in range(0, part.num_rows, 256):
+                some = part.slice(at, 256)
+                own = [features(set(TOKEN.findall(t.as_py().lower())), known) for t in some["text"]]
+                toxic = np.repeat(some["toxic"].to_numpy() == 1, [len(o) for o in own])
+                kinds, of, c = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+                c1 = np.bincount(of[toxic], minlength=len(kinds))
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in (kinds, c, c1)], schema=schema)
+
+    n, n1 = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    n1, n0 = max(1, n1), max(1, n - n1)
+    counts = rows.select("toxic", "text").mapInArrow(run, "kind long, c long, c1 long")
+    counts = counts.groupBy("kind").agg(F.sum("c").alias("c"), F.sum("c1").alias("c1")).where(F.col("c") >= LEAST)
+    c, c1, p = F.col("c"), F.col("c1"), F.col("c") / float(n1 + n0)
+    z = F.abs(c1 / float(n1) - (c - c1) / float(n0)) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * F.lit(1 / n1 + 1 / n0))
+    top = counts.select("kind", z.alias("z")).where("z > 0").orderBy(F.desc("z"), "kind").limit(FEATURES)
+    return np.sort(np.array([r.kind for r in top.select("kind").collect()], np.int64))
+
+
+def labelled_features(rows: DataFrame, terms: dict[str, str], kinds: np.ndarray) -> DataFrame:
+    """``toxic, own, swapped``: the places in sorted ``kinds`` of the features of ``text`` and of its counterfactual, null if a swap changes no word of it."""
+    schema = pa.schema([("toxic", pa.int32()), ("own", pa.list_(pa.int32())), ("swapped", pa.list_(pa.int32()))])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
+        place = {f: k for k, f in enumerate(kinds.tolist())}
+        places = lambda words: features(words, known, lambda w: [place[f] for f in word_features(w) if f in place]).astype(np.int32)
         for part in parts:
             own, other = [], []
             for text in map(pa.StringScalar.as_py, part["text"]):
                 words = set(TOKEN.findall(text.lower()))
-                own.append(features(words, known))
+                own.append(places(words))
                 turned = {terms.get(w, w) for w in words}
-                other.append(features(turned, known) if turned != words else None)
-            columns = [part["toxic"], pa.array(own, pa.list_(pa.int64())), pa.array(other, pa.list_(pa.int64()))]
+                other.append(places(turned) if turned != words else None)
+            columns = [part["toxic"], pa.array(own, pa.list_(pa.int32())), pa.array(other, pa.list_(pa.int32()))]
             yield pa.record_batch(columns, schema=schema)
 
-    return rows.select("toxic", "text").mapInArrow(run, "toxic int, own array<long>, swapped array<long>")
+    return rows.select("toxic", "text").mapInArrow(run, "toxic int, own array<int>, swapped array<int>")
 
 
 def choose(own: list[np.ndarray], toxic: np.ndarray, most: int = FEATURES, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
@@ -254,18 +282,20 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     # Only as many ids as the sample has are broadcast.
     chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     whole = one_per_id(texts(docs, id_col, text_col).join(chosen, "doc_id", "left_semi")).join(chosen, "doc_id")
+    whole = stored(whole.select("toxic", "text"), "labelled")
     if terms is None:
-        whole = stored(whole.select("toxic", "text"), "labelled")
         terms = derived_swaps(whole) | swaps()
-    rows = labelled_features(whole, terms)
-    got = rows.toArrow()
-    return fit(list(_lists(got["own"])), list(_lists(got["swapped"])), got["toxic"].to_numpy().astype(float))
+    # What a swap takes and brings are features of its terms: with these, the fit is that on all features.
+    swapped = [f for w in {*terms, *terms.values()} for f in word_features(w)]
+    kinds = np.union1d(chosen_features(whole), np.array(swapped, np.int64))
+    got = labelled_features(whole, terms, kinds).toArrow()
+    return fit(list(_lists(got["own"], kinds)), list(_lists(got["swapped"], kinds)), got["toxic"].to_numpy().astype(float))
 
 
-def _lists(column: pa.ChunkedArray) -> Iterator[np.ndarray | None]:
+def _lists(column: pa.ChunkedArray, kinds: np.ndarray) -> Iterator[np.ndarray | None]:
     for chunk in column.chunks:
         valid, offsets, values = chunk.is_valid().to_pylist(), chunk.offsets.to_numpy(), chunk.values.to_numpy()
-        yield from (values[a:b] if ok else None for ok, a, b in zip(valid, offsets, offsets[1:]))
+        yield from (kinds[values[a:b]] if ok else None for ok, a, b in zip(valid, offsets, offsets[1:]))
 
 
 class Scorer:

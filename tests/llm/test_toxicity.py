@@ -121,3 +121,25 @@ def test_counterfactuals_of_the_given_tables(spark, monkeypatch):
         return np.mean([(sum(at.get(f, 0) for f in s) - sum(at.get(f, 0) for f in o)) ** 2 for o, s in pairs])
 
     assert gap(T.FAIR) < 0.5 * gap(0.0)
+
+
+def test_fit_gets_what_it_uses(spark, monkeypatch):
+    """The driver gets the chosen features and those of swapped terms alone, and fits on them what all features give."""
+    rows = rows_of(600, 3)
+    long = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}q" for k in range(300)) for i in range(600)]
+    docs = spark.createDataFrame([(i, f"{t} {more}") for (i, t, _), more in zip(rows, long)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    taken, fit = [], T.fit
+    monkeypatch.setattr(T, "FEATURES", 40)
+    monkeypatch.setattr(T.choose, "__defaults__", (40, T.LEAST))
+    monkeypatch.setattr(T, "fit", lambda *a: taken.append(a) or fit(*a))
+    kinds, weights, bias = T.learn(docs, labels, terms=TERMS)
+    own, swapped, _ = taken[0]
+    assert len(np.unique(np.concatenate(own))) <= 40 + 2 * (1 + len(T.PREFIXES))
+    kept = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    words = [set(T.TOKEN.findall(f"{rows[i][1]} {long[i]}".lower())) for i in kept]
+    turned = [{TERMS.get(w, w) for w in s} for s in words]
+    everything = [T.features(s, {}) for s in words], [T.features(t, {}) if t != s else None for s, t in zip(words, turned)]
+    assert sum(map(len, own)) < sum(map(len, everything[0])) / 4 and sum(s is not None for s in swapped) > 50
+    plain = fit(*everything, np.array([rows[i][2] for i in kept], float))
+    assert kinds.tolist() == plain[0].tolist() and np.allclose(weights, plain[1]) and np.isclose(bias, plain[2])
