@@ -8,6 +8,10 @@ all documents tells; any order is right, this one keeps frequent tokens out of t
 token of their prefixes: the larger set asks with the n - ceil(17 n / 20) + 1 first tokens, the smaller one is found by
 its n - ceil(34 n / 37) + 1 first ones.
 
+Counts. The prefixes of linked sets share more tokens the more alike their sizes are: of n and m tokens, n the larger, what
+the prefixes leave out of a set holds at most ceil(17 n / 20) - 1 common ones, and the rest of ceil(17 (n + m) / 37) stands in both
+prefixes. A unit that shares fewer tokens with all others together than any set of its rows asks for is linked with none.
+
 Groups. Units that share a prefix token and have a like size meet the one in which it comes first, their leader; a unit
 goes to the leader that it shares most tokens with. So the groups are a partition of similar units, cut into chunks of about
 ``GROUP``. A chunk is opened once by itself, with the leader as a guest, and yields a spanning forest of its links.
@@ -37,6 +41,8 @@ WORDS, SEED = 4, 42
 # Linked: 100 * both >= 85 * union, that is 37 * both >= 17 * (a + b); then 20 * smaller >= 17 * larger as well.
 BITS, SLICE = 20, 1 << 12
 GROUP, TOKENS = 64, 1 << 21
+# So many rows before and after a row are looked at for a set that it can be linked with; rows of more sets stay.
+NEAR = 64
 # A token above LIMIT, and above HOT times the mean counter, is dealt to several tasks.
 LIMIT, HOT = 2048, 8
 
@@ -69,6 +75,11 @@ def found_by(n):
     return n + 1 - -(-34 * n // 37)
 
 
+def in_common(n, m):
+    """How many tokens the first ``asking`` ones of two linked sets share at least; ``n`` is the larger size."""
+    return -(-17 * (n + m) // 37) - (n - asking(n))
+
+
 def _bytes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
@@ -182,6 +193,52 @@ def shared(rows: DataFrame) -> DataFrame:
     return placed.mapInArrow(run, "token long, salt int, salts int, u long, n int, pos int")
 
 
+def linkable(rows: DataFrame) -> DataFrame:
+    """The rows of ``shared`` whose token is shared with a set that both sets' numbers of rows let the row's be linked with.
+
+    Linked sets have at least ``in_common`` rows of the same tokens, all of which stay. Rows of tokens that more than
+    ``NEAR`` sets share stay too, as do those of hot tokens. A task holds the rows of one token.
+    """
+    names = ["token", "salt", "salts", "u", "n", "pos"]
+    schema = pa.schema(list(zip(names, [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()])))
+
+    def live(x: dict[str, np.ndarray]) -> pa.RecordBatch:
+        starts = np.concatenate([[True], (np.diff(x["token"]) != 0) | (np.diff(x["salt"]) != 0)])
+        of = np.cumsum(starts) - 1
+        live = (np.bincount(of)[of] > NEAR) | (x["salts"] > 1)
+        for k in range(1, NEAR):
+            same = np.flatnonzero(of[k:] == of[:-k])
+            if not len(same):
+                break
+            small, large = same, same + k
+            n, m = x["n"][large], x["n"][small]
+            ok = (20 * m >= 17 * n) & (in_common(n, m) <= np.minimum(x["left"][large], x["left"][small]))
+            live[small[ok]] = live[large[ok]] = True
+        return pa.record_batch([pa.array(x[f.name][live], f.type) for f in schema], schema=schema)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        for part in parts:
+            x = {c: part[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in [*names, "left"]}
+            if not len(x["n"]):
+                continue
+            begun = np.flatnonzero((np.diff(x["token"]) != 0) | (np.diff(x["salt"]) != 0)) + 1
+            if held and (held[-1]["token"][-1], held[-1]["salt"][-1]) != (x["token"][0], x["salt"][0]):
+                begun = np.concatenate([[0], begun])
+            if len(begun):
+                # All tokens but the last one of the batch are whole.
+                done = [*held, {c: v[: begun[-1]] for c, v in x.items()}]
+                yield live({c: np.concatenate([h[c] for h in done]) for c in x})
+                held, x = [], {c: v[begun[-1] :] for c, v in x.items()}
+            held.append(x)
+        if held:
+            yield live({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+
+    left = stored(rows.groupBy("u").agg(F.count("*").alias("left")), "left")
+    placed = rows.join(if_few(left), "u").select(*names, "left").repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "u")
+    return placed.mapInArrow(run, "token long, salt int, salts int, u long, n int, pos int")
+
+
 def sets_of(docs: DataFrame, units: DataFrame, words: int) -> DataFrame:
     """``id, tokens`` of stored ``units``, from one text of each; a unit whose text stands in repeated rows comes repeatedly."""
     schema = pa.schema([("id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
@@ -344,7 +401,8 @@ def alike(
         F.min("tag").alias("tag"), F.min_by("doc_id", "tag").alias("rep"),
     )
     units = stored(units.withColumn("id", F.monotonically_increasing_id()), "units")
-    matrix = stored(shared(prefixes(rows, levels, salts, words)), "matrix")
+    matrix = stored(shared(prefixes(rows, levels, salts, words)), "shared")
+    matrix = stored(linkable(matrix), "matrix")
     active = stored(units.join(matrix.select("u").distinct(), "u", "left_semi"), "active")
     tokens = stored(sets_of(rows, active, words), "tokens")
     home, guests = in_groups(active, matrix)

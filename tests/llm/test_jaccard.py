@@ -116,3 +116,53 @@ def test_prefixes_suffice():
         order = rng.permutation(a + b - both)
         small, large = np.sort(order[:a]), np.sort(np.concatenate([order[:both], order[a:]]))
         assert set(small[: J.found_by(a)]) & set(large[: J.asking(b)])
+
+
+def test_shared_tokens_suffice():
+    """The prefixes of two linked sets share as many tokens as ``in_common`` says, whatever the order."""
+    rng = np.random.default_rng(6)
+    least = set()
+    for _ in range(3000):
+        m = int(rng.integers(1, 200))
+        n = int(rng.integers(m, m * 20 // 17 + 1))
+        both = int(rng.integers(-(-17 * (n + m) // 37), m + 1)) if -(-17 * (n + m) // 37) <= m else None
+        if both is None:
+            continue
+        order = rng.permutation(n + m - both)
+        if rng.random() < 0.5:  # tokens of one set alone come first: the worst order
+            order = np.concatenate([order[order >= both], order[order < both]])
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            order = place
+        small, large = np.sort(order[:m]), np.sort(np.concatenate([order[:both], order[m:]]))
+        shared = len(set(small[: J.asking(m)]) & set(large[: J.asking(n)]))
+        assert shared >= max(1, J.in_common(n, m))
+        least.add(shared - J.in_common(n, m))
+    assert 0 in least
+
+
+@pytest.mark.parametrize("near", [2, 64])
+def test_few_shared_tokens(spark, monkeypatch, near):
+    """Sets that share a passage too short for a link are not sent to a group; those that are linked are, whatever ``NEAR``."""
+    monkeypatch.setattr(J, "NEAR", near)
+    # An order that tells nothing, as that of counters which very many tokens share.
+    monkeypatch.setattr(J, "frequencies", lambda slices: np.zeros(1 << J.BITS, np.uint8))
+    rng = np.random.default_rng(12)
+    docs = []
+    for g in range(60):
+        passage = [f"p{g}_{k}" for k in range(9)]
+        for k in range(4):
+            words = [f"w{rng.integers(1 << 30)}" for _ in range(190 + k)]
+            docs.append((g * 10 + k, " ".join(words[:90] + passage + words[90:])))
+    base = [f"b{k}" for k in range(200)]
+    docs += [(9000 + k, edited(rng, base, 3)) for k in range(12)]
+    sizes, kept = {}, J.stored
+
+    def counted(df, name):
+        out = kept(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(J, "stored", counted)
+    assert rows_of(J.alike(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))) == plain(docs)
+    assert sizes["units"] == len(docs) and 12 <= sizes["active"] and (near == 2 or sizes["active"] < 40)
